@@ -53,9 +53,15 @@ def percent(part: Column, whole: Column) -> Column:
     return F.round(F.try_divide(F.lit(100.0) * part.cast("double"), whole.cast("double")), 2)
 
 
+def round_half_even(value: Column, digits: int) -> Column:
+    """Rounds the scaled double to the nearest integer, ties to even, and scales back."""
+    scale = float(10**digits)
+    return F.rint(value * scale) / scale
+
+
 def percent_half_even(part: Column, whole: Column) -> Column:
     """As :func:`percent`, with ties going to the even digit."""
-    return F.bround(F.try_divide(part.cast("double"), whole.cast("double")) * 100, 2)
+    return round_half_even(ratio(part, whole) * 100, 2)
 
 
 def band(value: Column, spec: Band) -> Column:
@@ -87,4 +93,4 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
     half_lat = F.sin(F.radians(lat2 - lat1) / 2)
     half_lon = F.sin(F.radians(lon2 - lon1) / 2)
     h = half_lat * half_lat + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * half_lon * half_lon
-    return F.lit(2 * 6371.0) * F.asin(F.sqrt(F.least(h, F.lit(1.0))))
+    return F.lit(2 * 6371.0) * F.asin(F.sqrt(F.when(h > 1, 1.0).otherwise(h)))
