@@ -11,7 +11,7 @@ from ampflow.functions.measures import haversine_km
 from ampflow.session import cut_lineage
 
 # Cell sizes in degrees; the last one covers the globe from every cell.
-CELL_DEGREES = (0.5, 2.0, 8.0, 30.0, 180.0)
+CELL_DEGREES = (0.5, 10.0, 180.0)
 
 
 def _columns_around(size: float) -> int:

@@ -43,56 +43,64 @@ def _long_form(df: DataFrame, values: Mapping[str, Column]) -> DataFrame:
     return df.select(F.inline(F.array(*cells))).where(F.col("value").isNotNull())
 
 
-def _running(histogram: DataFrame, *group: str) -> DataFrame:
-    order = Window.partitionBy(*group).orderBy("cell")
-    return histogram.withColumn("upto", F.sum("n").over(order)).withColumn("before", F.col("upto") - F.col("n"))
+# A wanted rank is a column: per probability i the neighbours ``lo<i>`` and ``hi<i>`` of position ``p * (n - 1)``.
+def _rank_names(probs: Sequence[float]) -> list[str]:
+    return [f"{side}{i}" for i in range(len(probs)) for side in ("lo", "hi")]
 
 
-def _cells_of_ranks(ranked: DataFrame) -> DataFrame:
-    """The cells that hold the wanted ranks, with each rank counted from the start of its cell."""
-    return ranked.where((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("upto"))).select(
-        "measure", "rows", "p", "weight", "side", "cell", (F.col("rank") - F.col("before")).alias("rank")
+def _first_cells(histogram: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """Cells of a histogram (measure, cell, n) that hold a wanted 0-based rank.
+
+    One row per cell; each rank is counted from the start of its cell and NULL in all other cells.
+    """
+    whole = Window.partitionBy("measure")
+    position = {i: F.lit(float(p)) * (F.col("rows") - 1) for i, p in enumerate(probs)}
+    ranks = {f"lo{i}": F.floor(x) for i, x in position.items()} | {f"hi{i}": F.ceil(x) for i, x in position.items()}
+    counted = histogram.withColumns(
+        {"upto": F.sum("n").over(whole.orderBy("cell")), "rows": F.sum("n").over(whole)}
     )
+    return _holding(counted, ranks, probs)
 
 
-def _start(histogram: DataFrame, probs: Sequence[float]) -> DataFrame:
-    """First pass: the wanted 0-based ranks are the two neighbours of ``p * (n - 1)`` for each probability."""
-    position = F.col("p") * (F.col("rows") - 1)
-    neighbours = F.array(
-        F.struct(F.lit("lo").alias("side"), F.floor(position).alias("rank")),
-        F.struct(F.lit("hi").alias("side"), F.ceil(position).alias("rank")),
-    )
-    ranked = (
-        _running(histogram, "measure")
-        .withColumn("rows", F.sum("n").over(Window.partitionBy("measure")))
-        .withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-        .withColumn("weight", position - F.floor(position))
-        .select("*", F.inline(neighbours))
-    )
-    return _cells_of_ranks(ranked)
+def _holding(counted: DataFrame, ranks: Mapping[str, Column], probs: Sequence[float]) -> DataFrame:
+    before = F.col("upto") - F.col("n")
+    here = {
+        name: F.when((ranks[name] >= before) & (ranks[name] < F.col("upto")), ranks[name] - before)
+        for name in _rank_names(probs)
+    }
+    found = counted.select("measure", "rows", "cell", *[rank.alias(name) for name, rank in here.items()])
+    return found.where(F.coalesce(*here).isNotNull())
+
 
+def _finer_cells(rows: DataFrame, cells: DataFrame, probs: Sequence[float], n: Column) -> DataFrame:
+    """The next pass: ``rows`` (measure, parent, cell) inside ``cells`` only.
 
-def _narrow(histogram: DataFrame, targets: DataFrame) -> DataFrame:
-    """Later pass, inside the cells found before. ``targets`` has two rows per measure and probability."""
-    return _cells_of_ranks(
-        _running(histogram, "measure", "parent").join(F.broadcast(targets), ["measure", "parent"])
+    ``cells`` has at most two rows per measure and probability, so it is safe to broadcast.
+    """
+    names = _rank_names(probs)
+    inside = rows.join(F.broadcast(cells.withColumnRenamed("cell", "parent")), ["measure", "parent"])
+    counted = (
+        inside.groupBy("measure", "parent", "cell")
+        .agg(n.alias("n"), F.max("rows").alias("rows"), *[F.max(r).alias(r) for r in names])
+        .withColumn("upto", F.sum("n").over(Window.partitionBy("measure", "parent").orderBy("cell")))
     )
+    return _holding(counted, {r: F.col(r) for r in names}, probs)
 
 
-def _one_row(found: DataFrame, names: Sequence[str], probs: Sequence[float], origin: Mapping[str, int]) -> DataFrame:
+def _one_row(cells: DataFrame, names: Sequence[str], probs: Sequence[float], origin: Mapping[str, int]) -> DataFrame:
     """Interpolated quantiles as one row: ``<name>_n`` and ``<name>_p<i>`` (NULL without values)."""
     out = []
     for name in names:
         mine = F.col("measure") == name
-        out.append(F.coalesce(F.max(F.when(mine, F.col("rows"))), F.lit(0)).alias(f"{name}_n"))
+        rows = F.max(F.when(mine, F.col("rows")))
+        out.append(F.coalesce(rows, F.lit(0)).alias(f"{name}_n"))
         for i, p in enumerate(probs):
-            here = mine & (F.col("p") == float(p))
-            low = F.max(F.when(here & (F.col("side") == "lo"), F.col("cell")))
-            high = F.max(F.when(here & (F.col("side") == "hi"), F.col("cell")))
-            weight = F.max(F.when(here, F.col("weight")))
-            value = (low - origin[name]).cast("double") + weight * (high - low).cast("double")
+            low = F.max(F.when(mine & F.col(f"lo{i}").isNotNull(), F.col("cell")))
+            high = F.max(F.when(mine & F.col(f"hi{i}").isNotNull(), F.col("cell")))
+            position = F.lit(float(p)) * (rows - 1)
+            value = (low - origin[name]).cast("double") + (position - F.floor(position)) * (high - low).cast("double")
             out.append(value.alias(f"{name}_p{i}"))
-    return found.agg(*out)
+    return cells.agg(*out)
 
 
 def fixed_quantiles(df: DataFrame, measures: Mapping[str, Fixed], probs: Sequence[float] = QUARTILES) -> DataFrame:
@@ -100,22 +108,15 @@ def fixed_quantiles(df: DataFrame, measures: Mapping[str, Fixed], probs: Sequenc
     digits = max(m.digits for m in measures.values())
     origin = {name: 10**digits for name in measures}
     values = _long_form(df, {name: F.expr(m.units).cast("bigint") + origin[name] for name, m in measures.items()})
-
     divisors = [BASE**k for k in reversed(range(-(-digits // DIGITS_PER_PASS)))]
-    cell = F.expr(f"value div {divisors[0]}L")
-    histogram = values.groupBy("measure", cell.alias("cell")).agg(F.count(F.lit(1)).alias("n"))
-    found = _start(histogram, probs)
+    count = F.count(F.lit(1))
+    cells = _first_cells(
+        values.groupBy("measure", F.expr(f"value div {divisors[0]}L").alias("cell")).agg(count.alias("n")), probs
+    )
     for coarse, fine in zip(divisors, divisors[1:]):
-        targets = found.withColumnRenamed("cell", "parent")
-        wanted = F.broadcast(targets.select("measure", "parent").distinct())
-        histogram = (
-            values.withColumn("parent", F.expr(f"value div {coarse}L"))
-            .join(wanted, ["measure", "parent"])
-            .groupBy("measure", "parent", F.expr(f"value div {fine}L").alias("cell"))
-            .agg(F.count(F.lit(1)).alias("n"))
-        )
-        found = _narrow(histogram, targets)
-    return _one_row(found, list(measures), probs, origin)
+        rows = values.selectExpr("measure", f"value div {coarse}L AS parent", f"value div {fine}L AS cell")
+        cells = _finer_cells(rows, cells, probs, count)
+    return _one_row(cells, list(measures), probs, origin)
 
 
 def float_quantiles(df: DataFrame, values: Mapping[str, Column], probs: Sequence[float] = QUARTILES) -> DataFrame:
@@ -134,14 +135,9 @@ def float_quantiles(df: DataFrame, values: Mapping[str, Column], probs: Sequence
         frequencies.orderBy("measure", "value").withColumn("block", F.spark_partition_id().cast("bigint"))
     )
     blocks = ordered.groupBy("measure", F.col("block").alias("cell")).agg(F.sum("n").alias("n"))
-    targets = _start(blocks, probs).withColumnRenamed("cell", "parent")
-    wanted = F.broadcast(targets.select("measure", "parent").distinct())
-    inside = (
-        ordered.withColumnRenamed("block", "parent")
-        .withColumnRenamed("value", "cell")
-        .join(wanted, ["measure", "parent"])
-    )
-    return _one_row(_narrow(inside, targets), list(values), probs, dict.fromkeys(values, 0))
+    rows = ordered.select("measure", F.col("block").alias("parent"), F.col("value").alias("cell"), F.col("n").alias("copies"))
+    cells = _finer_cells(rows, _first_cells(blocks, probs), probs, F.sum("copies"))
+    return _one_row(cells, list(values), probs, dict.fromkeys(values, 0))
 
 
 @dataclass(frozen=True)

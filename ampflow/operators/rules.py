@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ampflow.operators.joins import orphans
+from ampflow.session import local_table
 
 UNIQUE, NOT_NULL, ACCEPTED, RELATED = "unique", "not_null", "accepted_values", "relationships"
 
@@ -59,15 +61,26 @@ def _text_of(value) -> str:
     return str(value).lower() if isinstance(value, bool) else str(value)
 
 
-def _value_failures(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+Numbered = Sequence[tuple[int, Rule]]
+
+
+def _null_failures(df: DataFrame, rules: Numbered) -> DataFrame:
+    wide = df.agg(
+        *[
+            F.struct(F.lit(i).alias("rule"), F.count_if(F.expr(r.column).isNull()).alias("failures")).alias(f"c{i}")
+            for i, r in rules
+        ]
+    )
+    return wide.select(F.inline(F.array(*wide.columns)))
+
+
+def _value_failures(df: DataFrame, rules: Numbered) -> DataFrame:
     """Failures of the unique and accepted-values rules of one table from a single (rule, value) count."""
-    cells = [
-        F.struct(F.lit(i).alias("rule"), F.expr(r.column).cast("string").alias("value")) for i, r in enumerate(rules)
-    ]
-    failing = F.lit(False)
-    for i, r in enumerate(rules):
+    cells = [F.struct(F.lit(i).alias("rule"), F.expr(r.column).cast("string").alias("value")) for i, r in rules]
+    rule, failing = F.col("rule"), F.lit(False)
+    for i, r in rules:
         bad = F.col("n") > 1 if r.kind == UNIQUE else ~F.col("value").isin([_text_of(v) for v in r.values])
-        failing = F.when(F.col("rule") == i, bad).otherwise(failing)
+        failing = F.when(rule == i, bad).otherwise(failing)
     return (
         df.select(F.inline(F.array(*cells)))
         .where(F.col("value").isNotNull())
@@ -78,59 +91,49 @@ def _value_failures(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     )
 
 
+def _lost_parents(tables: Mapping[str, DataFrame], number: int, rule: Rule) -> DataFrame:
+    lost = orphans(tables[rule.table], rule.column, tables[rule.parent], rule.parent_column)
+    return lost.agg(F.lit(number).alias("rule"), F.coalesce(F.sum("rows"), F.lit(0)).alias("failures"))
+
+
 def evaluate(rules: Sequence[Rule], tables: Mapping[str, DataFrame]) -> DataFrame:
-    """One row per rule: table, rule, column, severity, failures, status.
+    """One row per rule: table, rule, column, argument, severity, failures, status.
 
     Per table there is one aggregate for all not-null rules and one for all unique and accepted-values rules; each
     relationship is an anti-join of pre-counted child keys.
     """
-    rows = []
-    by_table: dict[str, list[Rule]] = {}
-    for rule in rules:
-        by_table.setdefault(rule.table, []).append(rule)
-
-    def labelled(counts: DataFrame, group: Sequence[Rule]) -> DataFrame:
-        labels = [
-            F.struct(
-                F.lit(i).alias("rule"),
-                F.lit(r.table).alias("table_name"),
-                F.lit(r.kind).alias("rule_name"),
-                F.lit(r.column).alias("column_name"),
-                F.lit(", ".join(map(_text_of, r.values)) or r.parent).alias("argument"),
-                F.lit(r.severity).alias("severity"),
-            )
-            for i, r in enumerate(group)
-        ]
-        # The labels ride on a one-row aggregate so that rules without any counted value still appear.
-        gathered = counts.agg(F.map_from_entries(F.collect_list(F.struct("rule", "failures"))).alias("_by_rule"))
-        return gathered.select("_by_rule", F.inline(F.array(*labels))).withColumn(
-            "failures", F.coalesce(F.try_element_at("_by_rule", F.col("rule")), F.lit(0).cast("bigint"))
-        )
-
-    for name, group in by_table.items():
-        df = tables[name]
-        nulls = [r for r in group if r.kind == NOT_NULL]
-        valued = [r for r in group if r.kind in (UNIQUE, ACCEPTED)]
-        related = [r for r in group if r.kind == RELATED]
+    numbered = list(enumerate(rules))
+    counts = []
+    for name in dict.fromkeys(r.table for r in rules):
+        group = [(i, r) for i, r in numbered if r.table == name]
+        nulls = [(i, r) for i, r in group if r.kind == NOT_NULL]
+        valued = [(i, r) for i, r in group if r.kind in (UNIQUE, ACCEPTED)]
         if nulls:
-            wide = df.agg(
-                *[
-                    F.struct(F.lit(i).alias("rule"), F.count_if(F.expr(r.column).isNull()).alias("failures")).alias(f"c{i}")
-                    for i, r in enumerate(nulls)
-                ]
-            )
-            rows.append(labelled(wide.select(F.inline(F.array(*wide.columns))), nulls))
+            counts.append(_null_failures(tables[name], nulls))
         if valued:
-            rows.append(labelled(_value_failures(df, valued), valued))
-        for r in related:
-            lost = orphans(df, r.column, tables[r.parent], r.parent_column)
-            counted = lost.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("failures"))
-            rows.append(labelled(counted.select(F.lit(0).alias("rule"), "failures"), [r]))
-
-    result = rows[0]
-    for other in rows[1:]:
-        result = result.unionByName(other)
-    status = F.when(F.col("failures") == 0, "pass").when(F.col("severity") == "warn", "warn").otherwise("fail")
-    return result.select(
-        "table_name", "rule_name", "column_name", "argument", "severity", "failures", status.alias("status")
+            counts.append(_value_failures(tables[name], valued))
+        counts += [_lost_parents(tables, i, r) for i, r in group if r.kind == RELATED]
+
+    labels = local_table(
+        next(iter(tables.values())).sparkSession,
+        {
+            "rule": range(len(rules)),
+            "table_name": [r.table for r in rules],
+            "rule_name": [r.kind for r in rules],
+            "column_name": [r.column for r in rules],
+            "argument": [", ".join(map(_text_of, r.values)) or r.parent for r in rules],
+            "severity": [r.severity for r in rules],
+        },
+    )
+    failures = F.coalesce("failures", F.lit(0))
+    status = F.when(failures == 0, "pass").when(F.col("severity") == "warn", "warn").otherwise("fail")
+    # A table without any value yields no count for its value rules; such a rule has no failures.
+    return labels.join(reduce(DataFrame.union, counts), "rule", "left").select(
+        "table_name",
+        "rule_name",
+        "column_name",
+        "argument",
+        "severity",
+        failures.alias("failures"),
+        status.alias("status"),
     )

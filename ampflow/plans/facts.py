@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ampflow.config import ALL_CITIES, Run
 from ampflow.functions.calendar import date_key
 from ampflow.functions.measures import all_of, any_of, is_true, percent, positive, ratio, rows_where, sum_where
+from ampflow.operators.distinct import distinct_counts, distinct_counts_with_total, join_on_group
 from ampflow.operators.joins import left_join_many
 from ampflow.operators.ranking import with_tiles
 from ampflow.session import cut_lineage
@@ -113,9 +114,9 @@ def _average(total: str, rows: str) -> Column:
 def fact_daily_metrics(fact: DataFrame, run: Run) -> DataFrame:
     """Day x city measures plus one all-cities row per day.
 
-    The additive measures are summed once per day and city; the all-cities rows are sums of those few rows. Distinct
-    users and chargers do not add up over cities, so they are counted from four columns of the fact by grouping sets.
-    A NULL city is a group of its own: the total is told by ``grouping``, never by a NULL name.
+    The fact is aggregated per day and city only; the all-cities rows are sums of those few rows. Distinct users and
+    chargers do not add up over cities, so each is also counted in the first city it is met in, which does. A NULL
+    city is a group of its own: the total is told by ``grouping``, never by a NULL name.
     """
     dated = fact.where(F.col("transaction_date").isNotNull())
     valid = F.col("is_valid_transaction")
@@ -148,36 +149,25 @@ def fact_daily_metrics(fact: DataFrame, run: Run) -> DataFrame:
         "rfid_transactions": rows_where(method == "RFID"),
         "app_wallet_transactions": rows_where(method == "app_wallet"),
     }
-    grain = ["transaction_date", "transaction_date_key", "city_name"]
-    sets = [[F.col(c) for c in grain], [F.col(c) for c in grain[:2]]]
-    is_total = F.grouping("city_name").alias("_is_total")
-    per_city = dated.groupBy(*grain).agg(*[agg.alias(name) for name, agg in additive.items()])
-    sums = per_city.groupingSets(sets, *grain).agg(is_total, *[F.sum(name).alias(name) for name in additive])
-    entities = (
-        dated.select(*grain, "user_key", "charger_key")
-        .groupingSets(sets, *grain)
-        .agg(
-            is_total,
-            F.countDistinct("user_key").alias("active_users"),
-            F.countDistinct("charger_key").alias("active_chargers"),
-        )
-        .select(
-            F.col("transaction_date").alias("_date"),
-            F.col("city_name").alias("_city"),
-            F.col("_is_total").alias("_total"),
-            "active_users",
-            "active_chargers",
-        )
+    day, city = ["transaction_date", "transaction_date_key"], "city_name"
+    counted = {"active_users": "user_key", "active_chargers": "charger_key"}
+    per_city = join_on_group(
+        dated.groupBy(*day, city).agg(*[agg.alias(name) for name, agg in additive.items()]),
+        distinct_counts_with_total(dated, day[:1], city, counted),
+        [day[0], city],
     )
-    same_row = (
-        (F.col("transaction_date") == F.col("_date"))
-        & (F.col("_is_total") == F.col("_total"))
-        & F.col("city_name").eqNullSafe(F.col("_city"))
+    is_total = F.grouping(city) == 1
+    entities = [
+        F.coalesce(F.when(is_total, F.sum(f"{out}_first")).otherwise(F.sum(out)), F.lit(0)).alias(out)
+        for out in counted
+    ]
+    metrics = per_city.groupingSets([[F.col(c) for c in (*day, city)], [F.col(c) for c in day]], *day, city).agg(
+        is_total.alias("_is_total"), *[F.sum(name).alias(name) for name in additive], *entities
     )
     rows = F.col("total_transactions")
-    return sums.join(entities, same_row).select(
+    return metrics.select(
         "transaction_date",
-        F.when(F.col("_is_total") == 1, ALL_CITIES).otherwise(F.col("city_name")).alias("city_name"),
+        F.when(F.col("_is_total"), ALL_CITIES).otherwise(F.col("city_name")).alias("city_name"),
         "transaction_date_key",
         "total_revenue",
         "valid_revenue",
@@ -225,12 +215,14 @@ def charger_lifetime(fact: DataFrame, run: Run) -> DataFrame:
         F.sum("duration_minutes_coalesced").alias("total_duration_minutes"),
         F.sum(positive(F.col("duration_minutes"))).alias("_duration_sum"),
         F.count(positive(F.col("duration_minutes"))).alias("_duration_rows"),
-        F.countDistinct("user_key").alias("unique_users"),
         F.min("transaction_date").alias("first_transaction_date"),
         F.max("transaction_date").alias("last_transaction_date"),
-        F.countDistinct("transaction_date").alias("days_with_transactions"),
         rows_where(F.col("has_any_quality_issue")).alias("transactions_with_issues"),
     )
+    counted = {"unique_users": "user_key", "days_with_transactions": "transaction_date"}
+    totals = join_on_group(totals, distinct_counts(fact, ["charger_key"], counted), ["charger_key"]).fillna(
+        0, subset=list(counted)
+    )
     rows, days = F.col("total_transactions"), F.col("days_with_transactions")
     span = F.datediff("last_transaction_date", "first_transaction_date") + 1
     zero = F.lit(0.0)

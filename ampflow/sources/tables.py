@@ -6,6 +6,7 @@ import hashlib
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from ampflow.session import shared_dir
 
@@ -49,7 +50,7 @@ def input_state(spark: SparkSession, paths: Iterable[str]) -> str:
 class TableStore:
     """Parquet tables in the shared folder, each written once per application and input state."""
 
-    _written: set[str] = set()
+    _written: dict[str, StructType] = {}
 
     def __init__(self, spark: SparkSession, state: str):
         self.spark = spark
@@ -58,6 +59,7 @@ class TableStore:
     def table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         path = f"{self.root}/{name}"
         if path not in self._written:
-            build().write.mode("overwrite").parquet(path)
-            self._written.add(path)
-        return self.spark.read.parquet(path)
+            built = build()
+            built.write.mode("overwrite").parquet(path)
+            self._written[path] = built.schema
+        return self.spark.read.schema(self._written[path]).parquet(path)
