@@ -255,14 +255,14 @@ def unmapped_city(w):
 def missing_flags(w):
     sessions = w.table("stg_transactions").agg(measures.rows_where(F.col("kwh_consumed").isNull()).alias("missing_kwh"))
     paid = w.table("stg_payments").agg(measures.rows_where(F.col("amount").isNull()).alias("missing_amount"))
-    return sessions.crossJoin(paid)
+    return joins.with_row(sessions, paid)
 
 
 @query
 def sign_flags(w):
     sessions = w.table("stg_transactions").agg(measures.rows_where(F.col("kwh_consumed") < 0).alias("negative_kwh"))
     paid = w.table("stg_payments").agg(measures.rows_where(F.col("amount") <= 0).alias("invalid_amount"))
-    return sessions.crossJoin(paid)
+    return joins.with_row(sessions, paid)
 
 
 @query
@@ -312,7 +312,7 @@ def iqr_bounds(w):
         curated.with_duration(w.table("stg_transactions")), [curated.KWH_RULE, curated.DURATION_RULE]
     )
     paid = quantiles.iqr_bounds(w.table("stg_payments"), [curated.AMOUNT_RULE])
-    both = sessions.crossJoin(paid)
+    both = joins.with_row(sessions, paid)
     names = ("n", "q1", "q3", "iqr", "lower_bound", "upper_bound")
     return both.select(
         F.inline(

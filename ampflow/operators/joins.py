@@ -61,6 +61,16 @@ def left_join_many(
     return cold.unionByName(apart)
 
 
+def with_row(df: DataFrame, row: DataFrame) -> DataFrame:
+    """Adds the columns of ``row``, a frame of exactly one row such as a global aggregate, to every row of ``df``.
+
+    A scalar subquery: ``row`` is computed once and ``df`` is only projected, not joined. More than one row is an
+    error at run time.
+    """
+    packed = row.select(F.struct(*row.columns).alias("_row")).scalar()
+    return df.withColumn("_row", packed).select(*df.columns, "_row.*")
+
+
 def lookup_spelling(df: DataFrame, column: str, mapping: DataFrame, raw: str, standard: str) -> DataFrame:
     """Left join on the trimmed, lower-cased spelling; adds ``standard`` (NULL when unmapped).
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ampflow.functions.measures import is_true, rows_where
+from ampflow.operators.joins import with_row
 from ampflow.operators.quantiles import float_quantiles
 
 _QUARTERS = (0.25, 0.5, 0.75)
@@ -104,9 +105,7 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
         F.least(F.floor((F.col("value") - F.col("low")) / F.nullif(width, F.lit(0.0))), F.lit(bins - 1))
     )
     counted = (
-        df.select(value.alias("value"))
-        .where(F.col("value").isNotNull())
-        .crossJoin(F.broadcast(ends))
+        with_row(df.select(value.alias("value")).where(F.col("value").isNotNull()), ends)
         .groupBy(bin_of.cast("int").alias("bin"))
         .agg(F.count(F.lit(1)).alias("row_count"))
     )
@@ -278,8 +277,7 @@ def profile_columns(df: DataFrame) -> DataFrame:
     rows = df.agg(F.count(F.lit(1)).alias("n_rows"))
     zero = F.lit(0).cast("bigint")
     return (
-        null_counts(df)
-        .crossJoin(F.broadcast(rows))
+        with_row(null_counts(df), rows)
         .join(counted, "column_name", "left")
         .select(
             "position",

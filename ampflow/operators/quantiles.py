@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ampflow.operators.joins import with_row
 from ampflow.session import cut_lineage
 
 DIGITS_PER_PASS = 6
@@ -39,7 +40,8 @@ def decimal_measure(column: str, precision: int, scale: int) -> Fixed:
 
 
 def _long_form(df: DataFrame, values: Mapping[str, Column]) -> DataFrame:
-    cells = [F.struct(F.lit(name).alias("measure"), col.alias("value")) for name, col in values.items()]
+    """Rows (measure, value) without NULLs; measures are numbered in order."""
+    cells = [F.struct(F.lit(i).alias("measure"), col.alias("value")) for i, col in enumerate(values.values())]
     return df.select(F.inline(F.array(*cells))).where(F.col("value").isNotNull())
 
 
@@ -90,8 +92,8 @@ def _finer_cells(rows: DataFrame, cells: DataFrame, probs: Sequence[float], n: C
 def _one_row(cells: DataFrame, names: Sequence[str], probs: Sequence[float], origin: Mapping[str, int]) -> DataFrame:
     """Interpolated quantiles as one row: ``<name>_n`` and ``<name>_p<i>`` (NULL without values)."""
     out = []
-    for name in names:
-        mine = F.col("measure") == name
+    for number, name in enumerate(names):
+        mine = F.col("measure") == number
         rows = F.max(F.when(mine, F.col("rows")))
         out.append(F.coalesce(rows, F.lit(0)).alias(f"{name}_n"))
         for i, p in enumerate(probs):
@@ -187,9 +189,9 @@ def iqr_bounds(df: DataFrame, rules: Sequence[IqrRule]) -> DataFrame:
 
 
 def with_iqr_bounds(df: DataFrame, rules: Sequence[IqrRule], bounds: DataFrame | None = None) -> DataFrame:
-    """``df`` with the bounds attached to each row; the bounds are one row by construction, hence the broadcast.
+    """``df`` with the bounds attached to each row.
 
     Pass ``bounds`` to reuse frozen bounds of an earlier run (incremental loads).
     """
     row = iqr_bounds(df, rules) if bounds is None else bounds
-    return df.crossJoin(F.broadcast(row))
+    return with_row(df, row)

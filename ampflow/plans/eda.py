@@ -199,8 +199,8 @@ def energy_trend(master: DataFrame, days: int | None = 90, city: str | None = No
         F.coalesce(F.sum("kwh_consumed"), F.lit(0)).cast("decimal(20,4)").alias("total_kwh")
     )
     if days is not None:
-        last = clean.agg(F.max(F.to_date("start_time")).alias("_last"))
-        daily = daily.crossJoin(F.broadcast(last)).where(F.col("date") >= F.date_sub("_last", days)).drop("_last")
+        first = clean.agg(F.date_sub(F.max(F.to_date("start_time")), days))
+        daily = daily.where(F.col("date") >= first.scalar())
     return daily.orderBy("date")
 
 

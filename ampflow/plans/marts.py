@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ampflow.config import ALL_CITIES, Reporting
 from ampflow.functions.measures import ratio
+from ampflow.operators.joins import with_row
 from ampflow.operators.quantiles import float_quantiles
 
 CURRENT, PREVIOUS = "Current Month", "Previous Month"
@@ -97,7 +98,7 @@ def revenue_trend_all(daily: DataFrame, when: Reporting) -> DataFrame:
         .select("transaction_date", "city_name", F.col("valid_revenue").alias("total_revenue"))
     )
     line = days.agg(ratio(F.sum("total_revenue"), F.count("total_revenue")).alias("average_revenue"))
-    return days.crossJoin(F.broadcast(line)).orderBy("transaction_date")
+    return with_row(days, line).orderBy("transaction_date")
 
 
 def city_filter_values(daily: DataFrame, when: Reporting) -> DataFrame:
