@@ -2,8 +2,8 @@
 
 Fixed-point measures (decimals, whole minutes) are located digit by digit: a histogram over the leading digits
 says which cell holds the wanted rank, the next pass looks only inside that cell. Each histogram combines on the
-map side and has at most ``2 * BASE`` rows per measure, whatever the number of input rows or the skew of the
-values. Floating-point measures have no fixed digits; they are ranked by one distributed sort of their distinct
+map side and has at most two million rows per measure (two hundred thousand for ten digits), whatever the number
+of input rows or the skew of the values. Floating-point measures have no fixed digits; they are ranked by one distributed sort of their distinct
 values instead.
 """
 
@@ -18,8 +18,7 @@ from pyspark.sql import functions as F
 from ampflow.operators.joins import with_row
 from ampflow.session import cut_lineage
 
-DIGITS_PER_PASS = 6
-BASE = 10**DIGITS_PER_PASS
+MAX_DIGITS_PER_PASS = 6
 QUARTILES = (0.25, 0.75)
 
 
@@ -36,6 +35,8 @@ class Fixed:
 
 
 def decimal_measure(column: str, precision: int, scale: int) -> Fixed:
+    if precision <= 15:  # the nearest double times 10^scale is within rounding of the exact integer
+        return Fixed(f"CAST(RINT(CAST({column} AS DOUBLE) * {10**scale}) AS BIGINT)", 10**scale, precision)
     return Fixed(f"CAST({column} * {10**scale} AS BIGINT)", 10**scale, precision)
 
 
@@ -105,12 +106,19 @@ def _one_row(cells: DataFrame, names: Sequence[str], probs: Sequence[float], ori
     return cells.agg(*out)
 
 
+def _divisors(digits: int) -> list[int]:
+    """Powers of ten that split ``digits`` digits evenly over as few passes as allowed, ending in 1."""
+    passes = -(-digits // MAX_DIGITS_PER_PASS)
+    per_pass = -(-digits // passes)
+    return [10 ** (per_pass * k) for k in reversed(range(passes))]
+
+
 def fixed_quantiles(df: DataFrame, measures: Mapping[str, Fixed], probs: Sequence[float] = QUARTILES) -> DataFrame:
     """One row with the exact quantiles, in units, of all measures; each pass reads only their columns."""
     digits = max(m.digits for m in measures.values())
     origin = {name: 10**digits for name in measures}
     values = _long_form(df, {name: F.expr(m.units).cast("bigint") + origin[name] for name, m in measures.items()})
-    divisors = [BASE**k for k in reversed(range(-(-digits // DIGITS_PER_PASS)))]
+    divisors = _divisors(digits)
     count = F.count(F.lit(1))
     cells = _first_cells(
         values.groupBy("measure", F.expr(f"value div {divisors[0]}L").alias("cell")).agg(count.alias("n")), probs
