@@ -9,7 +9,7 @@ from ampflow.config import BoundingBox, Run
 from ampflow.functions.calendar import minutes_between
 from ampflow.functions.measures import ends_before_start, outside_box
 from ampflow.operators.joins import lookup_spelling
-from ampflow.operators.quantiles import Fixed, IqrRule, decimal_measure, with_iqr_bounds
+from ampflow.operators.quantiles import Fixed, IqrRule, decimal_measure, iqr_bounds, with_iqr_bounds
 
 AUDIT = ("_loaded_at", "_source_file")
 
@@ -44,6 +44,16 @@ def cur_chargers(stg_chargers: DataFrame, city_map: DataFrame, run: Run) -> Data
     )
 
 
+def payment_bounds(stg_payments: DataFrame) -> DataFrame:
+    """One row of outlier bounds. Kept with a run, it lets later rows be flagged against the same bounds."""
+    return iqr_bounds(stg_payments, [AMOUNT_RULE])
+
+
+def transaction_bounds(stg_transactions: DataFrame) -> DataFrame:
+    """As :func:`payment_bounds`, for energy and duration."""
+    return iqr_bounds(with_duration(stg_transactions), [KWH_RULE, DURATION_RULE])
+
+
 def cur_payments(stg_payments: DataFrame, run: Run, bounds: DataFrame | None = None) -> DataFrame:
     amount = F.col("amount")
     return with_iqr_bounds(stg_payments, [AMOUNT_RULE], bounds).select(

@@ -34,17 +34,17 @@ LAYERS: dict[str, str] = {
 }
 
 
-def model(name: str, table: Source, run: Run) -> DataFrame:
-    """The DataFrame of one model over the tables ``table`` returns."""
+def model(name: str, table: Source, run: Run, bounds: DataFrame | None = None) -> DataFrame:
+    """The DataFrame of one model over the tables ``table`` returns; ``bounds`` replaces fresh outlier bounds."""
     match name:
         case "cur_users":
             return curated.cur_users(table("stg_users"), run)
         case "cur_chargers":
             return curated.cur_chargers(table("stg_chargers"), table("city_name_mapping"), run)
         case "cur_payments":
-            return curated.cur_payments(table("stg_payments"), run)
+            return curated.cur_payments(table("stg_payments"), run, bounds)
         case "cur_transactions":
-            return curated.cur_transactions(table("stg_transactions"), run)
+            return curated.cur_transactions(table("stg_transactions"), run, bounds)
         case "dim_dates":
             return dimensions.dim_dates(table("date_spine"), run)
         case "dim_users":
@@ -72,16 +72,26 @@ def refresh(
 
     ``stage`` holds the four stage tables and optionally ``city_name_mapping`` and ``date_spine``. With ``buckets``
     the two sides of the session join are bucketed by ``session_id``; with ``partition_facts`` the facts with a date
-    are partitioned by it.
+    are partitioned by it. The outlier bounds of the run are kept as ``curated.*_bounds``.
     """
     tables = {"city_name_mapping": seeds.city_map(spark), "date_spine": dimensions.date_spine(spark)} | stage
     for name in ("stg_users", "stg_chargers", "stg_transactions", "stg_payments"):
         tables[name] = save_table(tables[name], "stg", name)
+    bounds = {
+        "cur_payments": save_table(
+            curated.payment_bounds(tables["stg_payments"]).withColumn("_run_ts", run.stamp()), "curated", "payment_bounds"
+        ),
+        "cur_transactions": save_table(
+            curated.transaction_bounds(tables["stg_transactions"]).withColumn("_run_ts", run.stamp()),
+            "curated",
+            "transaction_bounds",
+        ),
+    }
     for name, layer in LAYERS.items():
         bucketed = buckets if name in ("cur_transactions", "cur_payments") else 0
         dated = partition_facts and name in ("fact_transactions", "fact_daily_metrics")
         tables[name] = save_table(
-            model(name, tables.__getitem__, run),
+            model(name, tables.__getitem__, run, bounds.get(name)),
             layer,
             name,
             partition_by=["transaction_date"] if dated else (),

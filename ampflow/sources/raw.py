@@ -31,7 +31,7 @@ def scan_json(spark: SparkSession, path: str, schema: str, outer_array: bool = F
 def land_variant(spark: SparkSession, path: str, loaded_at: Column) -> DataFrame:
     """JSON lines as one VARIANT column plus load time and file name.
 
-    Bad lines have a NULL ``raw_data``; they stay countable in ``_bad_line``.
+    Lines that are no JSON, repeat a key or are no valid UTF-8 have a NULL ``raw_data`` and are kept in ``_bad_line``.
     """
     text = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("_source_file"))
     return _landed(text.where(F.trim("value") != ""), loaded_at)
@@ -50,7 +50,7 @@ def land_variant_array(spark: SparkSession, path: str, loaded_at: Column) -> Dat
 
 
 def _landed(text: DataFrame, loaded_at: Column) -> DataFrame:
-    parsed = F.try_parse_json("value")
+    parsed = F.when(F.is_valid_utf8("value"), F.try_parse_json("value"))
     return text.select(
         parsed.alias("raw_data"),
         F.when(parsed.isNull(), F.col("value")).alias("_bad_line"),

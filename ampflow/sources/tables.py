@@ -22,11 +22,13 @@ def save_table(
     """Full refresh of ``database.name``; returns the table as read back.
 
     Facts partition by date so that date filters prune files. Bucketing both sides of the session join by
-    ``session_id`` removes its shuffles.
+    ``session_id`` removes its shuffles. Rows are first rebalanced by the layout columns: few files per partition or
+    bucket, and one that holds much of the data is still written by several tasks.
     """
     spark = df.sparkSession
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
-    writer = df.write.mode("overwrite").format("parquet")
+    layout = [*partition_by, *([bucket_by] if bucket_by else [])]
+    writer = (df.hint("rebalance", *layout) if layout else df).write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if bucket_by:

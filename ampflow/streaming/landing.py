@@ -12,12 +12,17 @@ from ampflow.sources.raw import CORRUPT
 
 @dataclass(frozen=True)
 class Landing:
-    """Where one kind of record arrives and where it is kept. All folders are shared by the executors."""
+    """Where one kind of record arrives and where it is kept. All folders are shared by the executors.
+
+    Files hold one record per line, or with ``outer_array`` one array of records each; a broken array file is set
+    aside as a whole.
+    """
 
     source: str
     schema: str
     target: str
     checkpoint: str
+    outer_array: bool = False
 
     @property
     def read_schema(self) -> str:
@@ -30,6 +35,7 @@ def load_new_files(spark: SparkSession, landing: Landing, loaded_at: Column) ->
         spark.readStream.schema(landing.read_schema)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
+        .option("multiLine", landing.outer_array)
         .json(landing.source)
     )
     query = (

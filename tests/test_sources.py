@@ -70,7 +70,7 @@ def test_seed(spark, tmp_path):
     assert seeds.city_map(spark).count() == 16
     assert seeds.place_cities(spark).count() == 55
     path = str(seeds.DATA / "city_name_mapping.csv")
-    typed = seeds.read_seed(spark, path, "city_name_raw varchar(100), city_name_standardized varchar(100)")
+    typed = seeds.read_seed(spark, path, "city_name_raw string, city_name_standardized string")
     assert values(typed) == values(seeds.city_map(spark))
 
 
@@ -89,6 +89,26 @@ def test_landing_loads_each_file_once(spark, run, tmp_path):
     assert values(quarantined(spark, landing), "bad_line", "_source_file") == [("{broken", "one.json")]
 
 
+def test_landing_of_array_files(spark, run, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    landing = Landing(
+        str(source), raw.RAW_SCHEMAS["chargers"], str(tmp_path / "out"), str(tmp_path / "progress"), outer_array=True
+    )
+    (source / "ok.json").write_text(json.dumps(RECORDS))
+    (source / "bad.json").write_text('[{"charger_id": "c9",')
+    load_new_files(spark, landing, run.stamp())
+    assert values(loaded(spark, landing), "charger_id", "location.lat") == [("c1", 46.9), ("c2", None)]
+    assert values(quarantined(spark, landing), "_source_file") == [("bad.json",)]
+
+
+def test_lines_with_repeated_keys_or_bad_bytes_are_set_aside(spark, run, tmp_path):
+    (tmp_path / "l.json").write_bytes(b'{"a": 1, "a": 2}\n{"a": "\xff\xfe"}\n{"a": 3}\n\n')
+    landed = raw.land_variant(spark, f"{tmp_path}/l.json", run.stamp())
+    assert landed.count() == 3
+    assert landed.where("raw_data IS NULL AND _bad_line IS NOT NULL").count() == 2
+
+
 SCHEMA = "session_id string, kwh int, _loaded_at timestamp_ntz, transaction_month date"
 
 
@@ -162,6 +182,13 @@ def test_refresh_builds_every_layer(spark, refreshed):
     assert spark.table("semantic.fact_daily_metrics").count() == 2497
 
 
+def test_refresh_keeps_its_bounds(spark, refreshed):
+    saved = spark.table("curated.payment_bounds").first()
+    row = spark.table("curated.cur_payments").first()
+    assert saved["amount_upper_bound"] == row["_outlier_upper_bound"]
+    assert spark.table("curated.cur_payments").where("is_outlier_amount").count() == 20
+
+
 def test_bucketed_session_join_does_not_shuffle(spark, refreshed):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     try:
