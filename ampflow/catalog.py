@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ampflow.config import AGE_BAND, MARKET_BAND, TENURE_BAND
 from ampflow.functions import calendar, measures, parsing
 from ampflow.operators import joins, profile, quantiles, ranking, rules
+from ampflow.operators.distinct import distinct_counts
 from ampflow.operators.nearest import nearest_place
 from ampflow.plans import curated, dimensions, eda, facts, marts, monitor, stage
 from ampflow.plans.quality_rules import METHODS, RULES, TIERS
@@ -547,13 +548,10 @@ def charger_totals(w):
 
 @query
 def active_entities(w):
-    return (
-        w.table("fact_transactions")
-        .groupBy("transaction_date")
-        .agg(
-            F.countDistinct("user_key").alias("active_users"),
-            F.countDistinct("charger_key").alias("active_chargers"),
-        )
+    return distinct_counts(
+        w.table("fact_transactions"),
+        ["transaction_date"],
+        {"active_users": "user_key", "active_chargers": "charger_key"},
     )
 
 
