@@ -22,6 +22,7 @@ def build_session(app_name: str = "ampflow", master: str | None = None, **conf:
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.ui.enabled": "false",
     } | conf
     builder = SparkSession.builder.appName(app_name)
