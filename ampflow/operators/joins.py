@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -61,6 +63,14 @@ def left_join_many(
     return cold.unionByName(apart)
 
 
+def union_all(frames: Sequence[DataFrame]) -> DataFrame:
+    """Rows of all frames, matched by name. Pairs are united first: each union analyses its whole plan again."""
+    while len(frames) > 1:
+        pairs = [frames[i : i + 2] for i in range(0, len(frames), 2)]
+        frames = [p[0].unionByName(p[1]) if len(p) == 2 else p[0] for p in pairs]
+    return frames[0]
+
+
 def with_row(df: DataFrame, row: DataFrame) -> DataFrame:
     """Adds the columns of ``row``, a frame of exactly one row such as a global aggregate, to every row of ``df``.
 

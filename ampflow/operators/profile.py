@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ampflow.functions.measures import is_true, rows_where
-from ampflow.operators.joins import with_row
+from ampflow.operators.joins import union_all, with_row
 from ampflow.operators.quantiles import float_quantiles
 
 _QUARTERS = (0.25, 0.5, 0.75)
@@ -225,10 +225,7 @@ def describe(df: DataFrame) -> DataFrame:
         parts.append(
             top.join(first, "column_name").select("column_name", "count", "unique", "top", "freq", *empty)
         )
-    result = parts[0]
-    for other in parts[1:]:
-        result = result.unionByName(other)
-    return result
+    return union_all(parts)
 
 
 def profile_numeric(df: DataFrame) -> DataFrame:

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ampflow.operators.joins import orphans
+from ampflow.operators.joins import orphans, union_all
 from ampflow.session import local_table
 
 UNIQUE, NOT_NULL, ACCEPTED, RELATED = "unique", "not_null", "accepted_values", "relationships"
@@ -61,33 +60,36 @@ def _text_of(value) -> str:
     return str(value).lower() if isinstance(value, bool) else str(value)
 
 
+def _quoted(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 Numbered = Sequence[tuple[int, Rule]]
 
 
 def _null_failures(df: DataFrame, rules: Numbered) -> DataFrame:
-    wide = df.agg(
-        *[
-            F.struct(F.lit(i).alias("rule"), F.count_if(F.expr(r.column).isNull()).alias("failures")).alias(f"c{i}")
-            for i, r in rules
-        ]
-    )
-    return wide.select(F.inline(F.array(*wide.columns)))
+    counts = [f"named_struct('rule', {i}, 'failures', count_if(({r.column}) IS NULL))" for i, r in rules]
+    return df.selectExpr(f"array({', '.join(counts)}) AS counts").selectExpr("inline(counts)")
 
 
 def _value_failures(df: DataFrame, rules: Numbered) -> DataFrame:
     """Failures of the unique and accepted-values rules of one table from a single (rule, value) count."""
-    cells = [F.struct(F.lit(i).alias("rule"), F.expr(r.column).cast("string").alias("value")) for i, r in rules]
-    rule, failing = F.col("rule"), F.lit(False)
-    for i, r in rules:
-        bad = F.col("n") > 1 if r.kind == UNIQUE else ~F.col("value").isin([_text_of(v) for v in r.values])
-        failing = F.when(rule == i, bad).otherwise(failing)
+    cells = [f"named_struct('rule', {i}, 'value', CAST({r.column} AS STRING))" for i, r in rules]
+
+    def failing(rule: Rule) -> str:
+        if rule.kind == UNIQUE:
+            return "count > 1"
+        return f"value NOT IN ({', '.join(_quoted(_text_of(v)) for v in rule.values)})"
+
+    cases = " ".join(f"WHEN {i} THEN {failing(r)}" for i, r in rules)
     return (
-        df.select(F.inline(F.array(*cells)))
-        .where(F.col("value").isNotNull())
+        df.selectExpr(f"inline(array({', '.join(cells)}))")
+        .where("value IS NOT NULL")
         .groupBy("rule", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .count()
         .groupBy("rule")
-        .agg(F.count_if(failing).alias("failures"))
+        .agg(F.expr(f"count_if(CASE rule {cases} END) AS failures"))
     )
 
 
@@ -128,7 +130,7 @@ def evaluate(rules: Sequence[Rule], tables: Mapping[str, DataFrame]) -> DataFram
     failures = F.coalesce("failures", F.lit(0))
     status = F.when(failures == 0, "pass").when(F.col("severity") == "warn", "warn").otherwise("fail")
     # A table without any value yields no count for its value rules; such a rule has no failures.
-    return labels.join(reduce(DataFrame.union, counts), "rule", "left").select(
+    return labels.join(union_all(counts), "rule", "left").select(
         "table_name",
         "rule_name",
         "column_name",

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ampflow.operators.joins import union_all
+
 CORRUPT = "_corrupt_record"
 
 # Shapes of the raw records.
@@ -74,7 +76,4 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
         df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
         for name, df in tables.items()
     ]
-    result = counts[0]
-    for other in counts[1:]:
-        result = result.unionByName(other)
-    return result
+    return union_all(counts)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import threading
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,6 +54,7 @@ class TableStore:
     """Parquet tables in the shared folder, each written once per application and input state."""
 
     _written: dict[str, StructType] = {}
+    _lock = threading.RLock()  # building a table may build others
 
     def __init__(self, spark: SparkSession, state: str):
         self.spark = spark
@@ -60,8 +62,9 @@ class TableStore:
 
     def table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         path = f"{self.root}/{name}"
-        if path not in self._written:
-            built = build()
-            built.write.mode("overwrite").parquet(path)
-            self._written[path] = built.schema
+        with self._lock:
+            if path not in self._written:
+                built = build()
+                built.write.mode("overwrite").parquet(path)
+                self._written[path] = built.schema
         return self.spark.read.schema(self._written[path]).parquet(path)

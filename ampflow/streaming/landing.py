@@ -23,6 +23,7 @@ class Landing:
     target: str
     checkpoint: str
     outer_array: bool = False
+    files_per_batch: int | None = None
 
     @property
     def read_schema(self) -> str:
@@ -30,9 +31,15 @@ class Landing:
 
 
 def load_new_files(spark: SparkSession, landing: Landing, loaded_at: Column) -> None:
-    """Load all files not loaded before, then stop. Re-running without new files adds no rows."""
+    """Load all files not loaded before, then stop. Re-running without new files adds no rows.
+
+    A large backlog is taken in batches of ``files_per_batch``, each committed on its own.
+    """
+    reader = spark.readStream
+    if landing.files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", landing.files_per_batch)
     lines = (
-        spark.readStream.schema(landing.read_schema)
+        reader.schema(landing.read_schema)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("multiLine", landing.outer_array)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ampflow.config import ALL_CITIES
 from ampflow.functions.calendar import minutes_between
+from ampflow.operators.joins import union_all
 
 
 def source_freshness(
@@ -20,15 +21,15 @@ def source_freshness(
     ``sources`` maps a name to (table, load-time column).
     """
     clock = F.lit(now.isoformat(sep=" ")).cast("timestamp_ntz")
-    newest = [df.select(F.lit(name).alias("source_name"), F.max(c).alias("max_loaded_at")) for name, (df, c) in sources.items()]
-    result = newest[0]
-    for other in newest[1:]:
-        result = result.unionByName(other)
+    newest = [
+        df.agg(F.lit(name).alias("source_name"), F.max(column).alias("max_loaded_at"))
+        for name, (df, column) in sources.items()
+    ]
     age = minutes_between(F.col("max_loaded_at"), clock)
     status = (
         F.when(age.isNull() | (age > error_hours * 60), "error").when(age > warn_hours * 60, "warn").otherwise("pass")
     )
-    return result.select("source_name", "max_loaded_at", age.alias("age_minutes"), status.alias("status"))
+    return union_all(newest).select("source_name", "max_loaded_at", age.alias("age_minutes"), status.alias("status"))
 
 
 def valid_pct_alerts(daily: DataFrame, threshold: float) -> DataFrame:

@@ -239,12 +239,10 @@ FROM charger_lifetime""",
 SELECT l.*, d.charger_id, d.charger_city, d.charger_installed_date, d.charger_age_days, d.charger_age_band,
   d.has_data_quality_issue AS charger_has_data_quality_issue, d.data_quality_status AS charger_data_quality_status,
   q.transaction_volume_quartile, q.revenue_per_txn_quartile, q.total_revenue_quartile,
-  CASE WHEN q.transaction_volume_quartile = 4 AND q.revenue_per_txn_quartile = 4 THEN 'Star Performer'
-       WHEN q.transaction_volume_quartile >= 3 AND q.revenue_per_txn_quartile >= 3 THEN 'High Performer'
-       WHEN q.transaction_volume_quartile <= 2 AND q.revenue_per_txn_quartile <= 2 THEN 'Underperformer'
-       WHEN q.transaction_volume_quartile >= 3 AND q.revenue_per_txn_quartile <= 2 THEN 'High Volume / Low Value'
-       WHEN q.transaction_volume_quartile <= 2 AND q.revenue_per_txn_quartile >= 3 THEN 'Low Volume / High Value'
-       ELSE 'Average' END AS performance_classification
+  CASE WHEN q.transaction_volume_quartile + q.revenue_per_txn_quartile = 8 THEN 'Star Performer'
+       ELSE list_extract(['Underperformer', 'Low Volume / High Value', 'High Volume / Low Value', 'High Performer'],
+         1 + 2 * (q.transaction_volume_quartile > 2)::INTEGER + (q.revenue_per_txn_quartile > 2)::INTEGER)
+       END AS performance_classification
 FROM charger_lifetime l JOIN charger_quartiles q ON l.charger_key IS NOT DISTINCT FROM q.charger_key
 LEFT JOIN dim_chargers d ON l.charger_key = d.charger_key""",
     "eda_chargers": """

@@ -292,6 +292,17 @@ def test_rules(spark):
     )
 
 
+def test_accepted_values_with_quotes(spark):
+    df = spark.createDataFrame([("it's",), ("a\\b",), ("other",)], "v string")
+    rule = rules.Rule("t", rules.ACCEPTED, "v", values=("it's", "a\\b"))
+    assert [r["failures"] for r in rules.evaluate([rule], {"t": df}).collect()] == [1]
+
+
+def test_union_all(spark):
+    frames = [spark.createDataFrame([(i,)], "x int") for i in range(5)]
+    assert values(joins.union_all(frames)) == [(i,) for i in range(5)]
+
+
 def test_rule_records(spark):
     df = spark.createDataFrame([("a",), ("a",), ("b",), (None,), (None,)], "v string")
     assert values(rules.duplicated(df, "v")) == [("a", 2)]

@@ -89,6 +89,19 @@ def test_landing_loads_each_file_once(spark, run, tmp_path):
     assert values(quarantined(spark, landing), "bad_line", "_source_file") == [("{broken", "one.json")]
 
 
+def test_landing_takes_a_backlog_in_batches(spark, run, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    for i in range(3):
+        (source / f"{i}.json").write_text('{"payment_id": "p%d"}\n' % i)
+    landing = Landing(
+        str(source), raw.RAW_SCHEMAS["payments"], str(tmp_path / "out"), str(tmp_path / "progress"), files_per_batch=1
+    )
+    load_new_files(spark, landing, run.stamp())
+    assert values(loaded(spark, landing), "payment_id") == [("p0",), ("p1",), ("p2",)]
+    assert len(list((tmp_path / "progress" / "commits").glob("[0-9]*"))) == 3
+
+
 def test_landing_of_array_files(spark, run, tmp_path):
     source = tmp_path / "in"
     source.mkdir()
