@@ -10,14 +10,32 @@ from pyspark.sql import functions as F
 from ampflow.functions.measures import haversine_km
 from ampflow.session import cut_lineage
 
-# Cell sizes in degrees; the last one covers the globe from every cell.
-CELL_DEGREES = (0.5, 10.0, 180.0)
+# Cell sizes in degrees, each a divisor of 360; the last one covers the globe from every cell.
+CELL_DEGREES = (0.01, 0.05, 0.25, 1.0, 10.0, 180.0)
+CROWDED = 8
 
 
 def _columns_around(size: float) -> int:
     return int(round(360 / size))
 
 
+def _first_size(places: DataFrame) -> int:
+    """Index of the coarsest cell size at which no cell holds more than ``CROWDED`` places (0 if there is none).
+
+    Starting too fine costs a pass over few candidates; starting too coarse would compare each point with every place
+    of a crowded neighbourhood.
+    """
+    cells = places.select("lat", "lon", F.posexplode(F.array(*[F.lit(x) for x in CELL_DEGREES])).alias("i", "size"))
+    fullest = (
+        cells.groupBy("i", F.floor((F.col("lat") + 90) / F.col("size")), F.floor((F.col("lon") + 180) / F.col("size")))
+        .count()
+        .groupBy("i")
+        .agg(F.max("count").alias("most"))
+    )
+    found = fullest.where(F.col("most") <= CROWDED).agg(F.max("i")).first()[0]
+    return found or 0
+
+
 def _near_places(places: DataFrame, size: float) -> DataFrame:
     """Each place under its own cell and the neighbouring ones (at most nine)."""
     around = _columns_around(size)
@@ -39,7 +57,7 @@ def _sure_within_km(lat: Column, size: float) -> Column:
     if size >= 90:
         return F.lit(math.inf)
     across = F.asin(F.cos(F.radians(lat)) * math.sin(math.radians(size)))
-    return F.lit(6371.0) * F.least(across, F.lit(math.radians(size)))
+    return F.lit(6371.0 * (1 - 1e-9)) * F.least(across, F.lit(math.radians(size)))
 
 
 def nearest_place(points: DataFrame, places: DataFrame, lat: str = "latitude", lon: str = "longitude") -> DataFrame:
@@ -47,7 +65,7 @@ def nearest_place(points: DataFrame, places: DataFrame, lat: str = "latitude", l
 
     ``places`` has columns place, lat, lon. Only distinct coordinates are searched. An answer is accepted when it is
     closer than anything outside the searched cells could be; the rest is searched again in coarser cells, so the
-    result is exact for any point. Ties go to the alphabetically first place.
+    result is exact for any point. A point meets only the places of nine cells, sized by how crowded the places are. Ties go to the alphabetically first place.
     """
     coordinates = (
         points.select(F.col(lat).alias("_lat"), F.col(lon).alias("_lon"))
@@ -56,7 +74,7 @@ def nearest_place(points: DataFrame, places: DataFrame, lat: str = "latitude", l
     )
     answers: DataFrame | None = None
     open_points = coordinates
-    for size in CELL_DEGREES:
+    for size in CELL_DEGREES[_first_size(places) :]:
         around = _columns_around(size)
         cells = open_points.withColumn("_row", F.floor((F.col("_lat") + 90) / size)).withColumn(
             "_column", F.pmod(F.floor((F.col("_lon") + 180) / size), F.lit(around))
