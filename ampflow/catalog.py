@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ampflow.config import AGE_BAND, MARKET_BAND, TENURE_BAND
-from ampflow.functions import calendar, measures, parsing
+from ampflow.functions import measures, parsing
 from ampflow.operators import joins, profile, quantiles, ranking, rules
 from ampflow.operators.distinct import distinct_counts
 from ampflow.operators.nearest import nearest_place

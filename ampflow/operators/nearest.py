@@ -65,7 +65,8 @@ def nearest_place(points: DataFrame, places: DataFrame, lat: str = "latitude", l
 
     ``places`` has columns place, lat, lon. Only distinct coordinates are searched. An answer is accepted when it is
     closer than anything outside the searched cells could be; the rest is searched again in coarser cells, so the
-    result is exact for any point. A point meets only the places of nine cells, sized by how crowded the places are. Ties go to the alphabetically first place.
+    result is exact for any point. A point meets only the places of nine cells, sized by how crowded the places are.
+    Ties go to the alphabetically first place.
     """
     coordinates = (
         points.select(F.col(lat).alias("_lat"), F.col(lon).alias("_lon"))

@@ -88,7 +88,9 @@ def flag_crosstab(df: DataFrame, flags: Sequence[str]) -> DataFrame:
     wide = df.agg(
         *[
             F.struct(
-                F.lit(a).alias("row_issue"), F.lit(b).alias("col_issue"), rows_where(is_true(F.col(a)) & F.col(b)).alias("row_count")
+                F.lit(a).alias("row_issue"),
+                F.lit(b).alias("col_issue"),
+                rows_where(is_true(F.col(a)) & F.col(b)).alias("row_count"),
             ).alias(f"p{i}")
             for i, (a, b) in enumerate(pairs)
         ]

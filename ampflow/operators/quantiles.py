@@ -3,8 +3,8 @@
 Fixed-point measures (decimals, whole minutes) are located digit by digit: a histogram over the leading digits
 says which cell holds the wanted rank, the next pass looks only inside that cell. Each histogram combines on the
 map side and has at most two million rows per measure (two hundred thousand for ten digits), whatever the number
-of input rows or the skew of the values. Floating-point measures have no fixed digits; they are ranked by one distributed sort of their distinct
-values instead.
+of input rows or the skew of the values. Floating-point measures have no fixed digits; they are ranked by one
+distributed sort of their distinct values instead.
 """
 
 from __future__ import annotations

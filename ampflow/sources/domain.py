@@ -86,7 +86,13 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy(F.col("l_orderkey").alias("o_orderkey"))
         .agg(
             F.min(
-                F.struct("l_linenumber", "l_suppkey", "l_partkey", "l_extendedprice", F.col("l_quantity").cast("double").alias("l_quantity"))
+                F.struct(
+                    "l_linenumber",
+                    "l_suppkey",
+                    "l_partkey",
+                    "l_extendedprice",
+                    F.col("l_quantity").cast("double").alias("l_quantity"),
+                )
             ).alias("line")
         )
         .select("o_orderkey", "line.l_suppkey", "line.l_quantity")

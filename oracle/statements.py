@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.models import AMOUNT_UNITS, MINUTE_UNITS, KWH_UNITS, STAMP, hits, pct, statement
+from oracle.models import STAMP, hits, statement
 
 _MODEL_KEYS = (
     "cur_users",
