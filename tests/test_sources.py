@@ -219,3 +219,22 @@ def test_partitioned_table_prunes(spark, tmp_path):
     table = save_table(df, "scratch", "dated", partition_by=["transaction_date"])
     plan = plan_of(table.where("transaction_date = DATE '2025-01-02'").select("n"))
     assert "PartitionFilters: [isnotnull(transaction_date" in plan
+
+
+def test_refresh_with_dated_facts(spark, refreshed):
+    """One month of sessions; the dated facts are pruned by day and equal the undated ones."""
+    small = "/root/testdata/sf0.001"
+    month = domain.transactions(spark, small).where("start_time < TIMESTAMP_NTZ '1995-02-01 00:00:00'")
+    stage_tables = {
+        "stg_users": domain.users(spark, small),
+        "stg_chargers": domain.chargers(spark, small),
+        "stg_transactions": month,
+        "stg_payments": domain.payments(spark, small),
+    }
+    plain = warehouse.refresh(spark, stage_tables, warehouse.TEST_RUN)
+    expected = {n: values(plain[n], *sorted(plain[n].columns)) for n in ("fact_transactions", "fact_daily_metrics")}
+    dated = warehouse.refresh(spark, stage_tables, warehouse.TEST_RUN, partition_facts=True)
+    assert len(expected["fact_transactions"]) == month.count() > 0
+    assert {n: values(dated[n], *sorted(dated[n].columns)) for n in expected} == expected
+    plan = plan_of(dated["fact_transactions"].where("transaction_date = DATE '1995-01-03'").select("session_id"))
+    assert "PartitionFilters: [isnotnull(transaction_date" in plan
