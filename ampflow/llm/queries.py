@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from ampflow.llm.sharding import op9_feistel_shards
+from ampflow.llm.simhash import op4_simhash
 
 QUERIES = {
     f.__name__: f
     for f in (
+        op4_simhash,
         op9_feistel_shards,
     )
 }
