@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+from ampflow.llm.bpe import op10_bpe
+from ampflow.llm.maxscore import OP3_SQL, op3_maxscore
 from ampflow.llm.sharding import op9_feistel_shards
 from ampflow.llm.simhash import op4_simhash
+from ampflow.llm.simple8b import op6_simple8b
 
 QUERIES = {
     f.__name__: f
     for f in (
+        op3_maxscore,
         op4_simhash,
+        op6_simple8b,
         op9_feistel_shards,
+        op10_bpe,
     )
 }
 
-STATEMENTS: dict[str, str] = {}
+STATEMENTS = {"op3_maxscore": OP3_SQL}
