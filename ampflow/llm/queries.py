@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ampflow.llm.bpe import op10_bpe
+from ampflow.llm.chat import op5_chat
 from ampflow.llm.maxscore import OP3_SQL, op3_maxscore
 from ampflow.llm.sharding import op9_feistel_shards
 from ampflow.llm.simhash import op4_simhash
@@ -13,6 +14,7 @@ QUERIES = {
     for f in (
         op3_maxscore,
         op4_simhash,
+        op5_chat,
         op6_simple8b,
         op9_feistel_shards,
         op10_bpe,
