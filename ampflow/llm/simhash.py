@@ -31,7 +31,7 @@ SHINGLE = 4
 MAX_BITS = 4
 SEED = 42
 #: Fingerprints that share a segment variant are joined pair by pair up to this number, beyond it in chunks.
-DENSE = 512
+DENSE = 128
 CHUNK = 1024
 
 
@@ -94,14 +94,29 @@ def _exploded(masks: list[int]):
 
 
 def signatures(prints: DataFrame, max_bits: int) -> DataFrame:
-    """``(key, fp)`` for all one-wildcard variants of the distinct fingerprints."""
+    """``(place, value, fp)``: all one-wildcard variants of the distinct fingerprints, by the bit left out."""
     return prints.select("fp", _exploded(variant_masks(max_bits))).select(
-        F.xxhash64("place", F.col("fp").bitwiseAND(F.col("mask"))).alias("key"), "fp"
+        "place", F.col("fp").bitwiseAND(F.col("mask")).alias("value"), "fp"
     )
 
 
+def first_shared(differing, place, max_bits: int):
+    """Whether ``place`` is the lowest variant that two fingerprints share, given the bits in which they differ.
+
+    They share the variants of a segment in which they differ in one bit (the variant without it) or none (all).
+    """
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), place)
+    found, earlier = F.lit(False), F.lit(True)
+    for (start, end), mask in zip(segments(max_bits), segment_masks(max_bits), strict=True):
+        own = differing.bitwiseAND(F.lit(mask).cast("long"))
+        here = (place >= start) & (place < end) & ((own == bit) | ((own == 0) & (place == start)))
+        found = found | (earlier & here)
+        earlier = earlier & (F.bit_count(own) >= 2)
+    return found
+
+
 def dense_keys(prints: DataFrame, max_bits: int) -> DataFrame:
-    """Keys of the variants that may hold over ``DENSE`` fingerprints.
+    """The variants ``(place, value)`` that may hold over ``DENSE`` fingerprints.
 
     A variant joins two segment values; with over ``DENSE`` fingerprints one value has over half of them. So counts of
     whole segment values, three rows for each fingerprint, find all such keys.
@@ -115,7 +130,7 @@ def dense_keys(prints: DataFrame, max_bits: int) -> DataFrame:
     masks = variant_masks(max_bits)
     place = F.posexplode(F.array(*[F.lit(m).cast("long") for m in masks])).alias("place", "mask")
     variants = dense.select("segment", "value", place).where(F.col("segment") == of_segment[F.col("place")])
-    return variants.select(F.xxhash64("place", F.col("value").bitwiseAND(F.col("mask"))).alias("key")).distinct()
+    return variants.select("place", F.col("value").bitwiseAND(F.col("mask")).alias("value")).distinct()
 
 
 def _forest(values: np.ndarray, chunk: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -146,33 +161,37 @@ def _forest(values: np.ndarray, chunk: np.ndarray, max_bits: int) -> tuple[np.nd
 
 
 def dense_links(rows: DataFrame, max_bits: int) -> DataFrame:
-    """Links among fingerprints ``(key, fp)`` of large groups, in tasks of two chunks."""
+    """Links among fingerprints ``(place, value, fp)`` of large groups, in tasks of two chunks."""
 
     def group(table: pa.Table) -> pa.Table:
         values = table.column("fp").to_numpy().view(np.uint64)
         a, b = _forest(values, table.column("chunk").to_numpy(), max_bits)
         return pa.table({"a": a, "b": b})
 
-    sizes = rows.groupBy("key").agg(F.ceil(F.count("*") / CHUNK).cast("long").alias("parts"))
-    placed = rows.join(sizes, "key").withColumn("chunk", F.pmod(F.xxhash64("fp", "key"), F.col("parts")))
+    key = ["place", "value"]
+    sizes = rows.groupBy(*key).agg(F.ceil(F.count("*") / CHUNK).cast("long").alias("parts"))
+    placed = rows.join(sizes, key).withColumn("chunk", F.pmod(F.xxhash64("fp", *key), F.col("parts")))
     paired = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     paired = paired.select(
-        "key", "fp", "chunk", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high")
+        *key, "fp", "chunk", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high")
     )
-    return paired.groupBy("key", "low", "high").applyInArrow(group, "a long, b long")
+    return paired.groupBy(*key, "low", "high").applyInArrow(group, "a long, b long")
 
 
 def near_links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """Links ``(a, b)`` between distinct fingerprints whose components are those of all pairs within ``max_bits``."""
+    key = ["place", "value"]
     keyed = signatures(prints, max_bits)
     dense = written(dense_keys(prints, max_bits), "dense-keys")
-    sparse = keyed.join(dense, "key", "left_anti")
-    pairs = sparse.select("key", F.col("fp").alias("a")).join(sparse.select("key", F.col("fp").alias("b")), "key")
-    near = (F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits)
-    links = pairs.where(near).select("a", "b")
+    sparse = keyed.join(dense, key, "left_anti")
+    pairs = sparse.select(*key, F.col("fp").alias("a")).join(sparse.select(*key, F.col("fp").alias("b")), key)
+    differing = F.col("a").bitwiseXOR(F.col("b"))
+    near = (F.col("a") < F.col("b")) & (F.bit_count(differing) <= max_bits)
+    # A pair shares up to 64 variants; it is a link where it is found first.
+    links = pairs.where(near & first_shared(differing, F.col("place"), max_bits)).select("a", "b")
     if dense.isEmpty():
         return links
-    return links.union(dense_links(keyed.join(dense, "key", "left_semi"), max_bits))
+    return links.union(dense_links(keyed.join(dense, key, "left_semi"), max_bits))
 
 
 def near_duplicates(
