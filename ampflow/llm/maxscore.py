@@ -8,8 +8,8 @@ the bounds of the terms left is competitive. Nothing is approximate: a row is le
 score is strictly below the k-th best.
 
 Candidates are packed into shards of bounded size, queries into blocks of bounded size. Every block visits every
-shard: the block, one row of at most ``BLOCK_ROWS`` vectors, is broadcast, the shards stay where they are, and only
-the best rows of each task are shuffled and merged.
+shard: a few blocks of at most ``BLOCK_ROWS`` vectors are broadcast at a time and joined by block number, the shards
+stay where they are, and only the best rows of each task are shuffled and merged.
 
 Corner cases: a vector that is null, holds null or non-finite components, or has a null id takes no part; neither
 does one with a component beyond ``LARGEST`` (its scores would not fit a long). Shorter vectors count as padded with
@@ -34,6 +34,8 @@ SCALE = 1024
 QUERY_STEP = 100
 SHARD_ROWS = 4096
 BLOCK_ROWS = 1024
+#: Blocks that are broadcast together.
+BLOCKS_AT_ONCE = 4
 LARGEST = 1 << 28
 #: Terms probed between two prunings.
 STEP = 8
@@ -178,10 +180,13 @@ def maxscore_search(queries: DataFrame, candidates: DataFrame, k: int = TOP_K) -
     shards = written(packed(candidates, SHARD_ROWS), "shards")
     renamed = blocks.select(*[F.col(c).alias(f"q_{c}") for c in blocks.columns])
     found = shards.sparkSession.createDataFrame([], "query_id long, vec_id long, score long")
-    for (part,) in blocks.select("part").collect():
-        # One row with at most BLOCK_ROWS vectors: its size does not grow with the data.
-        block = F.broadcast(renamed.where(F.col("q_part") == part))
-        pairs = shards.withColumn("q_part", F.lit(part).cast("long")).join(block, "q_part")
+    parts = sorted(part for (part,) in blocks.select("part").collect())
+    for at in range(0, len(parts), BLOCKS_AT_ONCE):
+        visiting = parts[at : at + BLOCKS_AT_ONCE]
+        # At most BLOCKS_AT_ONCE rows of at most BLOCK_ROWS vectors: the size does not grow with the data.
+        block = F.broadcast(renamed.where(F.col("q_part").isin(visiting)))
+        visited = shards.withColumn("q_part", F.explode(F.array(*[F.lit(p).cast("long") for p in visiting])))
+        pairs = visited.join(block, "q_part")
         found = found.union(map_arrow(pairs, top_of_task(k), "query_id long, vec_id long, score long"))
     ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k).select(

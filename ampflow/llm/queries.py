@@ -8,6 +8,7 @@ from ampflow.llm.maxscore import OP3_SQL, op3_maxscore
 from ampflow.llm.sharding import op9_feistel_shards
 from ampflow.llm.simhash import op4_simhash
 from ampflow.llm.simple8b import op6_simple8b
+from ampflow.llm.toxicity import op8_toxicity
 
 QUERIES = {
     f.__name__: f
@@ -16,6 +17,7 @@ QUERIES = {
         op4_simhash,
         op5_chat,
         op6_simple8b,
+        op8_toxicity,
         op9_feistel_shards,
         op10_bpe,
     )
