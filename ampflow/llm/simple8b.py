@@ -17,8 +17,8 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ampflow.llm.common import chunks, map_arrow, read_table, scratch_path, worker_cache
-from ampflow.llm.tokens import REMEMBERED, TokenizerFile
+from ampflow.llm.tokens import UNCOMMON, Remembered, TokenizerFile
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
@@ -108,7 +108,11 @@ def decode_words(words: np.ndarray, escapes: np.ndarray) -> np.ndarray:
 
 
 class LibraryEncoder:
-    """Whole texts through the tokenizers library; distinct words are encoded once while a worker remembers them."""
+    """Whole texts through the tokenizers library.
+
+    Words of common texts go to the library's model one by one, and are remembered; a text with special strings or
+    uncommon characters goes through the library whole.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -116,25 +120,20 @@ class LibraryEncoder:
 
         self.file = TokenizerFile(path)
         self.library = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        special = self.file.special_pattern
-        words = [None if special.search(t) else self.file.words(t) for t in texts]
-        new = list(set(chain.from_iterable(w for w in words if w)) - self.known.keys())
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = list(set(chain.from_iterable(w for w in words if w)))
-        for word, found in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.known[word] = np.array(found.ids, dtype="<u4").tobytes()
-        known, out = self.known, []
-        for text, parts in zip(texts, words, strict=True):
-            if parts is None:
-                out.append(np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes())
-            else:
-                out.append(b"".join([known[w] for w in parts]))
-        return out
+        model, symbols = self.library.model, self.file.symbols
+
+        def encoded(word: str) -> bytes:
+            shown = word if word.isascii() else "".join([symbols[b] for b in word.encode()])
+            return array("I", [t.id for t in model.tokenize(shown)]).tobytes()
+
+        self.known = Remembered(encoded)
+
+    def encode(self, text: str) -> bytes:
+        """Ids of a text as unsigned 32-bit integers."""
+        if UNCOMMON.search(text) or self.file.special_pattern.search(text):
+            return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
+        known = self.known
+        return b"".join([known[w] for w in self.file.words(text)])
 
 
 def write_token_files(docs: DataFrame, tokenizer: str, path: str, id_column: str = "doc_id", text_column: str = "text") -> None:
@@ -164,10 +163,9 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, id_column: str
         parts: list[bytes] = []
         held = 0
         for batch in chunks(batches, 1, 2 << 20):
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for doc, encoded in zip(batch.column(0).to_pylist(), encoder.encode(texts), strict=True):
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 ids.append(doc)
-                parts.append(encoded + end)
+                parts.append(encoder.encode(text or "") + end)
                 held += len(parts[-1]) // 4
                 if held >= BLOCK_IDS:
                     yield block(part, number, before, ids, parts)

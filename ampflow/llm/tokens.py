@@ -24,12 +24,12 @@ SPACE = "\t\n\v\f\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 SPLIT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
-#: Words and fragments that a worker remembers; beyond it starts to collect anew.
-REMEMBERED = 300_000
+#: Words or fragments that a worker remembers: the first ones, among which are the frequent ones.
+REMEMBERED = 400_000
 
 
 class Remembered(dict):
-    """Results by key, computed on first use and forgotten together when there are too many."""
+    """Results by key, computed on first use and kept for the first keys; later ones are computed each time."""
 
     def __init__(self, compute, limit: int = REMEMBERED):
         super().__init__()
@@ -37,9 +37,8 @@ class Remembered(dict):
 
     def __missing__(self, key):
         value = self.compute(key)
-        if len(self) >= self.limit:
-            self.clear()
-        self[key] = value
+        if len(self) < self.limit:
+            self[key] = value
         return value
 
 
