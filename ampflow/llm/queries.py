@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from ampflow.llm.bpe import op10_bpe
 from ampflow.llm.chat import op5_chat
+from ampflow.llm.decontaminate import op2_decontamination
 from ampflow.llm.html_crf import op1_html
 from ampflow.llm.maxscore import OP3_SQL, op3_maxscore
 from ampflow.llm.sharding import op9_feistel_shards
@@ -16,6 +17,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_html,
+        op2_decontamination,
         op3_maxscore,
         op4_simhash,
         op5_chat,

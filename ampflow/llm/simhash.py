@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ampflow.llm.common import chunks, map_arrow, read_table, written
+from ampflow.llm.common import chunks, free_name, map_arrow, read_table, written
 from ampflow.llm.components import connected_components
 
 SHINGLE = 4
@@ -208,6 +208,15 @@ def near_duplicates(
     return stored.join(members.join(least, "root").select("fp", "component_id"), "fp")
 
 
+def deduplicated(docs: DataFrame, text_column: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """``docs`` with one row of each component: its first in the order of the input files."""
+    (row,) = free_name(docs, "_row")
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    found = near_duplicates(numbered, row, text_column, shingle, max_bits)
+    first = found.where(F.col("id") == F.col("component_id")).select(F.col("id").alias(row))
+    return numbered.join(first, row, "left_semi").drop(row)
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     found = near_duplicates(read_table(spark, sf_dir, "documents"))

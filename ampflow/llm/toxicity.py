@@ -231,6 +231,19 @@ def score_documents(docs: DataFrame, model: Model, text_column: str = "text", th
     return map_arrow(docs, worker, StructType([*docs.schema.fields, *added]))
 
 
+def harmless(docs: DataFrame, model: Model, text_column: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` without the rows that score at least ``threshold``; columns as they are."""
+    place = docs.columns.index(text_column)
+
+    def worker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = model.token_weights()
+        for batch in chunks(batches, place):
+            scores = [model.score(t or "", known) for t in batch.column(place).to_pylist()]
+            yield batch.filter(pa.array([s < threshold for s in scores], pa.bool_()))
+
+    return map_arrow(docs, worker, docs.schema)
+
+
 def remainder(id_column: str = "doc_id"):
     """crc32 of the id as text, modulo 3."""
     return F.crc32(F.encode(F.col(id_column).cast("string"), "UTF-8")) % 3
