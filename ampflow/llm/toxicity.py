@@ -2,7 +2,9 @@
 
 A sentence is a bag of word features: the word and its first four and five letters, so that inflected forms share
 what they have in common. Its score is a logistic function of the feature weights. A document is toxic if any of its
-sentences is: its probability is one minus the product of the sentences' probabilities of being harmless. Only
+sentences is: its probability is one minus the product of the sentences' probabilities of being harmless. Features
+that toxic documents do not hold more often than others weigh nothing, and a sentence without telling features cannot
+offend, so a long text is not suspect for its length. Only
 documents have labels; the gradient of the noisy-or hands each document's label to the sentences that explain it.
 With the trained weights, sentences are scored alone, which locates the offending ones.
 
@@ -71,15 +73,13 @@ class Model:
         return Remembered(weight)
 
     def sentence_scores(self, text: str, known: Remembered) -> np.ndarray:
-        """Logits of the sentences of a text that have words."""
+        """Logits of the sentences of a text that have telling features; the others cannot offend."""
         values = np.array([known[t] for t in TOKEN.findall(text.lower())])
         if not len(values) or self.bias is None:
             return np.empty(0)
         breaks = values == BREAK
-        group = np.cumsum(breaks)
-        words = ~breaks
-        counts = np.bincount(group[words], minlength=group[-1] + 1)
-        return np.bincount(group[words], values[words], minlength=group[-1] + 1)[counts > 0] + self.bias
+        sums = np.bincount(np.cumsum(breaks)[~breaks], values[~breaks])
+        return sums[sums > 0] + self.bias
 
     def score(self, text: str, known: Remembered) -> float:
         return float(-np.expm1(-np.logaddexp(0, self.sentence_scores(text, known)).sum()))
@@ -95,7 +95,7 @@ class Model:
 
 
 def _instances(texts: list[str], places: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Feature and sentence number of every feature occurrence, and the document of every sentence."""
+    """Feature and sentence number of every feature occurrence, and the document of every sentence that has any."""
 
     def located(token: str) -> tuple[int, ...] | None:
         if not token[0].isalpha():
@@ -107,15 +107,14 @@ def _instances(texts: list[str], places: dict[str, int]) -> tuple[np.ndarray, np
     sizes: list[int] = []
     owners: list[int] = []
     for doc, text in enumerate(texts):
-        before, words = len(features), 0
+        before = len(features)
         for found in [known[t] for t in [*TOKEN.findall(text.lower()), "."]]:
             if found is not None:
                 features += found
-                words += 1
-            elif words:
+            elif len(features) > before:
                 sizes.append(len(features) - before)
                 owners.append(doc)
-                before, words = len(features), 0
+                before = len(features)
     sentences = np.repeat(np.arange(len(sizes)), sizes)
     return np.array(features, dtype=np.int32), sentences.astype(np.int32), np.array(owners, dtype=np.int32)
 
