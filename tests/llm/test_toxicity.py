@@ -35,7 +35,6 @@ def model():
 
 
 def test_held_out_accuracy(model):
-    texts, labels = sample(400, 1)[0][:0], []
     texts, labels = sample(1200, 1)
     known = model.token_weights()
     scores = np.array([model.score(t, known) for t in texts[800:]])
@@ -46,7 +45,7 @@ def test_noisy_or_of_the_sentences(model):
     known = model.token_weights()
     text = "abc def. scum here! quiet words\nidiots"
     parts = [1 / (1 + np.exp(-s)) for s in model.sentence_scores(text, known)]
-    assert len(parts) == 4
+    assert len(parts) == 2  # sentences without telling features cannot offend
     assert model.score(text, known) == pytest.approx(1 - np.prod([1 - p for p in parts]), abs=1e-9)
 
 
