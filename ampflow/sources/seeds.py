@@ -11,57 +11,28 @@ from ampflow.session import local_table
 
 DATA = Path(__file__).resolve().parent.parent / "data"
 
-# Approximate public coordinates (place, latitude, longitude).
+# Own table of places: name, the city that a place counts towards, and approximate public coordinates.
 PLACES = [
-    ("Zurich", 47.37, 8.54),
-    ("Basel", 47.56, 7.59),
-    ("Bern", 46.95, 7.45),
-    ("Geneva", 46.20, 6.15),
-    ("Lausanne", 46.52, 6.63),
-    ("Lucerne", 47.05, 8.31),
-    ("Lugano", 46.00, 8.95),
-    ("St. Gallen", 47.42, 9.37),
-    ("Winterthur", 47.50, 8.72),
+    ("Zurich", "Zurich", 47.37, 8.54),
+    ("Dübendorf", "Zurich", 47.40, 8.62),
+    ("Schlieren", "Zurich", 47.40, 8.45),
+    ("Winterthur", "Winterthur", 47.50, 8.72),
+    ("Basel", "Basel", 47.56, 7.59),
+    ("Riehen", "Basel", 47.58, 7.65),
+    ("Bern", "Bern", 46.95, 7.45),
+    ("Ostermundigen", "Bern", 46.96, 7.49),
+    ("Geneva", "Geneva", 46.20, 6.15),
+    ("Carouge", "Geneva", 46.18, 6.14),
+    ("Lausanne", "Lausanne", 46.52, 6.63),
+    ("Renens", "Lausanne", 46.54, 6.59),
+    ("Lucerne", "Lucerne", 47.05, 8.31),
+    ("Emmen", "Lucerne", 47.08, 8.30),
+    ("Lugano", "Lugano", 46.00, 8.95),
+    ("Paradiso", "Lugano", 45.99, 8.94),
+    ("St. Gallen", "St. Gallen", 47.42, 9.37),
+    ("Gossau", "St. Gallen", 47.42, 9.25),
 ]
 
-# Districts and suburbs named by a reverse geocoder, and the city each counts towards.
-PLACE_TO_CITY = {
-    "Zurich": [
-        "Zuerich (Kreis 1)",
-        "Zuerich (Kreis 2)",
-        "Zuerich (Kreis 3)",
-        "Zuerich (Kreis 4)",
-        "Zuerich (Kreis 5)",
-        "Zuerich (Kreis 6)",
-        "Zuerich (Kreis 7)",
-        "Zuerich (Kreis 8)",
-        "Zuerich (Kreis 10)",
-        "Zuerich (Kreis 1) / Lindenhof",
-        "Zuerich (Kreis 1) / Rathaus",
-        "Zuerich (Kreis 1) / City",
-        "Zuerich (Kreis 2) / Enge",
-        "Zuerich (Kreis 3) / Alt-Wiedikon",
-        "Zuerich (Kreis 4) / Langstrasse",
-        "Zuerich (Kreis 4) / Werd",
-        "Zuerich (Kreis 5) / Gewerbeschule",
-        "Zuerich (Kreis 6) / Oberstrass",
-        "Zuerich (Kreis 6) / Unterstrass",
-        "Zuerich (Kreis 7) / Hottingen",
-        "Zuerich (Kreis 7) / Fluntern",
-        "Zuerich (Kreis 8) / Muehlebach",
-        "Zuerich (Kreis 8) / Seefeld",
-        "Zuerich (Kreis 10) / Wipkingen",
-        "Aussersihl",
-    ],
-    "St. Gallen": ["Sankt Gallen", "Wittenbach", "Teufen"],
-    "Lucerne": ["Luzern", "Kriens", "Horw", "Ebikon", "Emmen"],
-    "Geneva": ["Geneve", "Le Grand-Saconnex", "Carouge", "Lancy"],
-    "Lugano": ["Sorengo", "Viganello", "Massagno", "Pregassona", "Cadempino", "Canobbio", "Campione"],
-    "Bern": ["Koniz", "Kehrsatz", "Muri"],
-    "Basel": ["Binningen", "Birsfelden", "Munchenstein", "Village-Neuf", "Weil am Rhein"],
-    "Lausanne": ["Pully", "Epalinges", "Blecherette"],
-}
-
 
 def _by_column(spark: SparkSession, names: tuple[str, ...], rows: list[tuple]) -> DataFrame:
     return local_table(spark, dict(zip(names, zip(*rows))))
@@ -80,9 +51,9 @@ def city_map(spark: SparkSession) -> DataFrame:
 
 
 def places(spark: SparkSession) -> DataFrame:
-    return _by_column(spark, ("place", "lat", "lon"), PLACES)
+    return _by_column(spark, ("place", "lat", "lon"), [(place, lat, lon) for place, _, lat, lon in PLACES])
 
 
 def place_cities(spark: SparkSession) -> DataFrame:
-    pairs = [(place, city) for city, names in PLACE_TO_CITY.items() for place in names]
-    return _by_column(spark, ("place", "city"), pairs)
+    """Places that count towards a city of another name."""
+    return _by_column(spark, ("place", "city"), [(place, city) for place, city, *_ in PLACES if place != city])

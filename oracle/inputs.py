@@ -43,6 +43,6 @@ SELECT 'P' || lpad(CAST(o_orderkey AS STRING), 8, '0') AS payment_id, 'S' || lpa
 FROM orders WHERE o_orderkey % 23 <> 0 AND NOT (o_orderstatus = 'F' AND o_orderkey % 3 = 0)
 """,
     "fx_places": """
-SELECT place, CAST(lat AS DOUBLE) AS lat, CAST(lon AS DOUBLE) AS lon FROM (VALUES ('Zurich',47.37,8.54),('Basel',47.56,7.59),('Bern',46.95,7.45),('Geneva',46.20,6.15),('Lausanne',46.52,6.63),('Lucerne',47.05,8.31),('Lugano',46.00,8.95),('St. Gallen',47.42,9.37),('Winterthur',47.50,8.72)) t(place, lat, lon)
+SELECT place, city AS place_city, CAST(lat AS DOUBLE) AS lat, CAST(lon AS DOUBLE) AS lon FROM (VALUES ('Zurich','Zurich',47.37,8.54),('Dübendorf','Zurich',47.40,8.62),('Schlieren','Zurich',47.40,8.45),('Winterthur','Winterthur',47.50,8.72),('Basel','Basel',47.56,7.59),('Riehen','Basel',47.58,7.65),('Bern','Bern',46.95,7.45),('Ostermundigen','Bern',46.96,7.49),('Geneva','Geneva',46.20,6.15),('Carouge','Geneva',46.18,6.14),('Lausanne','Lausanne',46.52,6.63),('Renens','Lausanne',46.54,6.59),('Lucerne','Lucerne',47.05,8.31),('Emmen','Lucerne',47.08,8.30),('Lugano','Lugano',46.00,8.95),('Paradiso','Lugano',45.99,8.94),('St. Gallen','St. Gallen',47.42,9.37),('Gossau','St. Gallen',47.42,9.25)) t(place, city, lat, lon)
 """,
 }

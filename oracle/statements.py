@@ -117,8 +117,8 @@ SELECT transaction_date, city_name, valid_revenue AS total_revenue, valid_transa
   active_users, active_chargers
 FROM fact_daily_metrics WHERE {_IN_TREND} AND city_name <> '_ALL_CITIES_'"""
 _NEAREST = """
-SELECT charger_id, city, place, km FROM (
-  SELECT c.charger_id, c.city, p.place, CASE WHEN p.place IS NOT NULL THEN 1 END * 2 * 6371.0 * asin(sqrt(least(1.0, pow(sin(radians(p.lat - c.latitude) / 2), 2)
+SELECT charger_id, city, place, place_city, km FROM (
+  SELECT c.charger_id, c.city, p.place, p.place_city, CASE WHEN p.place IS NOT NULL THEN 1 END * 2 * 6371.0 * asin(sqrt(least(1.0, pow(sin(radians(p.lat - c.latitude) / 2), 2)
       + cos(radians(c.latitude)) * cos(radians(p.lat)) * pow(sin(radians(p.lon - c.longitude) / 2), 2)))) AS km
   FROM eda_chargers c LEFT JOIN fx_places p ON c.latitude IS NOT NULL AND c.longitude IS NOT NULL) d
 QUALIFY row_number() OVER (PARTITION BY charger_id ORDER BY km, place) = 1"""
@@ -366,7 +366,7 @@ CROSS JOIN (SELECT quantile_cont(round(c_acctbal * 100), 0.25) AS q1, quantile_c
     "city_standardize": "SELECT city, city_original, count(*) AS chargers FROM cur_chargers GROUP BY 1, 2",
     "nearest_city": f"SELECT charger_id, place, ROUND(km, 6) AS distance_km FROM ({_NEAREST}) n",
     "city_agreement": f"""
-SELECT city, place AS city_from_coords, count(*) AS row_count FROM ({_NEAREST}) n
+SELECT city, place_city AS city_from_coords, count(*) AS row_count FROM ({_NEAREST}) n
 WHERE city IS NOT NULL AND place IS NOT NULL GROUP BY 1, 2""",
     "user_id_mismatch": """
 SELECT t.session_id, t.user_id AS user_id_transactions, p.payment_id, p.user_id AS user_id_payments

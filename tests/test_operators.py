@@ -197,6 +197,19 @@ def test_nearest_place_is_exact_anywhere(spark):
             assert row["distance_km"] == pytest.approx(expected[0], abs=1e-5)
 
 
+def test_points_far_from_all_places_meet_few_of_them(spark):
+    rng = random.Random(8)
+    places = [(f"p{i:04d}", 46 + rng.random(), 7 + rng.random()) for i in range(3000)]
+    points = [(i, rng.uniform(-60, -20), rng.uniform(-170, -100)) for i in range(40)]
+    df = spark.createDataFrame(points, "id int, latitude double, longitude double")
+    got = nearest.nearest_place(df, spark.createDataFrame(places, "place string, lat double, lon double"))
+    rows = got.collect()
+    for row in rows:
+        assert row["place"] == brute_nearest(points[row["id"]][1:], places)[1]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
 def test_nearest_without_places(spark):
     df = spark.createDataFrame([(47.0, 8.0)], "latitude double, longitude double")
     nowhere = spark.createDataFrame([], "place string, lat double, lon double")
