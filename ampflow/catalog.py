@@ -9,7 +9,7 @@ import uuid
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ampflow.config import AGE_BAND, MARKET_BAND, TENURE_BAND
@@ -72,17 +72,29 @@ def _written_lines(w: Warehouse, table: str) -> str:
     return path
 
 
+def _cut(every: int, number: Column, line: Column) -> Column:
+    """Every so many lines end after 40 characters."""
+    return F.when(number % every == 0, F.substr(line, F.lit(1), F.lit(40))).otherwise(line)
+
+
+def _number(key: str) -> Column:
+    return F.substr(key, F.lit(2)).cast("bigint")
+
+
 @query
 def raw_json_scan(w):
-    users = raw.scan_json(w.spark, _written_lines(w, "users"), raw.RAW_SCHEMAS["users"])
+    """Lines, every 97th cut short."""
+    path = _work_folder(w, "raw_users")
+    line = _cut(97, _number("user_id"), stage.as_json("users"))
+    w.table("stg_users").select(line.alias("value")).write.text(path)
+    users = raw.scan_json(w.spark, path, raw.RAW_SCHEMAS["users"])
     return users.withColumn("created_at", parsing.safe_timestamp(F.col("created_at")))
 
 
 @query
 def flatten_location(w):
-    return raw.flatten_location(
-        raw.scan_json(w.spark, _written_lines(w, "chargers"), raw.RAW_SCHEMAS["chargers"])
-    ).drop("installed_at")
+    chargers = raw.scan_json(w.spark, _written_lines(w, "chargers"), raw.RAW_SCHEMAS["chargers"])
+    return raw.flatten_location(chargers).withColumn("installed_at", parsing.safe_timestamp(F.col("installed_at")))
 
 
 @query
@@ -91,23 +103,49 @@ def raw_variant_land(w):
     return stage.stg_chargers(landed, TEST_RUN).drop("_source_file")
 
 
+@query
+def raw_variant_land_array(w):
+    """Array files, all but one with a fault: cut off, a repeated key, no object, bad bytes; and two that are no array."""
+    path = _work_folder(w, "raw_arrays")
+    rows = w.table("stg_chargers").select(
+        (_number("charger_id") % 5).alias("file"), F.struct("charger_id", stage.as_json("chargers").alias("json")).alias("r")
+    )
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list("r")), lambda r: r["json"]), ",\n")
+    files = rows.groupBy("file").agg(joined.alias("records"))
+    ends = {0: "]", 1: ', {"charger_id": "cut', 2: ', {"x": 2, "x": 3}]', 3: ", 17 ]"}
+    ending = F.concat(F.lit(', {"x": "'), F.unhex(F.lit("FF")).cast("string"), F.lit('"}]'))
+    for file, end in ends.items():
+        ending = F.when(F.col("file") == file, end).otherwise(ending)
+    lone = F.when(F.col("id") == 0, '{"charger_id": "alone"}').otherwise("no record").alias("value")
+    others = w.spark.range(2).select((F.col("id") + 5).alias("file"), lone)
+    arrays = files.select("file", F.concat(F.lit("["), "records", ending).alias("value"))
+    arrays.unionByName(others).write.partitionBy("file").text(path)  # a folder, and so a file, for each
+    landed = raw.land_variant_array(w.spark, path, TEST_RUN.stamp())
+    good, bad = raw.good_and_bad(landed)
+    columns = ["charger_id", "city", "latitude", "longitude"]
+    nothing = [F.lit(None).cast(t).alias(c) for c, t in stage.stg_chargers(good, TEST_RUN).select(*columns).dtypes]
+    return stage.stg_chargers(good, TEST_RUN).select(*columns, F.lit(None).cast("string").alias("bad_line")).unionByName(
+        bad.select(*nothing, F.col("_bad_line").alias("bad_line"))
+    )
+
+
 @query
 def load_with_quarantine(w):
-    """Sessions arrive as lines, every 97th cut short; counted after two loads of the same folder."""
+    """Sessions arrive as lines and are loaded twice; some are cut short, repeat a key, or have text as their energy."""
     source = _work_folder(w, "arriving")
+    number = _number("session_id")
     line = stage.as_json("transactions")
-    number = F.substr("session_id", F.lit(2)).cast("bigint")
-    w.table("stg_transactions").select(
-        F.when(number % 97 == 0, F.substr(line, F.lit(1), F.lit(40))).otherwise(line).alias("value")
-    ).write.text(source)
+    twice = F.concat(F.lit('{"session_id":"'), "session_id", F.lit('","session_id":"'), "session_id", F.lit('"}'))
+    text = F.regexp_replace(line, '"kWh_consumed":[^,]*', '"kWh_consumed":"zz"')
+    line = F.when(number % 89 == 0, twice).when(number % 83 == 0, text).otherwise(line)
+    w.table("stg_transactions").select(_cut(97, number, line).alias("value")).write.text(source)
     landing = Landing(source, raw.RAW_SCHEMAS["transactions"], _work_folder(w, "landed"), _work_folder(w, "progress"))
     for _ in range(2):
         load_new_files(w.spark, landing, TEST_RUN.stamp())
-    energy = F.sum(parsing.safe_decimal(F.col("kWh_consumed"), 10, 4)).cast("double")
-    good = loaded(w.spark, landing).agg(F.count(F.lit(1)).alias("row_count"), energy.alias("kwh"))
-    bad = quarantined(w.spark, landing).agg(F.count(F.lit(1)).alias("row_count"))
-    return good.select(F.lit("loaded").alias("state"), "row_count", "kwh").unionByName(
-        bad.select(F.lit("quarantined").alias("state"), "row_count", F.lit(None).cast("double").alias("kwh"))
+    energy = parsing.safe_decimal(F.col("kWh_consumed"), 10, 4).cast("double")
+    good = loaded(w.spark, landing).select("session_id", "user_id", "charger_id", "status", energy.alias("kwh"))
+    return good.withColumn("bad_line", F.lit(None).cast("string")).unionByName(
+        quarantined(w.spark, landing).select("bad_line"), allowMissingColumns=True
     )
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ampflow.operators.joins import union_all
+from ampflow.sources import records
 
 CORRUPT = "_corrupt_record"
 
@@ -22,43 +23,33 @@ RAW_SCHEMAS = {
 
 
 def scan_json(spark: SparkSession, path: str, schema: str, outer_array: bool = False) -> DataFrame:
-    """Typed JSON scan.
+    """Typed JSON scan. Bad records are NULL in all columns but ``_corrupt_record``, which holds their text.
 
-    JSON lines split into many tasks. A file holding one outer array is stripped to its elements, but is read by a
-    single task, so large data should arrive as lines or as many array files. Compression follows the file suffix.
+    JSON lines split into many tasks; a file with an outer array is split into its records by a single task, so large
+    data should arrive as lines or as many array files. Compression follows the file suffix.
     """
-    return spark.read.schema(schema).option("multiLine", outer_array).json(path)
+    return records.typed(records.read_records(spark.read, path, outer_array).select("value"), schema, CORRUPT)
 
 
-def land_variant(spark: SparkSession, path: str, loaded_at: Column) -> DataFrame:
-    """JSON lines as one VARIANT column plus load time and file name.
-
-    Lines that are no JSON, repeat a key or are no valid UTF-8 have a NULL ``raw_data`` and are kept in ``_bad_line``.
-    """
-    text = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("_source_file"))
-    return _landed(text.where(F.trim("value") != ""), loaded_at)
+def land_variant(spark: SparkSession, path: str, loaded_at: Column, outer_array: bool = False) -> DataFrame:
+    """Records as one VARIANT column plus load time and file name; bad ones have their text in ``_bad_line``."""
+    return records.read_records(spark.read, path, outer_array).select(
+        records.parsed().alias("raw_data"),
+        records.bad_text().alias("_bad_line"),
+        loaded_at.alias("_loaded_at"),
+        "_source_file",
+    )
 
 
 def land_variant_array(spark: SparkSession, path: str, loaded_at: Column) -> DataFrame:
-    """As :func:`land_variant` for files that hold one outer array each (one task per file)."""
-    text = spark.read.option("wholetext", True).text(path)
-    elements = text.select("value", F.col("_metadata.file_name").alias("_source_file"))
-    exploded = spark.sql(
-        "SELECT f._source_file, e.value AS raw_data "
-        "FROM {files} f, LATERAL variant_explode(try_parse_json(f.value)) e",
-        files=elements,
-    )
-    return exploded.select("raw_data", loaded_at.alias("_loaded_at"), "_source_file")
+    """As :func:`land_variant` for files that hold one outer array each."""
+    return land_variant(spark, path, loaded_at, outer_array=True)
 
 
-def _landed(text: DataFrame, loaded_at: Column) -> DataFrame:
-    parsed = F.when(F.is_valid_utf8("value"), F.try_parse_json("value"))
-    return text.select(
-        parsed.alias("raw_data"),
-        F.when(parsed.isNull(), F.col("value")).alias("_bad_line"),
-        loaded_at.alias("_loaded_at"),
-        "_source_file",
-    )
+def good_and_bad(landed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Landed records to go on with, and those to keep in a quarantine table."""
+    good = landed.where(F.col("raw_data").isNotNull()).drop("_bad_line")
+    return good, landed.where(F.col("raw_data").isNull()).select("_bad_line", "_loaded_at", "_source_file")
 
 
 def flatten_location(df: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Incremental file landing: each file is loaded once, bad lines are set aside instead of failing the load."""
+"""Incremental file landing: each file is loaded once, bad records are set aside instead of failing the load."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ampflow.sources import records
 from ampflow.sources.raw import CORRUPT
 
 
@@ -14,8 +15,7 @@ from ampflow.sources.raw import CORRUPT
 class Landing:
     """Where one kind of record arrives and where it is kept. All folders are shared by the executors.
 
-    Files hold one record per line, or with ``outer_array`` one array of records each; a broken array file is set
-    aside as a whole.
+    Files hold one record per line, or with ``outer_array`` one array of records each.
     """
 
     source: str
@@ -25,10 +25,6 @@ class Landing:
     outer_array: bool = False
     files_per_batch: int | None = None
 
-    @property
-    def read_schema(self) -> str:
-        return f"{self.schema}, {CORRUPT} string"
-
 
 def load_new_files(spark: SparkSession, landing: Landing, loaded_at: Column) -> None:
     """Load all files not loaded before, then stop. Re-running without new files adds no rows.
@@ -38,15 +34,10 @@ def load_new_files(spark: SparkSession, landing: Landing, loaded_at: Column) ->
     reader = spark.readStream
     if landing.files_per_batch:
         reader = reader.option("maxFilesPerTrigger", landing.files_per_batch)
-    lines = (
-        reader.schema(landing.read_schema)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("multiLine", landing.outer_array)
-        .json(landing.source)
-    )
+    arriving = records.read_records(reader, landing.source, landing.outer_array)
     query = (
-        lines.select("*", loaded_at.alias("_loaded_at"), F.col("_metadata.file_name").alias("_source_file"))
+        records.typed(arriving, landing.schema, CORRUPT)
+        .withColumn("_loaded_at", loaded_at)
         .writeStream.format("parquet")
         .option("path", landing.target)
         .option("checkpointLocation", landing.checkpoint)
@@ -66,7 +57,7 @@ def loaded(spark: SparkSession, landing: Landing) -> DataFrame:
 
 
 def quarantined(spark: SparkSession, landing: Landing) -> DataFrame:
-    """Lines that did not, with their file."""
+    """Records that did not, with their file."""
     return (
         _landed(spark, landing)
         .where(F.col(CORRUPT).isNotNull())

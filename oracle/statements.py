@@ -296,13 +296,29 @@ _SUITE = _union(
 
 _PLAIN: dict[str, str] = {key: f"SELECT * FROM {key}" for key in _MODEL_KEYS} | {
     # sources
-    "raw_json_scan": "SELECT user_id, name, email, tier, created_at FROM stg_users",
-    "flatten_location": "SELECT charger_id, city, latitude, longitude FROM stg_chargers",
+    "raw_json_scan": """
+SELECT CASE WHEN NOT bad THEN user_id END AS user_id, CASE WHEN NOT bad THEN name END AS name,
+  CASE WHEN NOT bad THEN email END AS email, CASE WHEN NOT bad THEN tier END AS tier,
+  CASE WHEN NOT bad THEN created_at END AS created_at,
+  CASE WHEN bad THEN left('{"user_id":"' || user_id || '","name":"' || name, 40) END AS _corrupt_record
+FROM (SELECT *, CAST(substr(user_id, 2) AS BIGINT) % 97 = 0 AS bad FROM stg_users) u""",
+    "flatten_location": """
+SELECT charger_id, city, latitude, longitude, installed_at, CAST(NULL AS VARCHAR) AS _corrupt_record FROM stg_chargers""",
     "raw_variant_land": f"SELECT * EXCLUDE (_source_file), {STAMP} AS _dbt_updated_at FROM stg_chargers",
+    "raw_variant_land_array": """
+SELECT charger_id, city, latitude, longitude, CAST(NULL AS VARCHAR) AS bad_line FROM stg_chargers
+UNION ALL SELECT NULL, NULL, NULL, NULL, bad_line FROM (VALUES ('{"charger_id": "cut'), ('{"x": 2, "x": 3}'), ('17'),
+  ('{"x": "' || chr(65533) || '"}'), ('no record')) b(bad_line)
+UNION ALL SELECT NULL, NULL, NULL, NULL, '{"charger_id": "alone"}'""",
     "load_with_quarantine": f"""
-SELECT 'loaded' AS state, {hits(f'{_KEY_NUMBER} % 97 <> 0')} AS row_count,
-  CAST(sum(kwh_consumed) FILTER (WHERE {_KEY_NUMBER} % 97 <> 0) AS DOUBLE) AS kwh FROM stg_transactions
-UNION ALL SELECT 'quarantined', {hits(f'{_KEY_NUMBER} % 97 = 0')}, NULL FROM stg_transactions""",
+SELECT CASE WHEN NOT bad THEN session_id END AS session_id, CASE WHEN NOT bad THEN user_id END AS user_id,
+  CASE WHEN NOT bad THEN charger_id END AS charger_id, CASE WHEN NOT bad THEN status END AS status,
+  CASE WHEN NOT bad AND n % 83 <> 0 THEN CAST(kwh_consumed AS DOUBLE) END AS kwh,
+  CASE WHEN n % 89 = 0 THEN left(twice, CASE WHEN n % 97 = 0 THEN 40 ELSE 1000 END)
+       WHEN n % 97 = 0 THEN left('{{"session_id":"' || session_id || '","user_id":"' || user_id, 40) END AS bad_line
+FROM (SELECT *, n % 97 = 0 OR n % 89 = 0 AS bad,
+        '{{"session_id":"' || session_id || '","session_id":"' || session_id || '"}}' AS twice
+      FROM (SELECT *, {_KEY_NUMBER} AS n FROM stg_transactions) s) t""",
     "load_row_counts": _union(
         f"SELECT '{t}' AS table_name, count(*) AS row_count FROM stg_{t}"
         for t in ("users", "chargers", "transactions", "payments")

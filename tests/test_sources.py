@@ -10,7 +10,7 @@ from conftest import plan_of, values
 from pyspark.sql import functions as F
 
 from ampflow.plans import stage, warehouse
-from ampflow.sources import domain, raw, seeds
+from ampflow.sources import domain, raw, records, seeds
 from ampflow.sources.tables import save_table
 from ampflow.streaming import monitoring
 from ampflow.streaming.landing import Landing, load_new_files, loaded, quarantined
@@ -30,6 +30,7 @@ def test_outer_array_and_lines_and_gzip(spark, tmp_path):
     array = raw.flatten_location(raw.scan_json(spark, f"{tmp_path}/array.json", schema, outer_array=True))
     lines = raw.flatten_location(raw.scan_json(spark, f"{tmp_path}/lines.json.gz", schema))
     assert values(array) == values(lines)
+    assert array.where("_corrupt_record IS NOT NULL").count() == 0
     assert values(array, "charger_id", "latitude", "longitude") == [("c1", 46.9, 7.4), ("c2", None, None)]
 
 
@@ -122,6 +123,45 @@ def test_lines_with_repeated_keys_or_bad_bytes_are_set_aside(spark, run, tmp_pat
     assert landed.where("raw_data IS NULL AND _bad_line IS NOT NULL").count() == 2
 
 
+ARRAYS = [
+    (b"", []),
+    (b" [ ] ", []),
+    (b'[{"a": 1}, {"b": [1, {"c": "]},"}]}]', [b'{"a": 1}', b'{"b": [1, {"c": "]},"}]}']),
+    (b'[{"a": 1}, {"b": 2}', [b'{"a": 1}', b'{"b": 2}']),
+    (b'[{"a": 1}, {"b": "cut', [b'{"a": 1}', b'{"b": "cut']),
+    (b'[{"a": 1},', [b'{"a": 1}', b""]),
+    (b'[{"a": 1}] tail', [b'{"a": 1}', b"tail"]),
+    (b'\xef\xbb\xbf[{"q": "\\\\\\""}]', [b'{"q": "\\\\\\""}']),
+    (b'{"x": 9}', [b'{"x": 9}']),
+    (b"[1, , 2]", [b"1", b"", b"2"]),
+]
+
+
+@pytest.mark.parametrize(("content", "pieces"), ARRAYS)
+def test_splitting_arrays(content, pieces):
+    assert list(records.elements(content)) == pieces
+
+
+FAULTS = [b'{"x": 1}', b'{"x": 2, "x": 3}', b'{"x": "zz"}', b'{"x": "\xff"}', b"7", b"{broken"]
+
+
+def test_all_paths_agree_on_good_and_bad(spark, run, tmp_path):
+    for name, content in (("lines", b"\n".join(FAULTS)), ("arrays", b"[" + b",".join(FAULTS[:-1]) + b", {broken")):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "f.json").write_bytes(content)
+        outer = name == "arrays"
+        landed = raw.land_variant(spark, f"{tmp_path}/{name}", run.stamp(), outer_array=outer)
+        good, bad = raw.good_and_bad(landed)
+        assert (good.count(), bad.count()) == (2, 4)
+        scanned = raw.scan_json(spark, f"{tmp_path}/{name}", "x int", outer_array=outer)
+        assert values(scanned.where("_corrupt_record IS NULL"), "x") == [(1,), (None,)]
+        landing = Landing(f"{tmp_path}/{name}", "x int", f"{tmp_path}/out-{name}", f"{tmp_path}/at-{name}", outer_array=outer)
+        load_new_files(spark, landing, run.stamp())
+        assert values(loaded(spark, landing), "x") == [(1,), (None,)]
+        texts = {r[0] for r in quarantined(spark, landing).select("bad_line").collect()}
+        assert texts == {r["_bad_line"] for r in bad.collect()} == {r["_corrupt_record"] for r in scanned.collect()} - {None}
+
+
 SCHEMA = "session_id string, kwh int, _loaded_at timestamp_ntz, transaction_month date"
 
 
