@@ -28,7 +28,7 @@ def scan_json(spark: SparkSession, path: str, schema: str, outer_array: bool = F
     JSON lines split into many tasks; a file with an outer array is split into its records by a single task, so large
     data should arrive as lines or as many array files. Compression follows the file suffix.
     """
-    return records.typed(records.read_records(spark.read, path, outer_array).select("value"), schema, CORRUPT)
+    return records.typed(records.read_records(spark.read, path, outer_array).drop("_source_file"), schema, CORRUPT)
 
 
 def land_variant(spark: SparkSession, path: str, loaded_at: Column, outer_array: bool = False) -> DataFrame:

@@ -1,6 +1,7 @@
 """One contract for JSON records, whether they come as lines, as outer arrays or in a stream.
 
-A record is good if it is valid UTF-8, parses, repeats no key and is an object. Everything else is kept as text with
+A record is good if it is valid UTF-8, parses, repeats no key, is an object, and stands in the array if the file should
+hold one. Everything else is kept as text with
 the name of its file, so that every record of an input file comes out once, good or bad. A field of a wrong type does
 not make a record bad; it is NULL.
 """
@@ -20,19 +21,19 @@ from pyspark.sql import functions as F
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 TOKEN = re.compile(rb'"(?:[^"\\]|\\.)*+"?|[\[\]{},]', re.S)
-VALUE, FILE = "value", "_source_file"
+VALUE, FILE, PLACED = "value", "_source_file", "_placed"
 
 
-def elements(content: bytes) -> Iterator[bytes]:
-    """Elements of an outer array as raw text.
+def elements(content: bytes) -> Iterator[tuple[bytes, bool]]:
+    """Elements of an outer array as raw text, and whether they stand in it.
 
     A cut-off array gives its elements up to the cut, the last as far as it goes. What follows the array, and content
-    that is no array, comes out as one piece.
+    that is no array, comes out as one piece outside.
     """
     content = content.removeprefix(b"\xef\xbb\xbf").strip()
     if not content.startswith(b"["):
         if content:
-            yield content
+            yield content, False
         return
     depth, start, met = 0, 1, False
     for token in TOKEN.finditer(content):
@@ -44,13 +45,13 @@ def elements(content: bytes) -> Iterator[bytes]:
         if (sign == b"," and depth == 1) or depth == 0:
             piece = content[start : token.start()].strip()
             if piece or sign == b"," or met:
-                yield piece
+                yield piece, True
             start, met = token.end(), sign == b","
             if depth == 0:
                 break
     rest = content[start:].strip()
     if rest or (depth and met):
-        yield rest
+        yield rest, depth > 0
 
 
 def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -60,27 +61,36 @@ def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for at in range(0, len(found), 1000):
                 part = found[at : at + 1000]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(part, pa.binary()), pa.array([file] * len(part), pa.string())], names=[VALUE, FILE]
+                    [
+                        pa.array([piece for piece, _ in part], pa.binary()),
+                        pa.array([placed for _, placed in part], pa.bool_()),
+                        pa.array([file] * len(part), pa.string()),
+                    ],
+                    names=[VALUE, PLACED, FILE],
                 )
 
 
 def array_records(files: DataFrame) -> DataFrame:
-    """Elements of whole files ``(value, _source_file)``, a file at a time."""
+    """Elements ``(value, _placed, _source_file)`` of whole files ``(value, _source_file)``, a file at a time."""
     raw = files.select(F.col(VALUE).cast("binary").alias(VALUE), FILE)
-    return raw.mapInArrow(_split, f"{VALUE} binary, {FILE} string").select(F.col(VALUE).cast("string").alias(VALUE), FILE)
+    split = raw.mapInArrow(_split, f"{VALUE} binary, {PLACED} boolean, {FILE} string")
+    return split.select(F.col(VALUE).cast("string").alias(VALUE), PLACED, FILE)
 
 
 def read_records(reader, path: str, outer_array: bool) -> DataFrame:
-    """Raw records ``(value, _source_file)`` by a batch or streaming reader; blank lines are no records."""
+    """Raw records ``(value, _placed, _source_file)`` by a batch or streaming reader; blank lines are no records.
+
+    ``_placed`` is false for what stands outside the array that a file should hold.
+    """
     source = F.col("_metadata.file_name").alias(FILE)
     if outer_array:
         return array_records(reader.text(path, wholetext=True).select(VALUE, source))
-    return reader.text(path).select(VALUE, source).where(F.trim(VALUE) != "")
+    return reader.text(path).select(VALUE, F.lit(True).alias(PLACED), source).where(F.trim(VALUE) != "")
 
 
 def parsed(value: str = VALUE) -> Column:
     """The record as VARIANT, NULL if it is bad."""
-    whole = F.is_valid_utf8(value) & F.ltrim(value).startswith("{")
+    whole = F.col(PLACED) & F.is_valid_utf8(value) & F.ltrim(value).startswith("{")
     return F.when(whole, F.try_parse_json(value))
 
 
@@ -92,5 +102,5 @@ def bad_text(value: str = VALUE) -> Column:
 def typed(records: DataFrame, schema: str, corrupt: str) -> DataFrame:
     """Good records as typed columns, bad ones in ``corrupt``; other columns stay."""
     fields = F.from_json(F.when(parsed().isNotNull(), F.col(VALUE)), schema)
-    others = [c for c in records.columns if c != VALUE]
+    others = [c for c in records.columns if c not in (VALUE, PLACED)]
     return records.select(fields.alias("_fields"), bad_text().alias(corrupt), *others).select("_fields.*", corrupt, *others)

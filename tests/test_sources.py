@@ -139,7 +139,9 @@ ARRAYS = [
 
 @pytest.mark.parametrize(("content", "pieces"), ARRAYS)
 def test_splitting_arrays(content, pieces):
-    assert list(records.elements(content)) == pieces
+    found = list(records.elements(content))
+    assert [piece for piece, _ in found] == pieces
+    assert [placed for _, placed in found] == [piece not in (b"tail", b'{"x": 9}') for piece in pieces]
 
 
 FAULTS = [b'{"x": 1}', b'{"x": 2, "x": 3}', b'{"x": "zz"}', b'{"x": "\xff"}', b"7", b"{broken"]
