@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -396,6 +396,16 @@ def city_standardize(w):
     return w.table("cur_chargers").groupBy("city", "city_original").agg(F.count(F.lit(1)).alias("chargers"))
 
 
+@query
+def skewed_left_join(w):
+    """Line items of every customer segment: few keys, each split over several tasks."""
+    read = lambda name: domain.read(w.spark, w.sf_dir, name)
+    segments = read("customer").groupBy(F.col("c_mktsegment").alias("segment")).agg(F.count(F.lit(1)).alias("customers"))
+    segments = segments.withColumn("key", F.ascii("segment") % 3)
+    lines = read("lineitem").select((F.col("l_linenumber") % 3).cast("int").alias("key"), "l_orderkey", "l_linenumber")
+    return joins.left_join_many(segments, lines, "key", rows_per_task=5000)
+
+
 @query
 def nearest_city(w):
     found = nearest_place(w.table("stg_chargers"), seeds.places(w.spark))
@@ -737,14 +747,11 @@ def dq_trend_direction(w):
 
 @query
 def date_spine(w):
-    """Every day from the first to the last session, with the sessions started on it."""
+    """Every day of the reporting span, its end exclusive, with the sessions started on it."""
     sessions = w.table("stg_transactions")
     started = sessions.groupBy(F.to_date("start_time").alias("date_day")).agg(F.count(F.lit(1)).alias("sessions"))
-    return (
-        dimensions.spine_of(sessions, "start_time")
-        .join(started, "date_day", "left")
-        .select("date_day", F.coalesce("sessions", F.lit(0)).alias("sessions"))
-    )
+    spine = dimensions.date_spine(w.spark, date(1995, 1, 1), date(2001, 8, 1))
+    return spine.join(started, "date_day", "left").select("date_day", F.coalesce("sessions", F.lit(0)).alias("sessions"))
 
 
 @query
@@ -838,10 +845,8 @@ def incremental_merge(w):
 def source_freshness(w):
     return monitoring.source_freshness(
         {
-            "users": (w.table("stg_users"), "created_at"),
-            "chargers": (w.table("stg_chargers"), "installed_at"),
-            "transactions": (w.table("stg_transactions"), "start_time"),
-            "payments": (w.table("stg_payments"), "_loaded_at"),
+            table: (w.table(f"stg_{table}"), "_loaded_at")
+            for table in ("users", "chargers", "transactions", "payments")
         },
         FRESHNESS_CLOCK,
     )

@@ -8,58 +8,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ampflow.functions.measures import lookup_key
-from ampflow.session import estimated_bytes, local_table
 
-PLAIN_JOIN_BYTES = 1 << 30
 ROWS_PER_TASK = 5_000_000
-TRACKED_KEYS = 10_000
-MAX_HOT_KEYS = 500
 
 
-def frequent_keys(df: DataFrame, key: str, at_least: int) -> list[tuple[object, int]]:
-    """Keys with about ``at_least`` rows or more, from one mergeable sketch over the key column.
-
-    The answer has at most ``MAX_HOT_KEYS`` entries. It only steers how a join is laid out, never its result.
-    """
-    sketch = df.where(F.col(key).isNotNull()).agg(
-        F.expr(f"approx_top_k({key}, {MAX_HOT_KEYS}, {TRACKED_KEYS})").alias("top")
-    )
-    top = sketch.first()["top"] or []
-    return [(entry["item"], entry["count"]) for entry in top if entry["count"] >= at_least]
+def frequent_keys(df: DataFrame, key: str, rows_per_task: int) -> DataFrame:
+    """``(key, _slices)`` of every key with more than ``rows_per_task`` rows, counted exactly."""
+    counted = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    slices = F.ceil(F.col("_rows") / rows_per_task).cast("long")
+    return counted.where(F.col("_rows") > rows_per_task).select(key, slices.alias("_slices"))
 
 
-def left_join_many(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    plain_below: int = PLAIN_JOIN_BYTES,
-    rows_per_task: int = ROWS_PER_TASK,
-) -> DataFrame:
+def left_join_many(left: DataFrame, right: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """``left`` LEFT JOIN ``right`` USING (key), also when one key owns a large share of ``right``.
 
-    Adaptive execution splits a skewed left side of a left outer join but not a skewed right side. Beyond
-    ``plain_below`` estimated bytes the hot right keys are therefore joined apart: their right rows are dealt to
-    several slices and their left rows are repeated once per slice. A hot key has right rows by definition, so that
-    branch is an inner join; all other left rows, including unmatched and NULL keys, take the plain join.
+    Adaptive execution splits a skewed left side of a left outer join but not a skewed right side. Keys with more than
+    ``rows_per_task`` right rows, however many they are, are joined apart: their right rows are dealt to several slices
+    and their left rows are repeated once per slice. A hot key has right rows by definition, so that branch is an inner
+    join; all other left rows, including unmatched and NULL keys, take the plain join, which may use buckets.
     ``right`` should be a table scan (or narrow over one), which re-reads its rows in the same order on a retry.
     """
-    if estimated_bytes(right) < plain_below:
-        return left.join(right, key, "left")
-    hot = frequent_keys(right, key, rows_per_task)
-    if not hot:
-        return left.join(right, key, "left")
-
-    spark = left.sparkSession
-    slices = F.broadcast(
-        local_table(spark, {key: [k for k, _ in hot], "_slices": [-(-n // rows_per_task) + 1 for _, n in hot]})
-    )
-    is_hot = F.coalesce(F.col(key).isin([k for k, _ in hot]), F.lit(False))
-    cold = left.where(~is_hot).join(right.where(~is_hot), key, "left")
-    dealt = right.join(slices, key).withColumn(
-        "_slice", F.pmod(F.monotonically_increasing_id(), F.col("_slices"))
-    )
-    repeated = left.join(slices, key).withColumn("_slice", F.explode(F.sequence(F.lit(0), F.col("_slices") - 1)))
-    apart = repeated.drop("_slices").join(dealt.drop("_slices"), [key, "_slice"], "inner").drop("_slice")
+    # One hot key takes rows_per_task rows at least: a trillion rows have 200,000 of them, a few megabytes.
+    hot = F.broadcast(frequent_keys(right, key, rows_per_task))
+    cold = left.join(hot, key, "left_anti").join(right.join(hot, key, "left_anti"), key, "left")
+    dealt = right.join(hot, key).withColumn("_slice", F.pmod(F.monotonically_increasing_id(), F.col("_slices")))
+    repeated = left.join(hot, key).withColumn("_slice", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_slices") - 1)))
+    apart = repeated.drop("_slices").join(dealt.drop("_slices"), [key, "_slice"]).drop("_slice")
     return cold.unionByName(apart)
 
 

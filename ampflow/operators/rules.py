@@ -38,11 +38,8 @@ def duplicated(df: DataFrame, expression: str) -> DataFrame:
 
 def not_accepted(df: DataFrame, expression: str, values: Sequence) -> DataFrame:
     """Non-NULL values outside the list, with their row counts."""
-    return (
-        df.groupBy(F.expr(expression).alias("value"))
-        .agg(F.count(F.lit(1)).alias("row_count"))
-        .where(~F.col("value").isin(list(values)))
-    )
+    value = F.expr(expression)
+    return df.where(~value.isin(list(values))).groupBy(value.alias("value")).agg(F.count(F.lit(1)).alias("row_count"))
 
 
 def null_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -74,22 +71,25 @@ def _null_failures(df: DataFrame, rules: Numbered) -> DataFrame:
 
 
 def _value_failures(df: DataFrame, rules: Numbered) -> DataFrame:
-    """Failures of the unique and accepted-values rules of one table from a single (rule, value) count."""
-    cells = [f"named_struct('rule', {i}, 'value', CAST({r.column} AS STRING))" for i, r in rules]
+    """Failures of the unique and accepted-values rules of one table from a single (rule, value) count.
+
+    Accepted values are left out before anything is shuffled; only the values that a unique rule has to count are.
+    """
 
-    def failing(rule: Rule) -> str:
-        if rule.kind == UNIQUE:
-            return "count > 1"
-        return f"value NOT IN ({', '.join(_quoted(_text_of(v)) for v in rule.values)})"
+    def cell(number: int, rule: Rule) -> str:
+        held = f"named_struct('rule', {number}, 'value', CAST({rule.column} AS STRING))"
+        listed = ", ".join(_quoted(_text_of(v)) for v in rule.values)
+        failing = f"CAST({rule.column} AS STRING) NOT IN ({listed})" if rule.kind == ACCEPTED else f"({rule.column}) IS NOT NULL"
+        return f"CASE WHEN {failing} THEN {held} END"
 
-    cases = " ".join(f"WHEN {i} THEN {failing(r)}" for i, r in rules)
+    unique = ", ".join(str(i) for i, r in rules if r.kind == UNIQUE) or "-1"
+    cells = ", ".join(cell(i, r) for i, r in rules)
     return (
-        df.selectExpr(f"inline(array({', '.join(cells)}))")
-        .where("value IS NOT NULL")
+        df.selectExpr(f"inline(array_compact(array({cells})))")
         .groupBy("rule", "value")
         .count()
         .groupBy("rule")
-        .agg(F.expr(f"count_if(CASE rule {cases} END) AS failures"))
+        .agg(F.expr(f"count_if(rule NOT IN ({unique}) OR count > 1) AS failures"))
     )
 
 

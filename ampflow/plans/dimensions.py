@@ -21,6 +21,7 @@ def surrogate_key(*columns: Column) -> Column:
 
 
 def tier_rank(tier: Column) -> Column:
+    """Fixed values, as the labels of the next function and of :func:`quality_status`."""
     return F.when(tier == "subscriber", 1).when(tier == "guest", 2).otherwise(99)
 
 

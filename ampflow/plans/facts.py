@@ -264,7 +264,7 @@ QUARTILE_MEASURES = {
 
 
 def performance_class(volume: Column, value: Column) -> Column:
-    """Quadrant of two quartiles. 'Average' is documented but cannot occur with quartiles 1 to 4."""
+    """Quadrant of two quartiles; the labels are fixed values. 'Average' is documented but cannot occur with quartiles 1 to 4."""
     busy, rich = volume >= 3, value >= 3
     return (
         F.when((volume == 4) & (value == 4), "Star Performer")

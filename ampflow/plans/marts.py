@@ -12,7 +12,7 @@ from ampflow.operators.quantiles import float_quantiles
 
 CURRENT, PREVIOUS = "Current Month", "Previous Month"
 
-# Display name of each headline measure.
+# Display name of each headline measure.
 KPIS = {
     "Total Revenue": "total_revenue",
     "Energy Delivered (kWh)": "total_energy_kwh",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ampflow.functions.measures import percent_half_even, round_half_even, rows_where
 
-# Scorecard column per flag of the session fact.
+# Fixed values up to ISSUE_TYPES: output columns and labels. Scorecard column per flag of the session fact.
 SCORECARD = {
     "valid_transactions": "is_valid_transaction",
     "missing_payments": "is_missing_payment",

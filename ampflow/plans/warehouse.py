@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,6 +35,24 @@ LAYERS: dict[str, str] = {
 }
 
 
+STAGE = ("stg_users", "stg_chargers", "stg_transactions", "stg_payments")
+# Tables that do not read each other, in build order; those of a group are built at the same time.
+GROUPS = (
+    STAGE,
+    ("cur_transactions", "cur_payments", "cur_chargers", "cur_users"),
+    ("fact_transactions", "dim_dates", "dim_users", "dim_chargers", "dim_cities"),
+    ("fact_daily_metrics", "fact_charger_performance"),
+)
+BUILDERS = 4
+
+
+def build_groups(build: Callable[[str], object]) -> None:
+    """Calls ``build`` for every table, ``BUILDERS`` at a time within a group."""
+    with ThreadPoolExecutor(BUILDERS) as pool:
+        for group in GROUPS:
+            list(pool.map(build, group))
+
+
 def model(name: str, table: Source, run: Run, bounds: DataFrame | None = None) -> DataFrame:
     """The DataFrame of one model over the tables ``table`` returns; ``bounds`` replaces fresh outlier bounds."""
     match name:
@@ -75,29 +94,33 @@ def refresh(
     are partitioned by it. The outlier bounds of the run are kept as ``curated.*_bounds``.
     """
     tables = {"city_name_mapping": seeds.city_map(spark), "date_spine": dimensions.date_spine(spark)} | stage
-    for name in ("stg_users", "stg_chargers", "stg_transactions", "stg_payments"):
-        tables[name] = save_table(tables[name], "stg", name)
-    bounds = {
-        "cur_payments": save_table(
-            curated.payment_bounds(tables["stg_payments"]).withColumn("_run_ts", run.stamp()), "curated", "payment_bounds"
-        ),
-        "cur_transactions": save_table(
-            curated.transaction_bounds(tables["stg_transactions"]).withColumn("_run_ts", run.stamp()),
-            "curated",
-            "transaction_bounds",
-        ),
+    measured = {
+        "cur_payments": ("payment_bounds", curated.payment_bounds, "stg_payments"),
+        "cur_transactions": ("transaction_bounds", curated.transaction_bounds, "stg_transactions"),
     }
-    for name, layer in LAYERS.items():
+
+    def build(name: str) -> None:
+        if name in STAGE:
+            tables[name] = save_table(tables[name], "stg", name)
+            return
+        bounds = None
+        if name in measured:
+            kept, of, source = measured[name]
+            bounds = save_table(of(tables[source]).withColumn("_run_ts", run.stamp()), "curated", kept)
         bucketed = buckets if name in ("cur_transactions", "cur_payments") else 0
         dated = partition_facts and name in ("fact_transactions", "fact_daily_metrics")
         tables[name] = save_table(
-            model(name, tables.__getitem__, run, bounds.get(name)),
-            layer,
+            model(name, tables.__getitem__, run, bounds),
+            LAYERS[name],
             name,
             partition_by=["transaction_date"] if dated else (),
             bucket_by="session_id" if bucketed else None,
             buckets=bucketed,
         )
+
+    for database in ("stg", "curated", "semantic"):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    build_groups(build)
     return tables
 
 
@@ -124,6 +147,10 @@ class Warehouse:
                 return dimensions.spine_of(self.table("stg_transactions"), "start_time")
         return self.model(name)
 
+    def build_all(self) -> None:
+        """Writes every layer table, independent ones at the same time."""
+        build_groups(self.table)
+
     def model(self, name: str) -> DataFrame:
         """The model's own plan over its input tables."""
         return model(name, self.table, self.run)

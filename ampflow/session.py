@@ -57,12 +57,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of the optimised plan; starts no job."""
-    stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(str(stats.sizeInBytes()))
-
-
 def local_table(spark: SparkSession, columns: dict[str, Sequence]) -> DataFrame:
     """A few rows of driver data as a local relation, whose exact size lets Catalyst decide on a broadcast."""
     return spark.createDataFrame(pa.table({name: list(values) for name, values in columns.items()}))

@@ -9,7 +9,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-LOADED_AT = "2001-08-01 00:00:00"  # fixed value: load instant of the derived tables
+# The newest load instant by source; a record with a higher key came up to 2,000 minutes earlier.
+LOADED_AT = {
+    "users.json": "2001-08-01 00:00:00",
+    "chargers.json": "2001-07-30 18:00:00",
+    "transactions.json": "2001-08-01 20:00:00",
+    "payments.json": "2001-08-01 00:00:00",
+}
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -24,9 +30,10 @@ def _every(key: str, n: int) -> Column:
     return F.col(key) % n == 0
 
 
-def _audit(file_name: str) -> list[Column]:
+def _audit(file_name: str, key: str) -> list[Column]:
+    earlier = (F.col(key) % 2000).cast("int") * F.expr("INTERVAL '1' MINUTE")
     return [
-        F.lit(LOADED_AT).cast("timestamp_ntz").alias("_loaded_at"),
+        (F.lit(LOADED_AT[file_name]).cast("timestamp_ntz") - earlier).alias("_loaded_at"),
         F.lit(file_name).alias("_source_file"),
     ]
 
@@ -49,7 +56,7 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lower(F.replace(F.col("c_name"), F.lit("#"), F.lit("."))), domain).alias("email"),
         tier.alias("tier"),
         _day_offset(F.col("c_custkey") % 2400).alias("created_at"),
-        *_audit("users.json"),
+        *_audit("users.json", "c_custkey"),
     )
 
 
@@ -71,7 +78,7 @@ def chargers(spark: SparkSession, sf_dir: str) -> DataFrame:
         latitude.alias("latitude"),
         F.when(~missing, 6 + step / 32).alias("longitude"),
         _day_offset((key * 37) % 2000).alias("installed_at"),
-        *_audit("chargers.json"),
+        *_audit("chargers.json", "s_suppkey"),
     )
 
 
@@ -130,7 +137,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
             kwh.cast("decimal(10,4)").alias("kwh_consumed"),
             method.alias("payment_method"),
             F.when(failed, "failed").otherwise("completed").alias("status"),
-            *_audit("transactions.json"),
+            *_audit("transactions.json", "o_orderkey"),
         )
     )
 
@@ -155,6 +162,6 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
             _code("U", payer).alias("user_id"),
             amount.cast("decimal(10,2)").alias("amount"),
             F.lit("CHF").alias("currency"),
-            *_audit("payments.json"),
+            *_audit("payments.json", "o_orderkey"),
         )
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import threading
+from collections import defaultdict
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,10 +52,14 @@ def input_state(spark: SparkSession, paths: Iterable[str]) -> str:
 
 
 class TableStore:
-    """Parquet tables in the shared folder, each written once per application and input state."""
+    """Parquet tables in the shared folder, each written once per application and input state.
+
+    Tables are locked one by one, so independent ones can be built at the same time; a build may build others.
+    """
 
     _written: dict[str, StructType] = {}
-    _lock = threading.RLock()  # building a table may build others
+    _locks: defaultdict[str, threading.RLock] = defaultdict(threading.RLock)
+    _guard = threading.Lock()
 
     def __init__(self, spark: SparkSession, state: str):
         self.spark = spark
@@ -62,7 +67,9 @@ class TableStore:
 
     def table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         path = f"{self.root}/{name}"
-        with self._lock:
+        with self._guard:
+            lock = self._locks[path]
+        with lock:
             if path not in self._written:
                 built = build()
                 built.write.mode("overwrite").parquet(path)

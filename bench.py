@@ -17,7 +17,7 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from ampflow.catalog import QUERIES  # noqa: E402
-from ampflow.plans.warehouse import LAYERS, Warehouse  # noqa: E402
+from ampflow.plans.warehouse import Warehouse  # noqa: E402
 from ampflow.session import build_session  # noqa: E402
 
 HEADLINE = (
@@ -69,8 +69,7 @@ def build_layers(spark, sf_dir: str, label: str) -> float:
     warehouse = Warehouse(spark, sf_dir)
     warehouse.store.root += label
     start = time.perf_counter()
-    for name in ("stg_users", "stg_chargers", "stg_transactions", "stg_payments", *LAYERS):
-        warehouse.table(name)
+    warehouse.build_all()
     return time.perf_counter() - start
 
 

@@ -8,8 +8,18 @@ STAMP = "TIMESTAMP '2001-08-01 00:00:00'"
 TODAY = "DATE '2001-08-01'"
 
 
+NEWEST = {
+    "users.json": ("2001-08-01 00:00:00", "user_id"),
+    "chargers.json": ("2001-07-30 18:00:00", "charger_id"),
+    "transactions.json": ("2001-08-01 20:00:00", "session_id"),
+    "payments.json": ("2001-08-01 00:00:00", "payment_id"),
+}
+
+
 def _audit(file_name: str) -> str:
-    return f"{STAMP} AS _loaded_at, '{file_name}' AS _source_file"
+    newest, key = NEWEST[file_name]
+    earlier = f"CAST(CAST(substr({key}, 2) AS BIGINT) % 2000 AS INT) * INTERVAL 1 MINUTE"
+    return f"TIMESTAMP '{newest}' - {earlier} AS _loaded_at, '{file_name}' AS _source_file"
 
 
 def pct(part: str, whole: str = "count(*)") -> str:

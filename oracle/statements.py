@@ -304,7 +304,8 @@ SELECT CASE WHEN NOT bad THEN user_id END AS user_id, CASE WHEN NOT bad THEN nam
 FROM (SELECT *, CAST(substr(user_id, 2) AS BIGINT) % 97 = 0 AS bad FROM stg_users) u""",
     "flatten_location": """
 SELECT charger_id, city, latitude, longitude, installed_at, CAST(NULL AS VARCHAR) AS _corrupt_record FROM stg_chargers""",
-    "raw_variant_land": f"SELECT * EXCLUDE (_source_file), {STAMP} AS _dbt_updated_at FROM stg_chargers",
+    "raw_variant_land": f"""
+SELECT * EXCLUDE (_source_file) REPLACE ({STAMP} AS _loaded_at), {STAMP} AS _dbt_updated_at FROM stg_chargers""",
     "raw_variant_land_array": """
 SELECT charger_id, city, latitude, longitude, CAST(NULL AS VARCHAR) AS bad_line FROM stg_chargers
 UNION ALL SELECT NULL, NULL, NULL, NULL, bad_line FROM (VALUES ('{"charger_id": "cut'), ('{"x": 2, "x": 3}'), ('17'),
@@ -380,6 +381,10 @@ CROSS JOIN (SELECT quantile_cont(round(c_acctbal * 100), 0.25) AS q1, quantile_c
     "valid_transaction": "SELECT session_id, is_valid_transaction FROM fact_transactions",
     # joins
     "city_standardize": "SELECT city, city_original, count(*) AS chargers FROM cur_chargers GROUP BY 1, 2",
+    "skewed_left_join": """
+SELECT s.key, s.segment, s.customers, l.l_orderkey, l.l_linenumber
+FROM (SELECT c_mktsegment AS segment, count(*) AS customers, ascii(c_mktsegment) % 3 AS key FROM customer GROUP BY 1) s
+LEFT JOIN (SELECT l_linenumber % 3 AS key, l_orderkey, l_linenumber FROM lineitem) l ON s.key = l.key""",
     "nearest_city": f"SELECT charger_id, place, ROUND(km, 6) AS distance_km FROM ({_NEAREST}) n",
     "city_agreement": f"""
 SELECT city, place_city AS city_from_coords, count(*) AS row_count FROM ({_NEAREST}) n
@@ -577,8 +582,9 @@ FROM (
         WHERE newest <= 90) n) m""",
     # generators
     "date_spine": """
-SELECT s.date_day, count(t.session_id) AS sessions FROM date_spine s
-LEFT JOIN stg_transactions t ON CAST(t.start_time AS DATE) = s.date_day GROUP BY 1""",
+SELECT CAST(d.day AS DATE) AS date_day, count(t.session_id) AS sessions
+FROM (SELECT unnest(generate_series(DATE '1995-01-01', DATE '2001-07-31', INTERVAL 1 DAY)) AS day) d
+LEFT JOIN stg_transactions t ON CAST(t.start_time AS DATE) = CAST(d.day AS DATE) GROUP BY 1""",
     "surrogate_key": """
 SELECT charger_id, md5(COALESCE(city, '_dbt_utils_surrogate_key_null_')) AS city_key,
   md5(COALESCE(city, '_dbt_utils_surrogate_key_null_') || '-' || CAST(latitude IS NULL AS VARCHAR)) AS pair_key
@@ -615,12 +621,7 @@ SELECT *, CAST(date_trunc('month', start_time) AS DATE) AS transaction_month FRO
         f"""SELECT '{t}' AS source_name, newest AS max_loaded_at, age AS age_minutes,
   CASE WHEN age IS NULL OR age > 2880 THEN 'error' WHEN age > 1440 THEN 'warn' ELSE 'pass' END AS status
 FROM (SELECT max({c}) AS newest, date_diff('minute', max({c}), TIMESTAMP '2001-08-02 12:00:00') AS age FROM stg_{t}) a"""
-        for t, c in (
-            ("users", "created_at"),
-            ("chargers", "installed_at"),
-            ("transactions", "start_time"),
-            ("payments", "_loaded_at"),
-        )
+        for t, c in ((t, "_loaded_at") for t in ("users", "chargers", "transactions", "payments"))
     ),
     "valid_pct_alerts": """
 SELECT transaction_date, total_transactions, valid_transactions, valid_transaction_pct, 60.0::DOUBLE AS threshold_pct
