@@ -26,6 +26,10 @@ from ampflow.llm.common import chunks, free_name, map_arrow, read_table, worker_
 from ampflow.llm.tokens import Remembered, TokenizerFile
 
 TOKENIZER = "word_bpe_49k.json"
+#: Fragments that a worker remembers besides words.
+FRAGMENTS = 30_000
+#: Rank of a pair that no merge has.
+NEVER = 1 << 60
 
 
 class ForcedBoundaryBpe:
@@ -35,7 +39,7 @@ class ForcedBoundaryBpe:
         self.file = TokenizerFile(path)
         self.ranks = {pair: rank for rank, pair in enumerate(self.file.merges)}
         self.inside = self._pairs_inside_tokens()
-        self.fragments = Remembered(self._merged)
+        self.fragments = Remembered(self._merged, FRAGMENTS)
         self.words = Remembered(self._encoded_word)
 
     def _units(self, token: str) -> list[str]:
@@ -55,13 +59,20 @@ class ForcedBoundaryBpe:
 
     def _merged(self, fragment: tuple[str, ...]) -> tuple[int, ...]:
         """Ids of a fragment: the best ranked pair, leftmost first, is merged until none is left."""
-        units, ranks = list(fragment), self.ranks
-        while len(units) > 1:
-            best, at = min((ranks.get(pair, 1 << 60), i) for i, pair in enumerate(zip(units, units[1:], strict=False)))
-            if best == 1 << 60:
+        units, rank = list(fragment), self.ranks.get
+        ranks = [rank(pair, NEVER) for pair in zip(units, units[1:], strict=False)]
+        while ranks:
+            best = min(ranks)
+            if best == NEVER:
                 break
+            at = ranks.index(best)
             units[at : at + 2] = [units[at] + units[at + 1]]
-        return tuple(self.file.vocabulary[u] for u in units)
+            del ranks[at]
+            if at < len(ranks):
+                ranks[at] = rank((units[at], units[at + 1]), NEVER)
+            if at:
+                ranks[at - 1] = rank((units[at - 1], units[at]), NEVER)
+        return tuple([self.file.vocabulary[u] for u in units])
 
     def cut(self, word: str) -> list[tuple[str, ...]]:
         """Fragments of a word between certain cuts."""
@@ -138,6 +149,32 @@ def decode(encoded: DataFrame, path: str, ids_column: str = "token_ids", name: s
     return map_arrow(encoded, worker, StructType([*encoded.schema.fields, StructField(name, StringType())]))
 
 
+def encode_and_check(docs: DataFrame, path: str, text_column: str = "text") -> DataFrame:
+    """``docs`` with ``token_ids``, ``n_tokens`` and ``decoded_sha256`` in place of the text.
+
+    One worker encodes and decodes, so the ids travel once. Columns of these names are replaced.
+    """
+    docs = docs.drop("token_ids", "n_tokens", "decoded_sha256")
+    place = docs.columns.index(text_column)
+
+    def worker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = codec(path)
+        for batch in chunks(batches, place, 2 << 20):
+            ids = [bpe.encode(t or "") for t in batch.column(place).to_pylist()]
+            digests = [hashlib.sha256(bpe.decode(i.tolist()).encode()).hexdigest() for i in ids]
+            added = [_lists(ids), pa.array([len(i) for i in ids], pa.int64()), pa.array(digests, pa.string())]
+            others = [c for i, c in enumerate(batch.columns) if i != place]
+            yield pa.RecordBatch.from_arrays([*others, *added], names=schema.names)
+
+    added = [
+        StructField("token_ids", ArrayType(IntegerType())),
+        StructField("n_tokens", LongType()),
+        StructField("decoded_sha256", StringType()),
+    ]
+    schema = StructType([*(f for f in docs.schema.fields if f.name != text_column), *added])
+    return map_arrow(docs, worker, schema)
+
+
 def round_trip_digests(docs: DataFrame, path: str, text_column: str = "text") -> DataFrame:
     """``docs`` without the text, with ``n_tokens``, ``ids_sha256`` and ``decoded_sha256`` of encoding and decoding it.
 

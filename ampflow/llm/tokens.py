@@ -24,8 +24,8 @@ SPACE = "\t\n\v\f\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 SPLIT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
-#: Words or fragments that a worker remembers: the first ones, among which are the frequent ones.
-REMEMBERED = 400_000
+#: Words that a worker remembers: the first ones, among which are the frequent ones. Some 40 MB.
+REMEMBERED = 150_000
 
 
 class Remembered(dict):

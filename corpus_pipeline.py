@@ -12,10 +12,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from ampflow.llm.bpe import TOKENIZER, decode, encode
-from ampflow.llm.common import free_name, read_table, written
+from ampflow.llm.bpe import TOKENIZER, encode_and_check
+from ampflow.llm.common import read_table, written
 from ampflow.llm.decontaminate import decontaminated
 from ampflow.llm.simhash import deduplicated
 from ampflow.llm.toxicity import harmless, toxicity_model
@@ -38,13 +37,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, their number, and the digest of what they decode to."""
-    path = public_tokenizers.path(TOKENIZER)
-    (decoded,) = free_name(docs, "_decoded")
-    encoded = encode(docs.drop("n_tokens", "decoded_sha256"), path).drop("text")
-    back = decode(encoded, path, name=decoded)
-    return back.withColumn("n_tokens", F.size("token_ids").cast("long")).withColumn(
-        "decoded_sha256", F.sha2(F.encode(F.col(decoded), "UTF-8"), 256)
-    ).drop(decoded)
+    return encode_and_check(docs, public_tokenizers.path(TOKENIZER))
 
 
 STAGES = [
