@@ -121,17 +121,21 @@ def _instances(texts: list[str], places: dict[str, int]) -> tuple[np.ndarray, np
 
 def telling_features(texts: list[str], y: np.ndarray) -> dict[str, float]:
     """Features that toxic documents hold more often than chance explains, with their log odds ratio."""
-    seen: Counter[str] = Counter()
+
+    def held(text: str) -> set[str]:
+        return {f for t in set(TOKEN.findall(text.lower())) if t[0].isalpha() for f in word_features(t)}
+
     toxic: Counter[str] = Counter()
-    for text, label in zip(texts, y.tolist(), strict=True):
-        held = {f for t in set(TOKEN.findall(text.lower())) if t[0].isalpha() for f in word_features(t)}
-        seen.update(held)
-        if label:
-            toxic.update(held)
+    for text in (t for t, label in zip(texts, y.tolist(), strict=True) if label):
+        toxic.update(held(text))
+    # One document tells nothing; most features occur in one, so the rest are few enough to count in the others.
+    seen = Counter({f: n for f, n in toxic.items() if n > 1})
+    for text in (t for t, label in zip(texts, y.tolist(), strict=True) if not label):
+        seen.update(held(text) & seen.keys())
     share, positives = y.mean(), int(y.sum())
     out = {}
-    for feature, among in sorted(toxic.items()):
-        total = seen[feature]
+    for feature, total in sorted(seen.items()):
+        among = toxic[feature]
         if (among - total * share) / np.sqrt(total * share * (1 - share)) >= LEAST_EXCESS:
             odds = (among + 0.5) / (positives + 1) / ((total - among + 0.5) / (len(y) - positives + 1))
             out[feature] = float(np.log(odds))
