@@ -30,10 +30,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ampflow.llm.common import chunks, map_arrow, read_table, written
+from ampflow.llm.common import chunks, map_arrow, read_table, worker_cache, written
 from ampflow.llm.tokens import Remembered
 
-BUCKETS = 1 << 14
+BUCKETS = 1 << 13
 HALF = 16
 PASSAGE = 2 * HALF
 RANK = 256
@@ -52,6 +52,8 @@ LEAST_ANSWER = 0.6
 STRETCH = 1.3
 EDGES = ".,;:!?\"'()[]{}<>|*#$%&~`^+=/\\-_…«»“”‘’¡¿"
 PARTS = 4
+#: Tokens whose bucket a worker remembers.
+REMEMBERED_TOKENS = 400_000
 
 PAIRS = "doc_id long, item_id long, cosine double, common double, answer double, first_word long"
 
@@ -67,11 +69,16 @@ def bucket_of(token: str) -> int:
     return zlib.crc32(word.encode("utf-8", "surrogatepass")) % BUCKETS if word else -1
 
 
+def known_buckets() -> Remembered:
+    """Buckets of tokens, kept by a worker for all its tasks; some 80 MB at most."""
+    return worker_cache(f"buckets-{BUCKETS}", lambda: Remembered(bucket_of, REMEMBERED_TOKENS))
+
+
 def document_counts(docs: DataFrame, text_column: str) -> tuple[np.ndarray, int]:
     """In how many documents each bucket occurs, and the number of documents. Counts of a task are summed there."""
 
     def worker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Remembered(bucket_of)
+        known = known_buckets()
         counts, total = np.zeros(BUCKETS, dtype=np.int64), 0
         for batch in chunks(batches, 0):
             for text in batch.column(0).to_pylist():
@@ -152,6 +159,7 @@ def _normal_product(rows: DataFrame, basis: np.ndarray) -> np.ndarray:
     kind = "block int, own binary, sums binary"
     # One row per block of buckets: a fixed number, together at most the size of the basis.
     blocks = map_arrow(rows, worker, kind).groupBy("block").applyInArrow(added, kind).toArrow()
+    held.destroy()
     out = np.zeros_like(basis)
     for row in blocks.to_pylist():
         sums = np.frombuffer(row["sums"], dtype=np.float64).reshape(-1, width)
@@ -172,6 +180,7 @@ def _gram(rows: DataFrame, basis: np.ndarray) -> np.ndarray:
         yield pa.RecordBatch.from_pydict({"sums": [out.tobytes()]}, schema=pa.schema([("sums", pa.binary())]))
 
     parts = map_arrow(rows, worker, "sums binary").toArrow().column("sums").to_pylist()
+    held.destroy()
     return sum((np.frombuffer(p, dtype=np.float64).reshape(width, width) for p in parts), np.zeros((width, width)))
 
 
@@ -244,7 +253,7 @@ class Matcher:
 
     def __init__(self, rows: list[tuple], terms: np.ndarray):
         terms = np.ascontiguousarray(terms)
-        self.items, self.terms, self.known = [item_of(*r) for r in rows], terms, Remembered(bucket_of)
+        self.items, self.terms, self.known = [item_of(*r) for r in rows], terms, known_buckets()
         vectors, owners = [np.empty((0, terms.shape[1]), dtype=np.float32)], []
         for i, item in enumerate(self.items):
             buckets = np.array([bucket_of(w) for w in item.words], dtype=np.int64)
@@ -259,7 +268,9 @@ class Matcher:
         out: list[list[tuple[int, int, float]]] = [[] for _ in tokens]
         padded, owner = [], []
         for i, text in enumerate(tokens):
-            own = [b for b in [self.known[t] for t in text] if b >= 0]
+            own = [self.known[t] for t in text]
+            if -1 in own:
+                own = [b for b in own if b >= 0]
             if own:
                 own += [BUCKETS] * (-len(own) % HALF)
                 padded += own
@@ -287,7 +298,9 @@ class Matcher:
             block = vectors[rows]
             lengths = np.maximum(np.linalg.norm(block, axis=1), 1e-9)
             products = block @ self.passages.T
-            i, j = np.nonzero(products >= (CLOSE * lengths)[:, None])
+            close = np.flatnonzero(products.max(axis=1) >= CLOSE * lengths)
+            i, j = np.nonzero(products[close] >= (CLOSE * lengths[close])[:, None])
+            i = close[i]
             near, items = rows[i], self.owners[j].tolist()
             starts = (near - firsts[np.searchsorted(firsts, near, "right") - 1]).tolist()
             cosines = (products[i, j] / lengths[i]).tolist()
