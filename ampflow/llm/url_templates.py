@@ -1,8 +1,8 @@
 """URL filter: a tree of path templates per host, judged by labels, under a list of rules.
 
-Paths of a host form a tree by segments. Level by level, segments that vary become wildcards of their shape, and
-sibling branches whose labels do not differ from their parent's beyond chance are merged, as there is no reason to
-tell them apart. A template (a path through that tree) is rejected if its purity, the share of good pages among its
+Paths of a host form a tree by segments. Level by level, segments that vary become wildcards of their shape, except
+those whose own labels tell them from their parent; and sibling branches whose labels do not differ from their
+parent's beyond chance are merged, as there is no reason to tell them apart. A template (a path through that tree) is rejected if its purity, the share of good pages among its
 labelled ones drawn to the overall share, is too low. Rules come first: the longest rule that fits decides.
 
 Counts combine before every shuffle. The tree is built over distinct paths; what a level decides is written, and
@@ -25,9 +25,11 @@ from ampflow.llm.common import read_table, written
 
 #: Segments of a path that become levels of the tree; the rest is one more.
 DEPTH = 8
-#: A node's segments vary if there are so many; then those with less than this share of its pages become wildcards.
+#: A node's segments vary if there are so many; then those with less than this share of its pages become wildcards,
+#: unless their labels would differ so much from the parent's with at most ``CHANCE``, shared among all segments.
 LEAST_VARIANTS = 5
 LITERAL_SHARE = 0.1
+CHANCE = 0.05
 #: Standard deviations by which a branch must differ from its parent to stay apart.
 APART = 1.96
 #: Pages' worth of the overall share in a template's purity, and the purity below which it is rejected.
@@ -87,6 +89,16 @@ def wildcard(segment: Column) -> Column:
     return F.concat(shown, F.regexp_extract(segment, r"(\.[A-Za-z][A-Za-z0-9]{0,4})$", 1))
 
 
+def told_apart(labelled: Column, bad: Column, rate: Column, variants: Column) -> Column:
+    """Whether ``bad`` of ``labelled`` is beyond chance at ``rate``, by Chernoff's bound, which also holds for few labels."""
+
+    def share(own: Column, expected: Column) -> Column:
+        return F.when(own > 0, own * F.ln(own / expected)).otherwise(F.lit(0.0))
+
+    surprise = share(bad, labelled * rate) + share(labelled - bad, labelled * (1 - rate))
+    return surprise > F.ln(2 * variants / CHANCE)
+
+
 def grown(paths: DataFrame, level: int) -> DataFrame:
     """``paths`` with the template one segment longer where the path goes on."""
     key = ["host", "template"]
@@ -100,9 +112,11 @@ def grown(paths: DataFrame, level: int) -> DataFrame:
         F.sum("labelled").alias("all_labelled"),
         F.sum("bad").alias("all_bad"),
     )
+    rate = F.when(F.col("all_labelled") > 0, F.col("all_bad") / F.col("all_labelled")).otherwise(F.lit(0.0))
     rare = (F.col("variants") >= LEAST_VARIANTS) & (F.col("pages") < LITERAL_SHARE * F.col("all_pages"))
+    apart = told_apart(F.col("labelled"), F.col("bad"), rate, F.col("variants"))
     named = children.join(nodes, key).withColumn(
-        "branch", F.when(rare, wildcard(F.col("segment"))).otherwise(F.col("segment"))
+        "branch", F.when(rare & ~apart, wildcard(F.col("segment"))).otherwise(F.col("segment"))
     )
     named = written(named, "named")
     branches = named.groupBy(*key, "branch").agg(
@@ -111,7 +125,6 @@ def grown(paths: DataFrame, level: int) -> DataFrame:
         F.max("all_labelled").alias("all_labelled"),
         F.max("all_bad").alias("all_bad"),
     )
-    rate = F.when(F.col("all_labelled") > 0, F.col("all_bad") / F.col("all_labelled")).otherwise(F.lit(0.0))
     expected = F.col("branch_labelled") * rate
     spread = F.sqrt(expected * (1 - rate))
     alike = F.abs(F.col("branch_bad") - expected) <= APART * spread

@@ -125,3 +125,13 @@ def test_without_labels_or_pages(spark, tmp_path):
     got = S.op7_url_templates(spark, saved(spark, tmp_path / "a", pages=pages, labels=none)).collect()
     assert [(r.verdict, r.rule) for r in got] == [("allow", None)]
     assert S.op7_url_templates(spark, saved(spark, tmp_path / "b", pages=pages.limit(0), labels=none)).collect() == []
+
+
+def test_a_bad_section_among_many_stays_apart(spark, tmp_path):
+    for sections in (12, 60):
+        rows = [(s * 100 + i, f"http://hot.net/s{s}/{s * 100 + i}", None) for s in range(sections) for i in range(25)]
+        labels = [(page, int(page // 100 != 7), 0) for page, _, _ in rows]
+        pages, stored = spark.createDataFrame(rows, PAGES), spark.createDataFrame(labels, LABELS)
+        got = S.op7_url_templates(spark, saved(spark, tmp_path / str(sections), pages=pages, labels=stored)).collect()
+        assert len(got) == len(rows)
+        assert all((r.verdict == "block") == (r.page_id // 100 == 7) for r in got)
