@@ -3,7 +3,8 @@
 Documents and benchmark items are cut into overlapping passages of words. Terms are weighted by TF-IDF, with document
 counts over the whole corpus. A distributed randomised singular value decomposition of the benchmark's passages gives
 the latent space; every document passage is projected into it and compared with the benchmark's passages by cosine.
-Passages that are close enough are candidates, and those are checked in full: the longest common subsequence of words
+Passages that are close enough are candidates. An item shorter than a passage fills too little of one, so stretches
+that hold enough of its rarest words are candidates as well, and no match of it can lack those. All are checked in full: the longest common subsequence of words
 within a stretch hardly longer than the item must hold most of the item; below a near-exact share, which is where
 paraphrases are, so must the item's answer (its ``answer`` column, or else its last sentence).
 
@@ -11,7 +12,7 @@ Terms are hashed into a fixed number of buckets, so the counts, the latent space
 bounded size whatever the corpus is; they are broadcast. Documents are read where they lie and never shuffled. Items
 are the stated query set: they visit the documents in blocks of at most ``BLOCK_ITEMS``.
 
-The decomposition is fitted on at most ``FIT_PASSAGES`` passages, the first by hash; every item passage is searched.
+The decomposition is fitted on the passages of all items: tasks add up their own, so only sums of bounded size move.
 
 Corner cases: null and empty texts match nothing and are kept. Items without words match nothing. Texts are searched
 whole. Repeated documents are reported each; repeated items likewise. An empty corpus or benchmark finds nothing.
@@ -40,7 +41,8 @@ RANK = 256
 OVERSAMPLED = 8
 POWER_STEPS = 2
 SEED = 5
-FIT_PASSAGES = 4096
+#: Items whose passages one task adds up, about.
+FIT_ITEMS = 1 << 16
 BLOCK_ITEMS = 1024
 #: Cosine from which a passage is a candidate.
 CLOSE = 0.55
@@ -50,6 +52,8 @@ NEAR_EXACT = 0.9
 LEAST_ANSWER = 0.6
 #: A stretch of a document that is compared may be so much longer than the item.
 STRETCH = 1.3
+#: A short item's candidate stretch holds two of its rarest words, and one more for so many words that it must hold.
+WORDS_PER_ANCHOR = 8
 EDGES = ".,;:!?\"'()[]{}<>|*#$%&~`^+=/\\-_…«»“”‘’¡¿"
 PARTS = 4
 #: Tokens whose bucket a worker remembers.
@@ -212,6 +216,11 @@ def masks_of(words: list[str]) -> dict[str, int]:
     return out
 
 
+def stretch_of(size: int) -> int:
+    """Words of a document that are compared with an item of ``size`` words."""
+    return math.ceil(STRETCH * size) + 2
+
+
 @dataclass
 class Item:
     """One benchmark item, ready to be compared."""
@@ -225,7 +234,7 @@ class Item:
     def compare(self, region: list[str]) -> tuple[float, float, int]:
         """Shares of the item and of its answer in the best stretch of a region, and where that starts."""
         size = len(self.words)
-        length = math.ceil(STRETCH * size) + 2
+        length = stretch_of(size)
         if common_words(self.masks, size, region) < LEAST_COMMON * size:
             return 0.0, 0.0, 0
         step = max(1, size // 8)
@@ -248,10 +257,67 @@ def item_of(number: int | None, text: str | None, answer: str | None) -> Item:
     return Item(-1 if number is None else number, words, masks_of(words), own, masks_of(own))
 
 
+class Anchors:
+    """Where texts may hold short items, without loss.
+
+    A match holds ``k`` of an item's ``m`` words within its stretch, so at least ``r`` of any ``m - k + r`` of them. The
+    rarest are taken; a place is a candidate if ``r`` words of the text within a stretch fall into their buckets.
+    """
+
+    def __init__(self, items: list[Item], weights: np.ndarray):
+        self.items, lengths, needs, owners, buckets = [], [], [], [], []
+        for number, item in enumerate(items):
+            size = len(item.words)
+            if 0 < size < PASSAGE:
+                least = math.ceil(LEAST_COMMON * size - 1e-9)
+                need = min(least, 2 + least // WORDS_PER_ANCHOR)
+                rarest = sorted((bucket_of(w) for w in item.words), key=lambda b: -weights[b])[: size - least + need]
+                own = set(rarest)
+                owners += [len(self.items)] * len(own)
+                buckets += own
+                self.items.append(number)
+                lengths.append(stretch_of(size))
+                needs.append(need)
+        order = np.argsort(np.array(buckets, dtype=np.int64), kind="stable")
+        self.owners = np.array(owners, dtype=np.int32)[order]
+        self.counts = np.bincount(np.array(buckets, dtype=np.int64), minlength=BUCKETS + 1)
+        self.starts = np.concatenate(([0], np.cumsum(self.counts)[:-1]))
+        self.lengths, self.needs = np.array(lengths, dtype=np.int64), np.array(needs, dtype=np.int64)
+
+    def places(self, buckets: np.ndarray, owners: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """``(item, first half, last half)`` as rows of ``buckets``, whose texts are ``owners``."""
+        step, more = 2048, -(-int(self.lengths.max()) // HALF)  # a stretch that begins in a step ends in it or in ``more``
+        for at in range(0, len(buckets), step):
+            rows = slice(at, at + step + more)
+            for item, first, last in self._places(buckets[rows], owners[rows]):
+                yield item, at + first, at + last
+
+    def _places(self, buckets: np.ndarray, owners: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        flat = buckets.reshape(-1)
+        hits = np.flatnonzero(self.counts[flat])
+        each = self.counts[flat[hits]]
+        ends = np.cumsum(each)
+        within = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - each, each)
+        items = self.owners[np.repeat(self.starts[flat[hits]], each) + within]
+        order = np.argsort(items, kind="stable")
+        items, places = items[order], np.repeat(hits, each)[order]
+        texts = owners[places // HALF]
+        last = np.arange(len(items)) + self.needs[items] - 1
+        going = np.flatnonzero(last < len(items))
+        last = last[going]
+        near = (items[last] == items[going]) & (texts[last] == texts[going])
+        near &= places[last] - places[going] < self.lengths[items[going]]
+        found = going[near]
+        own, at = items[found], places[found]
+        halves = np.unique(np.stack((own, (at - self.lengths[own] + 1) // HALF, at // HALF), axis=1), axis=0)
+        for item, first, end in halves.tolist():
+            yield self.items[item], first, end
+
+
 class Matcher:
     """Compares documents with a block of items ``(item_id, text, answer)`` in the space of the term vectors."""
 
-    def __init__(self, rows: list[tuple], terms: np.ndarray):
+    def __init__(self, rows: list[tuple], terms: np.ndarray, weights: np.ndarray | None = None):
         terms = np.ascontiguousarray(terms)
         self.items, self.terms, self.known = [item_of(*r) for r in rows], terms, known_buckets()
         vectors, owners = [np.empty((0, terms.shape[1]), dtype=np.float32)], []
@@ -262,9 +328,11 @@ class Matcher:
                 vectors.append(vector[None, :] / max(np.linalg.norm(vector), 1e-9))
                 owners.append(i)
         self.passages, self.owners = np.concatenate(vectors).astype(np.float32), np.array(owners, dtype=np.int64)
+        self.first_passages = np.searchsorted(self.owners, np.arange(len(self.items)))
+        self.anchors = Anchors(self.items, np.ones(BUCKETS) if weights is None else weights)
 
     def candidates(self, tokens: list[list[str]]) -> list[list[tuple[int, int, float]]]:
-        """For each text the ``(item, half passage, cosine)`` of its passages close to one of the item."""
+        """For each text the ``(item, half passage, cosine)`` of its passages close to one of the item, or by anchors."""
         out: list[list[tuple[int, int, float]]] = [[] for _ in tokens]
         padded, owner = [], []
         for i, text in enumerate(tokens):
@@ -306,6 +374,13 @@ class Matcher:
             cosines = (products[i, j] / lengths[i]).tolist()
             for text, item, start, cosine in zip(owners[near].tolist(), items, starts, cosines, strict=True):
                 out[text].append((item, start, cosine))
+        if self.anchors.items:
+            begins = firsts[np.searchsorted(firsts, np.arange(len(buckets)), "right") - 1]
+            for item, start, end in self.anchors.places(buckets, owners):
+                begin = int(begins[end])
+                for row in range(max(start, begin), end + 1):
+                    product = float(vectors[row] @ self.passages[self.first_passages[item]])
+                    out[owner[row]].append((item, row - begin, product / max(float(np.linalg.norm(vectors[row])), 1e-9)))
         return out
 
     def matches(self, text_tokens: list[str], close: list[tuple[int, int, float]]) -> list[tuple[int, float, float, float, int]]:
@@ -339,7 +414,7 @@ class Matcher:
         return [self.matches(t, c) if c else [] for t, c in zip(tokens, self.candidates(tokens), strict=True)]
 
 
-def item_blocks(docs: DataFrame, benchmark: DataFrame, text_column: str = "text") -> Iterator[tuple[list[tuple], np.ndarray]]:
+def item_blocks(docs: DataFrame, benchmark: DataFrame, text_column: str = "text") -> Iterator[tuple[list[tuple], np.ndarray, np.ndarray]]:
     """What a matcher needs, for each block of items of ``(item_id, text[, answer])``."""
     answer = F.col("answer") if "answer" in benchmark.columns else F.lit(None)
     items = benchmark.select(F.col("item_id").cast("long"), "text", answer.cast("string").alias("answer"))
@@ -349,8 +424,8 @@ def item_blocks(docs: DataFrame, benchmark: DataFrame, text_column: str = "text"
         return
     documents, total = document_counts(docs, text_column)
     weights = np.log((1 + total) / (1 + documents)) + 1
-    sample = items.orderBy("place").limit(FIT_PASSAGES).select("text")  # an item has a passage at least
-    rows = written(passage_rows(sample.repartition(PARTS), weights).limit(FIT_PASSAGES), "passages")
+    parts = max(PARTS, -(-count // FIT_ITEMS))
+    rows = written(passage_rows(items.select("text").repartition(parts), weights), "passages")
     space = latent_space(rows)
     if not space.shape[1]:
         return
@@ -358,7 +433,7 @@ def item_blocks(docs: DataFrame, benchmark: DataFrame, text_column: str = "text"
     blocks = -(-count // BLOCK_ITEMS)
     for block in range(blocks):
         chosen = items.where(F.pmod("place", F.lit(blocks)) == block).orderBy("item_id", "place")
-        yield [tuple(r) for r in chosen.select("item_id", "text", "answer").collect()], terms
+        yield [tuple(r) for r in chosen.select("item_id", "text", "answer").collect()], terms, weights
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -113,3 +113,57 @@ def test_empty_tables(spark, tmp_path, items):
     for name, docs in (("a", empty_docs(spark)), ("b", awkward_docs(spark))):
         assert S.op2_decontamination(spark, saved(spark, tmp_path / name, documents=docs, benchmark=bench)).collect() == []
         assert S.decontaminated(docs, bench).count() == docs.count()
+
+
+def short_and_long_items(count=4500, seed=11):
+    """Items of 4 to 60 words, most of them short, over words of very different frequency; and documents that hold some."""
+    rng = np.random.default_rng(seed)
+    names = np.array([f"w{i}" for i in range(20000)])
+    odds = 1 / np.arange(1, len(names) + 1)
+    odds /= odds.sum()
+
+    def prose(n):
+        return list(rng.choice(names, n, p=odds))
+
+    items = [prose(int(rng.integers(15, 61)) if i % 10 == 0 else int(rng.integers(4, 15))) for i in range(count)]
+    leaks = []
+    for i in range(0, count, 15):
+        said = list(items[i])
+        if i % 2:
+            for at in rng.choice(len(said), len(said) // 5, replace=False):
+                said[at] = "replaced"
+        leaks.append((i, " ".join(prose(200) + said + prose(200))))
+    return [" ".join(w) for w in items], leaks
+
+
+def test_recall_of_short_items_and_of_many(spark):
+    items, leaks = short_and_long_items()
+    docs = spark.createDataFrame([(n, t) for n, (_, t) in enumerate(leaks)], "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), BENCH)
+    rows = S.contaminated(docs, bench).collect()
+    got = {(r.doc_id, r.item_id) for r in rows}
+    assert all(r.common >= S.LEAST_COMMON for r in rows)
+    short = [(n, i) for n, (i, _) in enumerate(leaks) if len(items[i].split()) < S.PASSAGE]
+    due = [(n, i) for n, i in short if S.item_of(i, items[i], None).compare(leaks[n][1].split())[0] >= S.LEAST_COMMON]
+    print("short", len(short), "due", len(due), "found", len(got & set(due)), "of all", len(got & {(n, i) for n, (i, _) in enumerate(leaks)}), len(leaks))
+    assert len(due) > 0.8 * len(short) and got >= set(due)
+    whole = {(n, i) for n, (i, _) in enumerate(leaks) if not i % 2}
+    assert whole <= got
+
+
+def test_anchors_lose_no_match():
+    rng = random.Random(2)
+    words = [f"v{i}" for i in range(40)]
+    items = [rng.choices(words, k=rng.randint(1, S.PASSAGE - 1)) for _ in range(60)]
+    weights = np.array([rng.random() for _ in range(S.BUCKETS)])
+    terms = np.concatenate((np.random.default_rng(1).normal(size=(S.BUCKETS, 4)), np.zeros((1, 4)))).astype(np.float32)
+    matcher = S.Matcher([(i, " ".join(t), None) for i, t in enumerate(items)], terms, weights)
+    texts = [rng.choices(words, k=rng.randint(1, 150)) for _ in range(40)]
+    for number, item in enumerate(items):
+        texts.append(rng.choices(words, k=number) + [w for w in item if rng.random() < 0.9] + rng.choices(words, k=9))
+    for text, found in zip(texts, matcher.found([" ".join(t) for t in texts]), strict=True):
+        held = {m[0] for m in found}
+        for item in matcher.items:
+            common, answer, _ = item.compare(text)
+            if common >= S.NEAR_EXACT or (common >= S.LEAST_COMMON and answer >= S.LEAST_ANSWER):
+                assert item.number in held
