@@ -1,7 +1,8 @@
 """Leaf blocks of an HTML page with the features a sequence model labels them by.
 
 Markup is read leniently, as pages are often cut off or wrongly nested: a block is the text between two block-level
-tags; it knows the elements that are open around it. Content of scripts, styles and the like is no text.
+tags; it knows the elements that are open around it. Content of scripts, styles and the like is no text, and neither
+is that of drawings, apart from the HTML that they embed.
 """
 
 from __future__ import annotations
@@ -16,14 +17,22 @@ TAG = re.compile(
     re.S,
 )
 ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop|data-part)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-#: Fixed values of HTML: elements whose content is no text, elements without content, and block-level elements.
-RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "math", "object"}
+#: Fixed values of HTML: elements whose content is no markup and no text, elements with markup whose text is not shown,
+#: elements without content, and block-level elements.
+RAW = {"script", "style", "textarea", "title", "iframe"}
+HIDDEN = {"svg", "template"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 BLOCK = {
     *("address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset").split(),
     *("figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html label legend li main menu").split(),
     *("nav ol option p pre section select summary table tbody td tfoot th thead tr ul").split(),
 }
+#: Elements of another language, those inside them that hold HTML again, and the HTML tags that end them elsewhere.
+FOREIGN = {"svg", "math"}
+EMBEDS = {"foreignobject", "desc", "title", "mi", "mo", "mn", "ms", "mtext", "annotation-xml"}
+ENDS_FOREIGN = BLOCK | set(
+    ("b big br code em embed i img meta nobr ruby s small span strike strong sub sup tt u var").split()
+)
 #: A start tag ends open elements of these kinds, up to the element that may hold them.
 ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -84,6 +93,26 @@ def _floor(stack: list[Element], within: set[str]) -> int:
     return max((i + 1 for i, e in enumerate(stack) if e.tag in within), default=0)
 
 
+def _foreign(stack: list[Element]) -> int | None:
+    """Place of the outermost element of another language that is open and not left for HTML again."""
+    at = None
+    for i, element in enumerate(stack):
+        if element.tag in FOREIGN:
+            at = i if at is None else at
+        elif element.tag in EMBEDS:
+            at = None
+    return at
+
+
+def _shown(stack: list[Element]) -> bool:
+    for element in reversed(stack):
+        if element.tag in HIDDEN:
+            return False
+        if element.tag == "foreignobject":
+            return not any(e.tag == "template" for e in stack)
+    return True
+
+
 def blocks(page: str) -> list[Block]:
     """Blocks with text, in page order, white space turned into single spaces."""
     out: list[Block] = []
@@ -103,7 +132,7 @@ def blocks(page: str) -> list[Block]:
     while True:
         found = TAG.search(page, at)
         run = page[at : found.start()] if found else page[at:]
-        if run:
+        if run and _shown(stack):
             shown = entities.unescape(run) if "&" in run else run
             runs.append(shown)
             if any(e.tag == "a" for e in stack):
@@ -115,7 +144,11 @@ def blocks(page: str) -> list[Block]:
         if not name:
             continue
         tag = name.lower()
-        if tag in RAW and not closing:
+        foreign = _foreign(stack)
+        if foreign is not None and tag in ENDS_FOREIGN and not closing:
+            del stack[foreign:]
+            foreign = None
+        if tag in RAW and not closing and (foreign is None or (tag in ("script", "style") and not attributes.endswith("/"))):
             ended = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
             at = ended.end() if ended else len(page)
             continue
@@ -133,7 +166,7 @@ def blocks(page: str) -> list[Block]:
                     break  # an inline end tag does not end blocks
             continue
         if tag in BLOCK:
-            _close(stack, {"p"}, SECTIONS | {"li", "td", "blockquote"})
+            _close(stack, {"p"}, SECTIONS | {"li", "td", "blockquote", "object", "template", "foreignobject"})
         if tag in ENDS:
             _close(stack, *ENDS[tag])
         if tag not in VOID and not attributes.endswith("/"):

@@ -72,3 +72,29 @@ def test_query_on_awkward_rows(spark, tmp_path):
         map(str, [(1, None, "", 0), (2, "u", "", 0), (None, "u", LONG.strip(), len(LONG.strip())), (3, "u", "t", 1), (3, "u", "t", 1)])
     )
     assert op1_html(spark, saved(spark, tmp_path / "b", pages=stored.limit(0))).collect() == []
+
+
+@pytest.mark.parametrize(
+    ("page", "texts"),
+    [
+        ("<svg/><p>t</p>", ["t"]),
+        ('<svg class="icon" /><article><p>t</p></article><svg><text>no</text></svg><p>u</p>', ["t", "u"]),
+        ("<div><svg><path d='x'><p>t</p></div><p>u</p>", ["t", "u"]),
+        ("<a><svg><title>no</a><article>t</article>", ["t"]),
+        ("<p>x <svg><title/><style/><g><text>no</text></g></svg> y</p>", ["x y"]),
+        ("<p><svg><foreignObject><div>t</div></foreignObject><text>no</text></svg>u</p>", ["t", "u"]),
+        ("<math><p>t</p>", ["t"]),
+        ("<p>if <math><mi>a</mi><mo>=</mo><mn>1</mn></math> holds</p>", ["if a=1 holds"]),
+        ("<p>a <noscript>b <b>c</b></noscript> <object data='x'>d</object></p><object><p>e</p>", ["a b c d", "e"]),
+        ("<p>t</p><template><p>no</p></template><p>u</p>", ["t", "u"]),
+        ("<p>t</p><script/>no</script><p>u</p><style>no", ["t", "u"]),
+    ],
+)
+def test_only_raw_elements_hide_what_follows(page, texts):
+    assert [b.text for b in blocks(page)] == texts
+
+
+def test_article_after_a_closed_drawing_is_kept(model):
+    assert model.extract("<svg/><article><p>t</p></article>") == model.extract("<article><p>t</p></article>") == "t"
+    page = f'<body><nav><a href="/">Home</a></nav><svg class="icon" /><article><p>{LONG}</p></article></body>'
+    assert model.extract(page) == LONG.strip()
