@@ -8,8 +8,10 @@ labelled ones drawn to the overall share, is too low. Rules come first: the long
 Counts combine before every shuffle. The tree is built over distinct paths; what a level decides is written, and
 joined to the paths by host, template so far and segment, where adaptive execution splits a very common branch.
 
-Corner cases: a null URL or one without ``://`` has an empty host and path, like any other host. Paths deeper than
-``DEPTH`` segments share the template of the rest. Repeated rows are judged alike. Without labels no template is
+Below ``DEPTH`` segments the tree grows only where labels of both kinds are left to tell apart, as deep as such paths
+go; segments that are not told apart there, and the end of a path among them, share one ``~``.
+
+Corner cases: a null URL or one without ``://`` has an empty host and path, like any other host. Repeated rows are judged alike. Without labels no template is
 rejected. Several labels of one page: it is bad if any is. An empty table gives no rows.
 """
 
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ampflow.llm.common import read_table, written
 
-#: Segments of a path that become levels of the tree; the rest is one more.
+#: Levels that every template spells out; deeper ones it shows only where labels tell them apart.
 DEPTH = 8
 #: A node's segments vary if there are so many; then those with less than this share of its pages become wildcards,
 #: unless their labels would differ so much from the parent's with at most ``CHANCE``, shared among all segments.
@@ -34,6 +36,8 @@ CHANCE = 0.05
 APART = 1.96
 #: Pages' worth of the overall share in a template's purity, and the purity below which it is rejected.
 SMOOTHING = 5.0
+#: Stands for the end of a path among longer ones; no segment holds a slash.
+END = "/{end}"
 LEAST_PURITY = 0.5
 
 
@@ -77,10 +81,9 @@ def fitting_rule(host: Column, path: Column, rules: tuple[Rule, ...]) -> tuple[C
 
 
 def segments(path: Column) -> Column:
-    """Levels of a path; what lies beyond ``DEPTH`` is one more."""
+    """Segments of a path, which are the levels of the tree."""
     parts = F.split(F.regexp_replace(path, "^/", ""), "/")
-    deep = F.concat(F.slice(parts, 1, DEPTH), F.array(F.lit("...")))
-    return F.when(path == "", F.array().cast("array<string>")).otherwise(F.when(F.size(parts) > DEPTH, deep).otherwise(parts))
+    return F.when(path == "", F.array().cast("array<string>")).otherwise(parts)
 
 
 def wildcard(segment: Column) -> Column:
@@ -100,10 +103,14 @@ def told_apart(labelled: Column, bad: Column, rate: Column, variants: Column) ->
 
 
 def grown(paths: DataFrame, level: int) -> DataFrame:
-    """``paths`` with the template one segment longer where the path goes on."""
+    """``paths`` with the template one segment longer where the path goes on.
+
+    Below ``DEPTH`` levels, ``paths`` are those to be told apart; the end of a path is a branch like any other.
+    """
     key = ["host", "template"]
-    segment = F.col("segments")[level]
-    going = paths.where(F.size("segments") > level)
+    segment = F.coalesce(F.get("segments", F.lit(level)), F.lit(END))
+    goes_on = F.lit(True) if level > DEPTH else F.size("segments") > level
+    going = paths.where(goes_on)
     sums = [F.sum(c).alias(c) for c in ("pages", "labelled", "bad")]
     children = written(going.groupBy(*key, segment.alias("segment")).agg(*sums), "children")
     nodes = children.groupBy(*key).agg(
@@ -131,8 +138,38 @@ def grown(paths: DataFrame, level: int) -> DataFrame:
     merged = branches.select(*key, "branch", F.when(alike, F.lit("~")).otherwise(F.col("branch")).alias("shown"))
     decided = written(named.select(*key, "segment", "branch").join(merged, [*key, "branch"]).drop("branch"), "decided")
     longer = going.withColumn("segment", segment).join(decided, [*key, "segment"])
-    longer = longer.withColumn("template", F.concat("template", F.lit("/"), "shown")).select(*paths.columns)
-    return written(longer.union(paths.where(F.size("segments") <= level)), "paths")
+    # In the depths, what is not told apart from a template that already ends so adds nothing to it.
+    same = F.lit(level > DEPTH) & (F.col("shown") == "~") & F.col("template").endswith("/~")
+    template = F.when(same, F.col("template")).otherwise(F.concat("template", F.lit("/"), "shown"))
+    longer = longer.withColumn("template", template).select(*paths.columns)
+    return written(longer.union(paths.where(~goes_on)), "paths")
+
+
+def deeper(paths: DataFrame, level: int) -> tuple[DataFrame, DataFrame, int | None]:
+    """``paths`` that are settled, those that may still be told apart from ``level`` on, and at which level the first are.
+
+    A branch can differ by ``APART`` only from a parent with labels of both kinds, and more than ``APART`` squared of
+    one: a branch with all the bad ones alone differs most, by the root of the number of good ones, and the reverse.
+    """
+    key = ["host", "template"]
+    rest = F.slice("segments", level + 1, F.greatest(F.size("segments"), F.lit(1)))
+    nodes = paths.groupBy(*key).agg(
+        F.sum("bad").alias("bads"),
+        F.sum(F.col("labelled") - F.col("bad")).alias("goods"),
+        F.min(rest).alias("least"),
+        F.max(rest).alias("most"),
+    )
+    # All between the least and the most begin with what these two have in common.
+    differs = F.array_position(F.zip_with("least", "most", lambda a, b: a.eqNullSafe(b)), False)
+    mixed = (F.col("bads") > 0) & (F.col("goods") > 0) & (F.greatest("bads", "goods") > APART**2)
+    splitting = nodes.where(mixed).withColumn("differs", differs.cast("int")).where("differs > 0").select(*key, "differs")
+    splitting = written(splitting, "splitting")
+    first = splitting.agg(F.min("differs")).first()[0]
+    if first is None:
+        return paths, paths.limit(0), None
+    found = paths.join(splitting, key, "left").select(*paths.columns, F.col("differs").isNotNull().alias("splits"))
+    found = written(found, "deep")
+    return found.where("NOT splits").drop("splits"), found.where("splits").drop("splits"), level + first - 1
 
 
 def judged_paths(pages: DataFrame) -> DataFrame:
@@ -148,8 +185,20 @@ def judged_paths(pages: DataFrame) -> DataFrame:
     paths = counted.withColumn("segments", segments(F.col("path"))).withColumn("template", F.lit(""))
     paths = written(paths, "paths")
     depth, labelled, bad = paths.agg(F.max(F.size("segments")), F.sum("labelled"), F.sum("bad")).first()
-    for level in range(depth or 0):
+    for level in range(min(depth or 0, DEPTH + 1)):
         paths = grown(paths, level)
+    settled, level = [], DEPTH + 1
+    while level < (depth or 0):
+        done, paths, first = deeper(paths, level)
+        settled.append(done)
+        if first is None:
+            break
+        level = first + 1
+        paths = grown(paths, first)
+    for done in settled:
+        paths = paths.union(done)
+    if settled:
+        paths = written(paths, "paths")
     share = 1 - bad / labelled if labelled else 1.0
     templates = paths.groupBy("host", "template").agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
     purity = (F.col("labelled") - F.col("bad") + SMOOTHING * share) / (F.col("labelled") + SMOOTHING)

@@ -135,3 +135,19 @@ def test_a_bad_section_among_many_stays_apart(spark, tmp_path):
         got = S.op7_url_templates(spark, saved(spark, tmp_path / str(sections), pages=pages, labels=stored)).collect()
         assert len(got) == len(rows)
         assert all((r.verdict == "block") == (r.page_id // 100 == 7) for r in got)
+
+
+def test_deep_directories_are_told_apart(spark, tmp_path):
+    deep, rows = "/".join("abcdefghi"), []
+    for i in range(30):
+        rows += [(f"one.net/{deep}/good/{i}", 0), (f"one.net/{deep}/bad/{i}", 1)]
+        rows += [(f"two.net/{deep}/{'x/' * 15}{kind}/{i}/{'y/' * (i % 3)}", bad) for kind, bad in (("good", 0), ("bad", 1))]
+        rows += [(f"ends.net/{deep[:-2]}/p{i}", 0), (f"ends.net/{deep[:-2]}/p{i}/more", 1)]
+        rows += [(f"same.net/{deep}/{i}/z", 0), (f"rest.net/{deep}/{i}", i % 2), (f"rest.net/{deep}/{i}/z", 1 - i % 2)]
+    pages = spark.createDataFrame([(n, f"http://{u}", None) for n, (u, _) in enumerate(rows)], PAGES)
+    labels = spark.createDataFrame([(n, 1 - bad, 0) for n, (_, bad) in enumerate(rows)], LABELS)
+    got = S.op7_url_templates(spark, saved(spark, tmp_path, pages=pages, labels=labels)).collect()
+    assert len(got) == len(rows)
+    told = [r for r in got if r.host != "rest.net"]
+    assert all((r.verdict == "block") == bool(rows[r.page_id][1]) for r in told)
+    assert len({r.template for r in got if r.host in ("same.net", "rest.net")}) == 1
