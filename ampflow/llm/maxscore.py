@@ -11,10 +11,13 @@ Candidates are packed into shards of bounded size, queries into blocks of bounde
 shard: a few blocks of at most ``BLOCK_ROWS`` vectors are broadcast at a time and joined by block number, the shards
 stay where they are, and only the best rows of each task are shuffled and merged.
 
-Corner cases: a vector that is null, holds null or non-finite components, or has a null id takes no part; neither
-does one with a component beyond ``LARGEST`` (its scores would not fit a long). Shorter vectors count as padded with
-zeros. An empty vector scores zero. Of several rows with one query id the least vector asks; as candidates, repeated
-rows stay separate. An empty table gives no rows.
+Components are kept as doubles, which hold them exactly. A query and a shard whose scores may pass ``LARGEST`` are
+computed in Python's integers, the others in longs.
+
+Corner cases: a vector that is null, holds null or non-finite components, or has a null id takes no part. Shorter
+vectors count as padded with zeros. An empty vector scores zero. Of several rows with one query id the least vector
+that takes part asks; as candidates, repeated rows stay separate. A score among the best that no long can hold ends
+the query with an error, as in ``OP3_SQL``. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ampflow.llm.common import map_arrow, read_table, written
@@ -36,7 +39,8 @@ SHARD_ROWS = 4096
 BLOCK_ROWS = 1024
 #: Blocks that are broadcast together.
 BLOCKS_AT_ONCE = 4
-LARGEST = 1 << 28
+#: Scores that may reach this are not computed in longs.
+LARGEST = 1 << 62
 #: Terms probed between two prunings.
 STEP = 8
 
@@ -55,8 +59,24 @@ def integer_vectors(ids: pa.Array, vectors: pa.Array) -> tuple[np.ndarray, np.nd
     out = np.zeros((len(lengths), width))
     inside = np.arange(width)[None, :] < lengths[:, None]
     out[inside] = np.floor(values)
-    good = (np.isfinite(out) & (np.abs(out) <= LARGEST)).all(axis=1)
-    return ids.to_numpy()[good].astype(np.int64), out[good].astype(np.int64)
+    good = np.isfinite(out).all(axis=1)
+    return ids.to_numpy()[good].astype(np.int64), out[good]
+
+
+def takes_part(embedding: Column) -> Column:
+    """Whether no component is null or non-finite; NaN counts as larger than any number."""
+    finite = F.forall(embedding, lambda x: F.coalesce(F.abs(x.cast("double") * SCALE) < float("inf"), F.lit(False)))
+    return F.coalesce(finite, F.lit(False))
+
+
+def narrow(values: np.ndarray) -> np.ndarray:
+    """As longs; what is cut here meets zeros only, or the scores would not stay below ``LARGEST``."""
+    return np.clip(values, -float(LARGEST), float(LARGEST)).astype(np.int64)
+
+
+def exact(values: np.ndarray) -> np.ndarray:
+    """As Python's integers."""
+    return np.array([int(v) for v in values.ravel()], dtype=object).reshape(values.shape)
 
 
 def packed(vectors: DataFrame, rows: int) -> DataFrame:
@@ -127,13 +147,16 @@ class Shard:
 
 
 def merged(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    order = np.lexsort((ids, -scores))[:k]
+    if scores.dtype == object:
+        order = np.array(sorted(range(len(ids)), key=lambda i: (-scores[i], ids[i]))[:k], dtype=np.int64)
+    else:
+        order = np.lexsort((ids, -scores))[:k]
     return scores[order], ids[order]
 
 
 def _unpacked(row: dict, name: str) -> tuple[np.ndarray, np.ndarray]:
     ids = np.frombuffer(row[f"{name}ids"], dtype=np.int64)
-    terms = np.frombuffer(row[f"{name}terms"], dtype=np.int64)
+    terms = np.frombuffer(row[f"{name}terms"], dtype=np.float64)
     return ids, terms.reshape(row[f"{name}width"], len(ids))
 
 
@@ -150,20 +173,27 @@ def top_of_task(k: int):
                 width = max(terms.shape[0], queries.shape[0])
                 terms = np.pad(terms, ((0, width - terms.shape[0]), (0, 0)))
                 queries = np.pad(queries, ((0, width - queries.shape[0]), (0, 0)))
+                asked = narrow(queries)
                 for start, end in ((0, 256), (256, len(ids))):
                     if start >= len(ids):
                         continue
-                    shard = Shard(ids[start:end], terms[:, start:end])
+                    part = terms[:, start:end]
+                    shard, wide = Shard(ids[start:end], narrow(part)), None
+                    reach = np.abs(part).max(axis=1, initial=0) @ np.abs(queries)
                     for i, name in enumerate(own.tolist()):
                         held = kept.get(name)
                         floor = int(held[0][-1]) if held is not None and len(held[0]) == k else None
-                        scores, found = shard.best(queries[:, i], name, floor)
+                        if reach[i] < LARGEST:
+                            scores, found = shard.best(asked[:, i], name, floor)
+                        else:
+                            wide = wide or Shard(ids[start:end], exact(part))
+                            scores, found = wide.best(exact(queries[:, i]), name, floor)
                         if held is not None:
                             scores, found = np.concatenate((held[0], scores)), np.concatenate((held[1], found))
                         kept[name] = merged(scores, found, k)
         for name, (scores, found) in kept.items():
             yield pa.RecordBatch.from_pydict(
-                {"query_id": np.full(len(found), name, dtype=np.int64), "vec_id": found, "score": scores}
+                {"query_id": np.full(len(found), name, dtype=np.int64), "vec_id": found, "score": pa.array(scores.tolist(), pa.int64())}
             )
 
     return worker
@@ -171,7 +201,7 @@ def top_of_task(k: int):
 
 def maxscore_search(queries: DataFrame, candidates: DataFrame, k: int = TOP_K) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the ``k`` best candidates of every query, ties to the smaller id."""
-    asked = queries.where("vec_id IS NOT NULL AND embedding IS NOT NULL").groupBy("vec_id").agg(
+    asked = queries.where(F.col("vec_id").isNotNull() & takes_part(F.col("embedding"))).groupBy("vec_id").agg(
         F.min("embedding").alias("embedding")
     )
     asked = written(asked, "queries")

@@ -59,3 +59,14 @@ def test_non_essential_terms_are_skipped():
     shard = S.Shard(np.arange(4), terms)
     scores, ids = shard.best(np.array([10, 1]), own=-1, floor=50)
     assert dict(zip(ids.tolist(), scores.tolist(), strict=True)) == {0: 91, 2: 80}
+
+
+def test_large_components_and_invalid_rows_of_a_query(spark, tmp_path):
+    rng = random.Random(3)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(8)], None) for i in range(1, 250)]
+    rows += [(1000 + i, [rng.uniform(-9e5, 9e5) for _ in range(8)], None) for i in range(120)]
+    rows += [(5000, [None] + [0.1] * 7, 0), (5000, [0.3] * 8, 0), (5100, [-math.inf] * 8, 0), (5100, [0.4] * 8, 0)]
+    stored = as_float32(spark, rows)
+    got = S.op3_maxscore(spark, saved(spark, tmp_path, embeddings=stored)).collect()
+    assert sorted(tuple(r) for r in got) == brute([tuple(r) for r in stored.collect()])
+    assert {5000, 5100} <= {r.query_id for r in got} and any(r.score > 1 << 60 for r in got)
