@@ -6,6 +6,7 @@ from ampflow.llm.bpe import op10_bpe
 from ampflow.llm.chat import op5_chat
 from ampflow.llm.decontaminate import op2_decontamination
 from ampflow.llm.html_crf import op1_html
+from ampflow.llm.lexical import OP11_SQL, op11_lexical
 from ampflow.llm.maxscore import OP3_SQL, op3_maxscore
 from ampflow.llm.sharding import op9_feistel_shards
 from ampflow.llm.simhash import op4_simhash
@@ -26,7 +27,8 @@ QUERIES = {
         op8_toxicity,
         op9_feistel_shards,
         op10_bpe,
+        op11_lexical,
     )
 }
 
-STATEMENTS = {"op3_maxscore": OP3_SQL}
+STATEMENTS = {"op3_maxscore": OP3_SQL, "op11_lexical": OP11_SQL}
