@@ -8,6 +8,8 @@ from ampflow.llm.decontaminate import op2_decontamination
 from ampflow.llm.html_crf import op1_html
 from ampflow.llm.lexical import OP11_SQL, op11_lexical
 from ampflow.llm.maxscore import OP3_SQL, op3_maxscore
+from ampflow.llm.pieces import op12_pieces
+from ampflow.llm.repair import op13_repair
 from ampflow.llm.sharding import op9_feistel_shards
 from ampflow.llm.simhash import op4_simhash
 from ampflow.llm.simple8b import op6_simple8b
@@ -28,6 +30,8 @@ QUERIES = {
         op9_feistel_shards,
         op10_bpe,
         op11_lexical,
+        op12_pieces,
+        op13_repair,
     )
 }
 
