@@ -11,8 +11,8 @@ not have had a merge that came earlier. This needs merges that rank after the me
 that does not hold (``late``; here two runs of spaces without a rank of their own) make their stretch of text be merged
 directly, by a heap.
 
-Stretches that no piece can cross are encoded apart: no piece holds a space sign after another sign, and none holds a
-character that is no piece. Those characters become the pieces of their bytes. Short stretches are remembered.
+Stretches that no piece can cross are encoded apart: no piece holds a space sign after another sign, none
+another sign after a letter (letters are what no sign follows in any piece), and none a character that is no piece. Those characters become the pieces of their bytes. Short stretches are remembered.
 
 Corner cases: null and empty texts have no ids, decode to the empty text and hash as such. Texts of any length are encoded
 whole. Repeated rows stay. An empty table gives no rows. Ids decode as the library decodes them: control pieces vanish, the
@@ -87,8 +87,7 @@ class PrefixTable:
         alone = "".join(re.escape(t) for t in self.file.ids if len(t) == 1)
         self.spans = re.compile(f"[{alone}]+|[^{alone}]+")
         self.characters = {t for t in self.file.ids if len(t) == 1}
-        breaks = "".join(c for c in "\n\t" if c not in self.characters)
-        self.stretches = re.compile(f"{SPACE}*[^{SPACE}{breaks}]+|{SPACE}+|[{breaks}]+" if breaks else f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+        self.stretches = re.compile(self._stretch_pattern())
         self.late_texts = re.compile("|".join(re.escape(self.file.texts[i]) for i in self.late) or "(?!)")
         self.pairs: dict[int, bool] = {}
         self.known: dict[str, bytes] = {}
@@ -102,6 +101,17 @@ class PrefixTable:
         self.byte_ids = set(self.file.bytes.values())
         self.silent = {*self.file.control, self.file.unknown}
 
+    def _stretch_pattern(self) -> str:
+        """Stretches that no piece crosses: it never holds a space sign after another sign, nor a sign after a letter."""
+        breaks = "".join(c for c in "\n\t" if c not in self.characters)
+        ends = f"{SPACE}++" + (f"|[{breaks}]++" if breaks else "")
+        signs = {c for text in self.file.ids for c in text if re.fullmatch(r"[\W\d_]", c)}
+        while more := {a for text in self.file.ids for a, b in zip(text, text[1:], strict=False) if b in signs and a not in signs}:
+            signs |= more  # what a sign may follow is no letter here
+        odd = "".join(sorted(re.escape(c) for c in signs if re.fullmatch(r"[^\W\d_]", c)))
+        sign = rf"(?:[\d_{odd}]|[^\w{SPACE}{breaks}])"
+        return rf"{SPACE}*+{sign}*+[^\W\d_{odd}]++|{SPACE}*+{sign}++|{ends}"
+
     def _learn(self, text: str, number: int) -> bool:
         """Notes from which two pieces a piece is merged last; False if merging its characters gives something else."""
         if len(text) == 1:
