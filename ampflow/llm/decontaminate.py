@@ -9,8 +9,10 @@ within a stretch hardly longer than the item must hold most of the item; below a
 paraphrases are, so must the item's answer (its ``answer`` column, or else its last sentence).
 
 Terms are hashed into a fixed number of buckets, so the counts, the latent space and a block of items all have a
-bounded size whatever the corpus is; they are broadcast. Documents are read where they lie and never shuffled. Items
-are the stated query set: they visit the documents in blocks of at most ``BLOCK_ITEMS``.
+bounded size whatever the corpus is; they are broadcast. Words are hashed from the bytes of their texts by array
+operations, for the counts and again for the search; only texts with a candidate are split into words. Documents are
+read where they lie and never shuffled. Items are the stated query set: one pass over the documents holds up to
+``PASS_BLOCKS`` blocks of about ``BLOCK_ITEMS``.
 
 The decomposition is fitted on the passages of all items: tasks add up their own, so only sums of bounded size move.
 
@@ -22,7 +24,6 @@ from __future__ import annotations
 
 import math
 import re
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,9 +33,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ampflow.llm.common import chunks, map_arrow, read_table, worker_cache, written
-from ampflow.llm.tokens import Remembered
 
-BUCKETS = 1 << 13
+BITS = 13
+BUCKETS = 1 << BITS
+#: The hash of words: a polynomial in ``BASE`` modulo 2^32, mixed by ``MIXER``.
+BASE, MIXER = 0x9E3779B1, 0x2C1B3C6D
+#: Bytes of text that are hashed at a time; a longer word is hashed whole.
+PIECE_BYTES = 1 << 20
+NEXT_SPACE = re.compile(rb"\s")
 HALF = 16
 PASSAGE = 2 * HALF
 RANK = 256
@@ -56,8 +62,11 @@ STRETCH = 1.3
 WORDS_PER_ANCHOR = 8
 EDGES = ".,;:!?\"'()[]{}<>|*#$%&~`^+=/\\-_…«»“”‘’¡¿"
 PARTS = 4
-#: Tokens whose bucket a worker remembers.
-REMEMBERED_TOKENS = 400_000
+#: Rows of half passages that are projected at a time.
+ROWS = 1024
+#: Blocks of items that one pass over the documents holds, and bytes of text in a block, about.
+PASS_BLOCKS = 16
+BLOCK_BYTES = 4 << 20
 
 PAIRS = "doc_id long, item_id long, cosine double, common double, answer double, first_word long"
 
@@ -67,30 +76,95 @@ def words_of(text: str) -> list[str]:
     return [w for w in (t.strip(EDGES) for t in text.lower().split()) if w]
 
 
-def bucket_of(token: str) -> int:
-    """Bucket of a lower-case token, -1 for signs alone."""
-    word = token.strip(EDGES)
-    return zlib.crc32(word.encode("utf-8", "surrogatepass")) % BUCKETS if word else -1
+def _byte_classes() -> np.ndarray:
+    """0 for white space, 1 for signs that are no part of a word at its edges, 2 for all else."""
+    out = np.full(256, 2, dtype=np.uint8)
+    out[[ord(c) for c in EDGES if c.isascii()]] = 1
+    out[[c for c in range(128) if chr(c).isspace()]] = 0
+    return out
 
 
-def known_buckets() -> Remembered:
-    """Buckets of tokens, kept by a worker for all its tasks; some 80 MB at most."""
-    return worker_cache(f"buckets-{BUCKETS}", lambda: Remembered(bucket_of, REMEMBERED_TOKENS))
+CLASSES = _byte_classes()
+#: Characters beyond ASCII that end words or stand at their edges; they are read as a space or a quotation mark.
+UNUSUAL = re.compile("[" + "".join(c for c in EDGES if not c.isascii()) + "\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+
+
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of ``BASE`` and of its inverse, modulo 2^32; kept by a worker and made longer when needed."""
+    held = worker_cache("word-powers", dict)
+    if len(held.get("up", ())) < size:
+        size = max(size, PIECE_BYTES + 1)
+        for name, base in (("up", BASE), ("down", pow(BASE, -1, 1 << 32))):
+            steps = np.full(size, base, dtype=np.uint32)
+            steps[0] = 1
+            held[name] = np.cumprod(steps, dtype=np.uint32)
+    return held["up"], held["down"]
+
+
+def _piece_buckets(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(first bytes, buckets)`` of the words among some bytes: a polynomial hash from running sums."""
+    classes = CLASSES[raw]
+    core = np.flatnonzero(classes == 2)
+    if not len(core):
+        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.uint16)
+    token = np.cumsum(classes == 0, dtype=np.int32)[core]
+    new = np.flatnonzero(token[1:] != token[:-1])
+    starts = core[np.concatenate(([0], new + 1))]
+    ends = core[np.concatenate((new, [len(core) - 1]))] + 1
+    up, down = _powers(len(raw) + 1)
+    sums = np.zeros(len(raw) + 1, dtype=np.uint32)
+    np.cumsum((raw + np.uint32(1)) * up[: len(raw)], dtype=np.uint32, out=sums[1:])
+    hashed = (sums[ends] - sums[starts]) * down[starts]
+    hashed ^= hashed >> np.uint32(15)
+    hashed *= np.uint32(MIXER)
+    return starts, (hashed >> np.uint32(32 - BITS)).astype(np.uint16)
+
+
+def word_buckets(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of all words of the texts one after the other, and the number of words of each text."""
+    shown = []
+    for text in texts:
+        text = (text or "").lower()
+        if not text.isascii() and UNUSUAL.search(text):
+            text = UNUSUAL.sub(lambda found: " " if found.group().isspace() else '"', text)
+        shown.append(text.encode("utf-8", "surrogatepass"))
+    raw = b" ".join(shown)
+    begins = np.cumsum([0] + [len(s) + 1 for s in shown[:-1]]) if shown else np.empty(0, dtype=np.int64)
+    places, buckets, at = [], [], 0
+    while at < len(raw):
+        # A long text is taken in pieces that end with a word.
+        space = NEXT_SPACE.search(raw, at + PIECE_BYTES) if len(raw) - at > PIECE_BYTES else None
+        end = space.start() if space else len(raw)
+        starts, own = _piece_buckets(np.frombuffer(raw, dtype=np.uint8, count=end - at, offset=at))
+        places.append(np.searchsorted(begins, starts + at, "right") - 1)
+        buckets.append(own)
+        at = end
+    if not buckets:
+        return np.empty(0, dtype=np.uint16), np.zeros(len(shown), dtype=np.int64)
+    return np.concatenate(buckets), np.bincount(np.concatenate(places), minlength=len(shown))
+
+
+def bucket_of(word: str) -> int:
+    """Bucket of a lower-case word, -1 for signs alone."""
+    buckets, _ = word_buckets([word])
+    return int(buckets[0]) if len(buckets) else -1
 
 
 def document_counts(docs: DataFrame, text_column: str) -> tuple[np.ndarray, int]:
     """In how many documents each bucket occurs, and the number of documents. Counts of a task are summed there."""
 
     def worker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = known_buckets()
         counts, total = np.zeros(BUCKETS, dtype=np.int64), 0
-        for batch in chunks(batches, 0):
-            for text in batch.column(0).to_pylist():
-                total += 1
-                if text:
-                    held = {known[t] for t in set(text.lower().split())}
-                    held.discard(-1)
-                    counts[list(held)] += 1
+        for batch in chunks(batches, 0, PIECE_BYTES):
+            buckets, sizes = word_buckets(batch.column(0).to_pylist())
+            total += len(sizes)
+            ends = np.cumsum(sizes)
+            for at in range(0, len(sizes), 128):
+                own = sizes[at : at + 128]
+                start = ends[at] - sizes[at]
+                held = np.zeros((len(own), BUCKETS), dtype=bool)
+                held[np.repeat(np.arange(len(own)), own), buckets[start : start + own.sum()]] = True
+                counts += held.sum(axis=0)
         yield pa.RecordBatch.from_pydict(
             {"bucket": np.arange(-1, BUCKETS, dtype=np.int32), "documents": np.concatenate(([total], counts))}
         )
@@ -116,8 +190,7 @@ def passage_rows(items: DataFrame, weights: np.ndarray) -> DataFrame:
         for batch in batches:
             terms, values = [], []
             for text in batch.column(0).to_pylist():
-                buckets = np.array([b for b in map(bucket_of, (text or "").lower().split()) if b >= 0], dtype=np.int64)
-                for passage in passages(buckets):
+                for passage in passages(word_buckets([text])[0]):
                     own, counts = np.unique(passage, return_counts=True)
                     vector = counts * weights[own]
                     terms.append(own.tolist())
@@ -271,7 +344,8 @@ class Anchors:
             if 0 < size < PASSAGE:
                 least = math.ceil(LEAST_COMMON * size - 1e-9)
                 need = min(least, 2 + least // WORDS_PER_ANCHOR)
-                rarest = sorted((bucket_of(w) for w in item.words), key=lambda b: -weights[b])[: size - least + need]
+                all_words = word_buckets([" ".join(item.words)])[0].tolist()
+                rarest = sorted(all_words, key=lambda b: -weights[b])[: size - least + need]
                 own = set(rarest)
                 owners += [len(self.items)] * len(own)
                 buckets += own
@@ -319,11 +393,10 @@ class Matcher:
 
     def __init__(self, rows: list[tuple], terms: np.ndarray, weights: np.ndarray | None = None):
         terms = np.ascontiguousarray(terms)
-        self.items, self.terms, self.known = [item_of(*r) for r in rows], terms, known_buckets()
+        self.items, self.terms = [item_of(*r) for r in rows], terms
         vectors, owners = [np.empty((0, terms.shape[1]), dtype=np.float32)], []
         for i, item in enumerate(self.items):
-            buckets = np.array([bucket_of(w) for w in item.words], dtype=np.int64)
-            for passage in passages(buckets):
+            for passage in passages(word_buckets([" ".join(item.words)])[0]):
                 vector = terms[passage].sum(axis=0)
                 vectors.append(vector[None, :] / max(np.linalg.norm(vector), 1e-9))
                 owners.append(i)
@@ -333,37 +406,39 @@ class Matcher:
 
     def candidates(self, tokens: list[list[str]]) -> list[list[tuple[int, int, float]]]:
         """For each text the ``(item, half passage, cosine)`` of its passages close to one of the item, or by anchors."""
-        out: list[list[tuple[int, int, float]]] = [[] for _ in tokens]
-        padded, owner = [], []
-        for i, text in enumerate(tokens):
-            own = [self.known[t] for t in text]
-            if -1 in own:
-                own = [b for b in own if b >= 0]
-            if own:
-                own += [BUCKETS] * (-len(own) % HALF)
-                padded += own
-                owner += [i] * (len(own) // HALF)
-        if not owner:
+        return self.close(*word_buckets([" ".join(t) for t in tokens]))
+
+    def _passages(self, halves: np.ndarray, goes_on: np.ndarray, at: int, end: int) -> np.ndarray:
+        """Projected passages that begin at the half passages ``at .. end``."""
+        rows = halves[at : end + 1]
+        sums = np.take(self.terms, rows[:, 0], axis=0, mode="clip")
+        one = np.empty_like(sums)
+        for column in range(1, HALF):
+            np.take(self.terms, rows[:, column], axis=0, out=one, mode="clip")
+            sums += one
+        out = sums[: end - at]
+        after = np.flatnonzero(goes_on[at:end])
+        out[after] += sums[after + 1]
+        return out
+
+    def close(self, buckets: np.ndarray, sizes: np.ndarray) -> list[list[tuple[int, int, float]]]:
+        """As ``candidates``, for texts given by the buckets of their words."""
+        out: list[list[tuple[int, int, float]]] = [[] for _ in sizes]
+        each = -(-sizes // HALF)
+        if not each.sum():
             return out
-        buckets, owners = np.array(padded, dtype=np.int32).reshape(-1, HALF), np.array(owner)
-        step = 1024
-        sums = np.empty((len(buckets), self.terms.shape[1]), dtype=np.float32)
-        one = np.empty((step, self.terms.shape[1]), dtype=np.float32)
-        for at in range(0, len(buckets), step):
-            block, rows = sums[at : at + step], buckets[at : at + step]
-            np.take(self.terms, rows[:, 0], axis=0, out=block, mode="clip")
-            for column in range(1, HALF):
-                np.take(self.terms, rows[:, column], axis=0, out=one[: len(rows)], mode="clip")
-                block += one[: len(rows)]
+        owners = np.repeat(np.arange(len(sizes)), each)
+        begins = (np.cumsum(each) - each) * HALF
+        halves = np.full(len(owners) * HALF, BUCKETS, dtype=np.int32)
+        halves[np.arange(len(buckets)) + np.repeat(begins - (np.cumsum(sizes) - sizes), sizes)] = buckets
+        halves = halves.reshape(-1, HALF)
         goes_on = np.concatenate((owners[1:] == owners[:-1], [False]))
         first = np.concatenate(([True], ~goes_on[:-1]))
         firsts = np.flatnonzero(first)
-        vectors = sums.copy()
-        vectors[:-1] += np.where(goes_on[:-1, None], sums[1:], 0)
-        usable = np.flatnonzero(goes_on | first)  # the end of a longer text is part of the passage before
-        for at in range(0, len(usable), step):
-            rows = usable[at : at + step]
-            block = vectors[rows]
+        usable = goes_on | first  # the end of a longer text is part of the passage before
+        for at in range(0, len(halves), ROWS):
+            rows = at + np.flatnonzero(usable[at : at + ROWS])
+            block = self._passages(halves, goes_on, at, min(at + ROWS, len(halves)))[rows - at]
             lengths = np.maximum(np.linalg.norm(block, axis=1), 1e-9)
             products = block @ self.passages.T
             close = np.flatnonzero(products.max(axis=1) >= CLOSE * lengths)
@@ -375,12 +450,14 @@ class Matcher:
             for text, item, start, cosine in zip(owners[near].tolist(), items, starts, cosines, strict=True):
                 out[text].append((item, start, cosine))
         if self.anchors.items:
-            begins = firsts[np.searchsorted(firsts, np.arange(len(buckets)), "right") - 1]
-            for item, start, end in self.anchors.places(buckets, owners):
+            begins = firsts[np.searchsorted(firsts, np.arange(len(halves)), "right") - 1]
+            for item, start, end in self.anchors.places(halves, owners):
                 begin = int(begins[end])
-                for row in range(max(start, begin), end + 1):
-                    product = float(vectors[row] @ self.passages[self.first_passages[item]])
-                    out[owner[row]].append((item, row - begin, product / max(float(np.linalg.norm(vectors[row])), 1e-9)))
+                start = max(start, begin)
+                block = self._passages(halves, goes_on, start, end + 1)
+                cosines = block @ self.passages[self.first_passages[item]] / np.maximum(np.linalg.norm(block, axis=1), 1e-9)
+                for row, cosine in enumerate(cosines.tolist(), start):
+                    out[owners[row]].append((item, row - begin, cosine))
         return out
 
     def matches(self, text_tokens: list[str], close: list[tuple[int, int, float]]) -> list[tuple[int, float, float, float, int]]:
@@ -410,16 +487,26 @@ class Matcher:
         return out
 
     def found(self, texts: list[str | None]) -> list[list[tuple[int, float, float, float, int]]]:
-        tokens = [t.lower().split() if t else [] for t in texts]
-        return [self.matches(t, c) if c else [] for t, c in zip(tokens, self.candidates(tokens), strict=True)]
+        return found_by([self], texts)
 
 
-def item_blocks(docs: DataFrame, benchmark: DataFrame, text_column: str = "text") -> Iterator[tuple[list[tuple], np.ndarray, np.ndarray]]:
-    """What a matcher needs, for each block of items of ``(item_id, text[, answer])``."""
+def found_by(matchers: list[Matcher], texts: list[str | None]) -> list[list[tuple[int, float, float, float, int]]]:
+    """The matches of each text with the items of all matchers. Only texts with a candidate are split into words."""
+    buckets, sizes = word_buckets(texts)
+    out: list[list] = [[] for _ in texts]
+    for matcher in matchers:
+        for i, close in enumerate(matcher.close(buckets, sizes)):
+            if close:
+                out[i] += matcher.matches(texts[i].lower().split(), close)
+    return out
+
+
+def item_passes(docs: DataFrame, benchmark: DataFrame, text_column: str = "text") -> Iterator[tuple]:
+    """What a pass over the documents needs: blocks of items ``(item_id, text, answer)``, the term vectors, the weights."""
     answer = F.col("answer") if "answer" in benchmark.columns else F.lit(None)
     items = benchmark.select(F.col("item_id").cast("long"), "text", answer.cast("string").alias("answer"))
-    items = written(items.withColumn("place", F.xxhash64("item_id", "text")), "items")
-    count = items.count()
+    items = written(items.withColumn("place", F.monotonically_increasing_id()), "items")
+    count, size = items.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
     if not count:
         return
     documents, total = document_counts(docs, text_column)
@@ -430,10 +517,18 @@ def item_blocks(docs: DataFrame, benchmark: DataFrame, text_column: str = "text"
     if not space.shape[1]:
         return
     terms = np.concatenate((weights[:, None] * space, np.zeros((1, space.shape[1])))).astype(np.float32)
-    blocks = -(-count // BLOCK_ITEMS)
-    for block in range(blocks):
-        chosen = items.where(F.pmod("place", F.lit(blocks)) == block).orderBy("item_id", "place")
-        yield [tuple(r) for r in chosen.select("item_id", "text", "answer").collect()], terms, weights
+    number = max(-(-count // BLOCK_ITEMS), -(-(size or 0) // BLOCK_BYTES))
+    for at in range(0, number, PASS_BLOCKS):
+        blocks = []
+        for block in range(at, min(at + PASS_BLOCKS, number)):
+            chosen = items.where(F.pmod(F.xxhash64("place"), F.lit(number)) == block).orderBy("item_id", "place")
+            blocks.append([tuple(r) for r in chosen.select("item_id", "text", "answer").collect()])
+        yield blocks, terms, weights
+
+
+def _matchers(held: tuple) -> list[Matcher]:
+    blocks, terms, weights = held
+    return [Matcher(block, terms, weights) for block in blocks if block]
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -441,17 +536,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id
     spark = docs.sparkSession
     source = docs.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"), F.col(f"`{text_column}`").alias("text"))
     out = spark.createDataFrame([], PAIRS)
-    for block in item_blocks(docs, benchmark, text_column):
-        held = spark.sparkContext.broadcast(block)
+    for one in item_passes(docs, benchmark, text_column):
+        held = spark.sparkContext.broadcast(one)
 
         def worker(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             schema = pa.schema(
                 [("doc_id", pa.int64()), ("item_id", pa.int64()), ("cosine", pa.float64())]
                 + [("common", pa.float64()), ("answer", pa.float64()), ("first_word", pa.int64())]
             )
-            matcher = Matcher(*held.value)
-            for batch in chunks(batches, 1, 1 << 20):
-                found = matcher.found(batch.column(1).to_pylist())
+            matchers = _matchers(held.value)
+            for batch in chunks(batches, 1, PIECE_BYTES):
+                found = found_by(matchers, batch.column(1).to_pylist())
                 rows = [(doc, *m) for doc, ms in zip(batch.column(0).to_pylist(), found, strict=True) for m in ms]
                 columns = list(zip(*rows, strict=True)) or [[] for _ in schema]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
@@ -461,16 +556,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, text_column: str = "text") -> DataFrame:
-    """``docs`` without the rows that hold a benchmark item."""
+    """``docs`` without the rows that hold a benchmark item. Each pass but the last is written, so a task has one worker."""
     spark, place = docs.sparkSession, docs.columns.index(text_column)
-    kept = docs
-    for block in item_blocks(docs, benchmark, text_column):
-        held = spark.sparkContext.broadcast(block)
+    kept, passes = docs, 0
+    for one in item_passes(docs, benchmark, text_column):
+        held = spark.sparkContext.broadcast(one)
+        kept, passes = written(kept, "kept") if passes else kept, passes + 1
 
         def worker(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(*held.value)
-            for batch in chunks(batches, place, 1 << 20):
-                found = matcher.found(batch.column(place).to_pylist())
+            matchers = _matchers(held.value)
+            for batch in chunks(batches, place, PIECE_BYTES):
+                found = found_by(matchers, batch.column(place).to_pylist())
                 yield batch.filter(pa.array([not f for f in found], pa.bool_()))
 
         kept = map_arrow(kept, worker, docs.schema)

@@ -209,9 +209,12 @@ def near_duplicates(
 
 
 def deduplicated(docs: DataFrame, text_column: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """``docs`` with one row of each component: its first in the order of the input files."""
+    """``docs`` with one row of each component: its first in the order of the input files.
+
+    Numbers depend on how a scan is split, so the numbered rows are written once and read by all steps.
+    """
     (row,) = free_name(docs, "_row")
-    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
     found = near_duplicates(numbered, row, text_column, shingle, max_bits)
     first = found.where(F.col("id") == F.col("component_id")).select(F.col("id").alias(row))
     return numbered.join(first, row, "left_semi").drop(row)

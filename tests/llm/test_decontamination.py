@@ -145,7 +145,6 @@ def test_recall_of_short_items_and_of_many(spark):
     assert all(r.common >= S.LEAST_COMMON for r in rows)
     short = [(n, i) for n, (i, _) in enumerate(leaks) if len(items[i].split()) < S.PASSAGE]
     due = [(n, i) for n, i in short if S.item_of(i, items[i], None).compare(leaks[n][1].split())[0] >= S.LEAST_COMMON]
-    print("short", len(short), "due", len(due), "found", len(got & set(due)), "of all", len(got & {(n, i) for n, (i, _) in enumerate(leaks)}), len(leaks))
     assert len(due) > 0.8 * len(short) and got >= set(due)
     whole = {(n, i) for n, (i, _) in enumerate(leaks) if not i % 2}
     assert whole <= got
@@ -167,3 +166,46 @@ def test_anchors_lose_no_match():
             common, answer, _ = item.compare(text)
             if common >= S.NEAR_EXACT or (common >= S.LEAST_COMMON and answer >= S.LEAST_ANSWER):
                 assert item.number in held
+
+
+def test_words_are_hashed_where_they_are_split():
+    rng = random.Random(9)
+    pool = [*"abZéΣİ'\"_-.,«»“…¿ \t\n\x0b\x1c\x85\xa0 　🙂½"]
+    texts = ["".join(rng.choices(pool, k=rng.randint(0, 40))) for _ in range(3000)] + [None, "", "x" * 3000, " - "]
+    buckets, sizes = S.word_buckets(texts)
+    assert sizes.tolist() == [len(S.words_of(t or "")) for t in texts]
+    ends = np.cumsum(sizes)
+    seen = {}
+    for text, end, size in zip(texts, ends, sizes, strict=True):
+        for word, bucket in zip(S.words_of(text or ""), buckets[end - size : end].tolist(), strict=True):
+            assert seen.setdefault(word, bucket) == bucket
+    assert len(set(seen.values())) > 0.75 * min(len(seen), S.BUCKETS * (1 - np.exp(-len(seen) / S.BUCKETS)))
+
+
+def test_long_texts_are_hashed_in_pieces(monkeypatch):
+    texts = ["alpha beta  gamma", "w" * 70 + " delta " * 40, "", "…omega… " * 9]
+    whole = S.word_buckets(texts)
+    monkeypatch.setattr(S, "PIECE_BYTES", 11)
+    assert all((a == b).all() for a, b in zip(whole, S.word_buckets(texts), strict=True))
+    monkeypatch.setattr(S, "ROWS", 2)
+    rng = np.random.default_rng(0)
+    terms = np.concatenate((rng.normal(size=(S.BUCKETS, 8)), np.zeros((1, 8)))).astype(np.float32)
+    said = " ".join(f"v{i}" for i in range(150))
+    matcher = S.Matcher([(1, " ".join(f"v{i}" for i in range(40, 110)), None)], terms)
+    close = matcher.close(*S.word_buckets([said, "none of it", said]))
+    monkeypatch.setattr(S, "ROWS", 1024)
+    again = matcher.close(*S.word_buckets([said, "none of it", said]))
+    assert [[c[:2] for c in t] for t in close] == [[c[:2] for c in t] for t in again] and close[0] and not close[1]
+
+
+def test_items_of_several_passes_over_the_documents(spark, monkeypatch):
+    items, _, leaks = corpus(12)
+    monkeypatch.setattr(S, "BLOCK_ITEMS", 4)
+    monkeypatch.setattr(S, "PASS_BLOCKS", 3)
+    docs = awkward_docs(spark, *(t for _, t in leaks))
+    bench = spark.createDataFrame([*enumerate(items), (5, items[5])], BENCH)
+    got = {(r.doc_id, r.item_id) for r in S.contaminated(docs, bench).collect()}
+    assert {(10 + n, i) for n, (i, _) in enumerate(leaks) if i % 3 != 1} <= got
+    bad = {d for d, _ in got}
+    kept = S.decontaminated(docs, bench)
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(r.doc_id) for r in docs.collect() if r.doc_id not in bad)

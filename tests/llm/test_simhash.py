@@ -104,3 +104,19 @@ def test_one_row_of_each_group_stays(spark):
     assert len([t for t in texts if not (t or "").split()]) == 1
     assert sorted(t.lower() for t in texts if t and "alpha" in t.lower()) in (["alpha beta"], ["alpha  beta"])
     assert "gamma" in texts and texts.count("twice the same") == 1
+
+
+def test_kept_rows_do_not_depend_on_how_a_scan_is_split(spark, tmp_path):
+    """An executor that comes or goes between the steps changes how later scans of the input are split."""
+    docs = spark.createDataFrame([(i, f"text number {i // 2} of some words {i // 2}") for i in range(120)], "doc_id long, text string")
+    docs.repartition(16).write.parquet(f"{tmp_path}/docs")
+    name, counts = "spark.sql.leafNodeDefaultParallelism", []
+    try:
+        for later in ("3", "9"):
+            spark.conf.set(name, "4")
+            kept = S.deduplicated(spark.read.parquet(f"{tmp_path}/docs"))
+            spark.conf.set(name, later)
+            counts.append((kept.count(), kept.select("text").distinct().count()))
+    finally:
+        spark.conf.unset(name)
+    assert counts == [(60, 60)] * 2
