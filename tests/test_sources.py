@@ -192,17 +192,61 @@ def test_merging_in_batches_equals_one_refresh(spark, tmp_path):
     assert values(target.read(spark)) == expected
     target.merge(frames[1])
     assert values(target.read(spark)) == expected
-    assert not (tmp_path / "table" / "transaction_month=__HIVE_DEFAULT_PARTITION__").exists()
+    assert "__HIVE_DEFAULT_PARTITION__" not in target.state(spark).data
 
 
 def test_untouched_partitions_are_not_rewritten(spark, tmp_path):
     may, june = datetime(2025, 5, 1).date(), datetime(2025, 6, 1).date()
     target = MergeTarget(str(tmp_path / "table"), SCHEMA)
     target.merge(spark.createDataFrame([("a", 1, datetime(2025, 1, 1), may), ("b", 1, datetime(2025, 1, 1), june)], SCHEMA))
-    before = sorted(p.name for p in (tmp_path / "table" / "transaction_month=2025-05-01").glob("*.parquet"))
-    target.merge(spark.createDataFrame([("b", 2, datetime(2025, 1, 2), june)], SCHEMA))
-    assert before == sorted(p.name for p in (tmp_path / "table" / "transaction_month=2025-05-01").glob("*.parquet"))
+    before = target.state(spark)
+    later = spark.createDataFrame([("b", 2, datetime(2025, 1, 2), june)], SCHEMA)
+    news, known = target.news(later, before)
+    assert [r["_place"] for r in news.collect()] == ["2025-06-01"]
+    assert len({f.split("_bucket=")[1].split("/")[0] for f in known.inputFiles()}) == 1
+    assert all("transaction_month=2025-06-01" in f for f in target.rows(spark, before, ["2025-06-01"]).inputFiles())
+    target.merge(later)
+    after = target.state(spark)
+    assert after.data["2025-05-01"] == before.data["2025-05-01"] and after.data["2025-06-01"] != before.data["2025-06-01"]
     assert values(target.read(spark), "session_id", "kwh") == [("a", 1), ("b", 2)]
+    assert values(target.read(spark, before.number), "session_id", "kwh") == [("a", 1), ("b", 1)]
+    pruned = plan_of(target.read(spark).where("transaction_month = DATE'2025-06-01'"))
+    assert "PartitionFilters: [isnotnull(transaction_month" in pruned
+    target.merge(spark.createDataFrame([("b", 1, datetime(2025, 1, 1), june)], SCHEMA))  # late: no partition is read or written
+    assert target.state(spark) == after
+
+
+def test_a_merge_that_dies_changes_nothing(spark, tmp_path, monkeypatch):
+    may, june = datetime(2025, 5, 1).date(), datetime(2025, 6, 1).date()
+    target = MergeTarget(str(tmp_path / "table"), SCHEMA)
+    target.merge(spark.createDataFrame([("a", 1, datetime(2025, 1, 1), may), (None, 7, datetime(2025, 1, 1), june)], SCHEMA), 0, "s")
+    moved = spark.createDataFrame([("a", 2, datetime(2025, 1, 2), june), (None, 8, datetime(2025, 1, 2), june)], SCHEMA)
+    publish = MergeTarget._publish
+    monkeypatch.setattr(MergeTarget, "_publish", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError, match="lost"):
+        target.merge(moved, 1, "s")
+    monkeypatch.setattr(MergeTarget, "_publish", publish)
+    assert values(target.read(spark), "session_id", "kwh") == [("a", 1), (None, 7)]
+    target.merge(moved, 1, "s")
+    target.merge(moved.withColumn("kwh", F.lit(99)), 1, "s")  # that batch is merged
+    assert values(target.read(spark), "session_id", "kwh") == [("a", 2), (None, 8)]
+    with pytest.raises(RuntimeError, match="another merge"):
+        target._publish(spark, target.state(spark))
+    target.merge(spark.createDataFrame([("c", 1, datetime(2025, 1, 1), may)], SCHEMA))
+    target.expire(spark, keep=1)
+    assert target.versions(spark) == [2] and len(list((tmp_path / "table" / "data").iterdir())) == 2
+    assert values(target.read(spark), "session_id", "kwh") == [("a", 2), ("c", 1), (None, 8)]
+
+
+def test_partitions_with_signs_in_their_names(spark, tmp_path):
+    schema = "session_id string, kwh int, _loaded_at timestamp_ntz, transaction_month string"
+    target = MergeTarget(str(tmp_path / "table"), schema)
+    at = datetime(2025, 1, 1)
+    target.merge(spark.createDataFrame([("a", 1, at, "x/y: z"), ("b", 1, at, "100%25"), ("c", 1, at, None)], schema))
+    target.merge(spark.createDataFrame([("a", 2, at, "q=r"), ("b", 2, at, "100%25")], schema))
+    assert values(target.read(spark), "session_id", "kwh", "transaction_month") == [("a", 2, "q=r"), ("b", 2, "100%25"), ("c", 1, None)]
+    target.expire(spark, keep=1)
+    assert target.read(spark).count() == 3
 
 
 def test_freshness(spark):
