@@ -33,6 +33,8 @@ from ampflow.llm.tokens import UNCOMMON, Remembered, TokenizerFile
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 BLOCK_IDS = 1 << 16
+#: Words that a worker remembers, some 90 MB.
+WORDS = 400_000
 #: Fixed values: (values, bits) by selector from 2; selector 0 is an escape, 1 is not used.
 LAYOUTS = ((60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60))
 FIRST_SELECTOR = 2
@@ -126,7 +128,7 @@ class LibraryEncoder:
             shown = word if word.isascii() else "".join([symbols[b] for b in word.encode()])
             return array("I", [t.id for t in model.tokenize(shown)]).tobytes()
 
-        self.known = Remembered(encoded)
+        self.known = Remembered(encoded, WORDS)
 
     def encode(self, text: str) -> bytes:
         """Ids of a text as unsigned 32-bit integers."""

@@ -24,12 +24,13 @@ SPACE = "\t\n\v\f\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 SPLIT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
-#: Words that a worker remembers: the first ones, among which are the frequent ones. Some 40 MB.
+#: Words that a worker remembers: the first ones, among which are the frequent ones. Some 40 MB, as long ones are not kept.
 REMEMBERED = 150_000
+LONGEST = 64
 
 
 class Remembered(dict):
-    """Results by key, computed on first use and kept for the first keys; later ones are computed each time."""
+    """Results by key, computed on first use and kept for the first keys that are not long; others are computed each time."""
 
     def __init__(self, compute, limit: int = REMEMBERED):
         super().__init__()
@@ -37,7 +38,7 @@ class Remembered(dict):
 
     def __missing__(self, key):
         value = self.compute(key)
-        if len(self) < self.limit:
+        if len(self) < self.limit and len(key) <= LONGEST:
             self[key] = value
         return value
 
