@@ -1,32 +1,38 @@
-"""Exact continuous quantiles without gathering the values in one task.
-
-Fixed-point measures (decimals, whole minutes) are located digit by digit: a histogram over the leading digits
-says which cell holds the wanted rank, the next pass looks only inside that cell. Each histogram combines on the
-map side and has at most two million rows per measure (two hundred thousand for ten digits), whatever the number
-of input rows or the skew of the values. Floating-point measures have no fixed digits; they are ranked by one
-distributed sort of their distinct values instead.
+"""Exact continuous quantiles by selection on integer keys: no value is gathered, sorted or written.
+
+Every measure is read as a 64-bit integer whose order is that of the measure: units of fixed-point numbers, microseconds
+of instants, and for floating-point numbers exponent and mantissa side by side. One pass finds count and range of all
+measures. The range is halved into cells by bits: a histogram over the leading bits says which cell holds a wanted rank,
+the next pass looks only inside that cell, down to single keys. Widths follow the range of the data, so the histograms of
+a measure are as small as its values allow, and never larger than ``1 << MAX_BITS`` rows. They combine on the map side,
+whatever the number of rows or the skew of the values. All measures share the passes, and everything is one lazy plan.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ampflow.operators.joins import with_row
-from ampflow.session import cut_lineage
 
-MAX_DIGITS_PER_PASS = 6
+#: Bits that one pass resolves at most.
+MAX_BITS = 22
 QUARTILES = (0.25, 0.75)
 
+_MANTISSA = 52
+_ONE = 1 << _MANTISSA
+_SPECIAL = 2047 * _ONE
+
 
 @dataclass(frozen=True)
 class Fixed:
     """A measure as an integer number of units, ``per_unit`` of them making one natural unit.
 
-    ``units`` is an SQL expression; ``digits`` bounds its magnitude: ``abs(units) < 10 ** digits``.
+    ``units`` is an SQL expression. ``digits`` is how many digits the units are expected to have; it sets the number of
+    passes, larger values only make the histograms larger.
     """
 
     units: str
@@ -40,10 +46,41 @@ def decimal_measure(column: str, precision: int, scale: int) -> Fixed:
     return Fixed(f"CAST({column} * {10**scale} AS BIGINT)", 10**scale, precision)
 
 
-def _long_form(df: DataFrame, values: Mapping[str, Column]) -> DataFrame:
-    """Rows (measure, value) without NULLs; measures are numbered in order."""
-    cells = [F.struct(F.lit(i).alias("measure"), col.alias("value")) for i, col in enumerate(values.values())]
-    return df.select(F.inline(F.array(*cells))).where(F.col("value").isNotNull())
+def instant_measure(column: str) -> Fixed:
+    """Instants by their microseconds since 1970."""
+    return Fixed(f"UNIX_MICROS(CAST({column} AS TIMESTAMP))", 1_000_000, 17)
+
+
+def with_sortable(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Doubles as integers of the same order: biased exponent, then mantissa; infinities and NaN follow all others.
+
+    Worked out in steps, each a projection, so that no expression is written out several times. The logarithm is rounded,
+    so the exponent may be off by one, which shows in what it leaves of the number.
+    """
+    steps = {
+        "size": "IF(ABS({x}) < DOUBLE('Infinity'), ABS({x}), 0D)",
+        "power": "GREATEST(-1022L, LEAST(1023L, COALESCE(FLOOR(LOG2({x}_size)), -1022L)))",
+        "left": "{x}_size / POW(2D, {x}_power)",
+        "fix": "CASE WHEN {x}_left >= 2 THEN 1 WHEN {x}_left < 1 AND {x}_power > -1022 THEN -1 ELSE 0 END",
+        "key": (
+            f"CASE WHEN ISNAN({{x}}) THEN {_SPECIAL + 1}L WHEN ABS({{x}}) = DOUBLE('Infinity') THEN {_SPECIAL}L ELSE "
+            f"({{x}}_power + {{x}}_fix + 1022) * {_ONE}L + CAST({{x}}_left * POW(2D, -{{x}}_fix) * {_ONE}D AS BIGINT) END"
+        ),
+    }
+    for step, text in steps.items():
+        df = df.selectExpr("*", *[f"{text.format(x=n)} AS {n}_{step}" for n in names])
+    return df.selectExpr(*[f"CASE WHEN {n} < 0 THEN -{n}_key WHEN {n} IS NOT NULL THEN {n}_key END AS {n}" for n in names])
+
+
+def from_sortable(key: str) -> str:
+    """The double of such an integer, as SQL."""
+    size, exponent = f"ABS({key})", f"SHIFTRIGHT(ABS({key}), {_MANTISSA})"
+    mantissa = f"CAST({size} & {_ONE - 1}L AS DOUBLE)"
+    return (
+        f"IF({key} < 0, -1D, 1D) * CASE WHEN {size} = {_SPECIAL}L THEN DOUBLE('Infinity')"
+        f" WHEN {size} > {_SPECIAL}L THEN DOUBLE('NaN') WHEN {exponent} = 0 THEN {mantissa} * 4.9E-324D"
+        f" ELSE (1 + {mantissa} / {_ONE}D) * POW(2D, {exponent} - 1023) END"
+    )
 
 
 # A wanted rank is a column: per probability i the neighbours ``lo<i>`` and ``hi<i>`` of position ``p * (n - 1)``.
@@ -51,103 +88,87 @@ def _rank_names(probs: Sequence[float]) -> list[str]:
     return [f"{side}{i}" for i in range(len(probs)) for side in ("lo", "hi")]
 
 
-def _first_cells(histogram: DataFrame, probs: Sequence[float]) -> DataFrame:
-    """Cells of a histogram (measure, cell, n) that hold a wanted 0-based rank.
-
-    One row per cell; each rank is counted from the start of its cell and NULL in all other cells.
-    """
-    whole = Window.partitionBy("measure")
-    position = {i: F.lit(float(p)) * (F.col("rows") - 1) for i, p in enumerate(probs)}
-    ranks = {f"lo{i}": F.floor(x) for i, x in position.items()} | {f"hi{i}": F.ceil(x) for i, x in position.items()}
-    counted = histogram.withColumns(
-        {"upto": F.sum("n").over(whole.orderBy("cell")), "rows": F.sum("n").over(whole)}
+def _ranges(df: DataFrame, keys: Sequence[str], probs: Sequence[float], passes: int) -> DataFrame:
+    """One row per measure with values: its count, the bits of its range, the bits of a pass, and its wanted ranks."""
+    wide = df.agg(
+        *[F.expr(f"named_struct('measure', {i}, 'rows', COUNT({k}), 'low', MIN({k}), 'high', MAX({k}))").alias(k) for i, k in enumerate(keys)]
     )
-    return _holding(counted, ranks, probs)
+    ranks = [f"{end}({p!r}D * (rows - 1)) AS {side}{i}" for i, p in enumerate(map(float, probs)) for side, end in (("lo", "FLOOR"), ("hi", "CEIL"))]
+    bits = "LENGTH(BIN(SHIFTRIGHT(high, 1) - SHIFTRIGHT(low, 1))) + 1"
+    width = f"CAST(CEIL(({bits}) / {passes}) AS INT) AS width"
+    rows = wide.selectExpr(f"INLINE(ARRAY({', '.join(keys)}))").where("rows > 0")
+    return rows.selectExpr("measure", "rows", f"{bits} AS bits", width, *ranks)
 
 
-def _holding(counted: DataFrame, ranks: Mapping[str, Column], probs: Sequence[float]) -> DataFrame:
-    before = F.col("upto") - F.col("n")
-    here = {
-        name: F.when((ranks[name] >= before) & (ranks[name] < F.col("upto")), ranks[name] - before)
-        for name in _rank_names(probs)
-    }
-    found = counted.select("measure", "rows", "cell", *[rank.alias(name) for name, rank in here.items()])
-    return found.where(F.coalesce(*here).isNotNull())
-
-
-def _finer_cells(rows: DataFrame, cells: DataFrame, probs: Sequence[float], n: Column) -> DataFrame:
-    """The next pass: ``rows`` (measure, parent, cell) inside ``cells`` only.
+def _inside(rows: DataFrame, cells: DataFrame, step: int, probs: Sequence[float]) -> DataFrame:
+    """One pass: rows (measure, key) inside ``cells``, counted by the next bits; cells that hold a wanted rank.
 
-    ``cells`` has at most two rows per measure and probability, so it is safe to broadcast.
+    A rank is counted from the start of its cell and NULL in all others. ``cells`` has at most two rows per measure and
+    probability, so it is safe to broadcast.
     """
     names = _rank_names(probs)
-    inside = rows.join(F.broadcast(cells.withColumnRenamed("cell", "parent")), ["measure", "parent"])
+    leading = "SHIFTRIGHT(key, GREATEST(0, bits - {} * width))"
+    met = rows.join(F.broadcast(cells), "measure")
+    if step:
+        met = met.where(f"cell = {leading.format(step)}")
+    here = ["measure", *(["cell"] if step else [])]
+    carried = ["rows", "bits", "width", *names]
     counted = (
-        inside.groupBy("measure", "parent", "cell")
-        .agg(n.alias("n"), F.max("rows").alias("rows"), *[F.max(r).alias(r) for r in names])
-        .withColumn("upto", F.sum("n").over(Window.partitionBy("measure", "parent").orderBy("cell")))
+        met.selectExpr(*here, *carried, f"{leading.format(step + 1)} AS next")
+        .groupBy(*here, "next")
+        .agg(F.expr("COUNT(1)").alias("n"), *[F.expr(f"MAX({c})").alias(c) for c in carried])
+        .selectExpr("*", f"SUM(n) OVER (PARTITION BY {', '.join(here)} ORDER BY next) AS upto")
     )
-    return _holding(counted, {r: F.col(r) for r in names}, probs)
+    held = [f"CASE WHEN {r} >= upto - n AND {r} < upto THEN {r} - upto + n END AS {r}" for r in names]
+    found = counted.selectExpr("measure", "rows", "bits", "width", "next AS cell", *held)
+    return found.where(f"COALESCE({', '.join(names)}) IS NOT NULL")
+
+
+def _selected(df: DataFrame, keys: Sequence[str], probs: Sequence[float], bits: int) -> DataFrame:
+    """Cells (measure, rows, cell) whose ``cell`` is the key at a wanted rank; measures are numbered in order."""
+    passes = -(-bits // MAX_BITS)
+    cells = _ranges(df, keys, probs, passes)
+    pairs = ", ".join(f"named_struct('measure', {i}, 'key', {k})" for i, k in enumerate(keys))
+    rows = df.selectExpr(f"INLINE(ARRAY({pairs}))").where("key IS NOT NULL")
+    for step in range(passes):
+        cells = _inside(rows, cells, step, probs)
+    return cells
 
 
-def _one_row(cells: DataFrame, names: Sequence[str], probs: Sequence[float], origin: Mapping[str, int]) -> DataFrame:
+def _one_row(cells: DataFrame, names: Sequence[str], probs: Sequence[float], value_of: Callable[[str], str]) -> DataFrame:
     """Interpolated quantiles as one row: ``<name>_n`` and ``<name>_p<i>`` (NULL without values)."""
-    out = []
+    ends, values, out = [], [], []
     for number, name in enumerate(names):
-        mine = F.col("measure") == number
-        rows = F.max(F.when(mine, F.col("rows")))
-        out.append(F.coalesce(rows, F.lit(0)).alias(f"{name}_n"))
-        for i, p in enumerate(probs):
-            low = F.max(F.when(mine & F.col(f"lo{i}").isNotNull(), F.col("cell")))
-            high = F.max(F.when(mine & F.col(f"hi{i}").isNotNull(), F.col("cell")))
-            position = F.lit(float(p)) * (rows - 1)
-            value = (low - origin[name]).cast("double") + (position - F.floor(position)) * (high - low).cast("double")
-            out.append(value.alias(f"{name}_p{i}"))
-    return cells.agg(*out)
+        ends.append(F.expr(f"MAX(IF(measure = {number}, rows, NULL))").alias(f"rows{number}"))
+        out.append(f"COALESCE(rows{number}, 0L) AS `{name}_n`")
+        for i, p in enumerate(map(float, probs)):
+            for side in ("lo", "hi"):
+                end = f"{side}{number}_{i}"
+                ends.append(F.expr(f"MAX(IF(measure = {number} AND {side}{i} IS NOT NULL, cell, NULL))").alias(end))
+                values.append(f"{value_of(end)} AS {end}")
+            low, high = f"lo{number}_{i}", f"hi{number}_{i}"
+            position = f"{p!r}D * (rows{number} - 1)"
+            part = f"({position} - FLOOR({position}))"
+            out.append(f"CAST({low} AS DOUBLE) + IF({part} = 0, 0D, {part} * CAST({high} - {low} AS DOUBLE)) AS `{name}_p{i}`")
+    return cells.agg(*ends).selectExpr(*[f"rows{i}" for i in range(len(names))], *values).selectExpr(*out)
 
 
-def _divisors(digits: int) -> list[int]:
-    """Powers of ten that split ``digits`` digits evenly over as few passes as allowed, ending in 1."""
-    passes = -(-digits // MAX_DIGITS_PER_PASS)
-    per_pass = -(-digits // passes)
-    return [10 ** (per_pass * k) for k in reversed(range(passes))]
+def _numbered(df: DataFrame, measures: Sequence[Column]) -> tuple[DataFrame, list[str]]:
+    names = [f"k{i}" for i in range(len(measures))]
+    return df.select(*[m.alias(n) for n, m in zip(names, measures, strict=True)]), names
 
 
 def fixed_quantiles(df: DataFrame, measures: Mapping[str, Fixed], probs: Sequence[float] = QUARTILES) -> DataFrame:
     """One row with the exact quantiles, in units, of all measures; each pass reads only their columns."""
-    digits = max(m.digits for m in measures.values())
-    origin = {name: 10**digits for name in measures}
-    values = _long_form(df, {name: F.expr(m.units).cast("bigint") + origin[name] for name, m in measures.items()})
-    divisors = _divisors(digits)
-    count = F.count(F.lit(1))
-    cells = _first_cells(
-        values.groupBy("measure", F.expr(f"value div {divisors[0]}L").alias("cell")).agg(count.alias("n")), probs
-    )
-    for coarse, fine in zip(divisors, divisors[1:]):
-        rows = values.selectExpr("measure", f"value div {coarse}L AS parent", f"value div {fine}L AS cell")
-        cells = _finer_cells(rows, cells, probs, count)
-    return _one_row(cells, list(measures), probs, origin)
+    bits = max((2 * 10**m.digits).bit_length() for m in measures.values())
+    keys, names = _numbered(df, [F.expr(m.units).cast("bigint") for m in measures.values()])
+    return _one_row(_selected(keys, names, probs, bits), list(measures), probs, lambda key: key)
 
 
 def float_quantiles(df: DataFrame, values: Mapping[str, Column], probs: Sequence[float] = QUARTILES) -> DataFrame:
-    """One row with the exact quantiles of floating-point measures.
-
-    The distinct values are sorted once across the cluster; counts per sorted block tell which blocks hold the
-    wanted ranks, and only those blocks are read again. The sorted values are materialised first, because the
-    block numbers must stay the same for both reads.
-    """
-    frequencies = (
-        _long_form(df, {name: col.cast("double") for name, col in values.items()})
-        .groupBy("measure", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    ordered = cut_lineage(
-        frequencies.orderBy("measure", "value").withColumn("block", F.spark_partition_id().cast("bigint"))
-    )
-    blocks = ordered.groupBy("measure", F.col("block").alias("cell")).agg(F.sum("n").alias("n"))
-    rows = ordered.select("measure", F.col("block").alias("parent"), F.col("value").alias("cell"), F.col("n").alias("copies"))
-    cells = _finer_cells(rows, _first_cells(blocks, probs), probs, F.sum("copies"))
-    return _one_row(cells, list(values), probs, dict.fromkeys(values, 0))
+    """One row with the exact quantiles of floating-point measures; NaN counts as larger than any number."""
+    numbers, names = _numbered(df, [column.cast("double") for column in values.values()])
+    return _one_row(_selected(with_sortable(numbers, names), names, probs, 64), list(values), probs, from_sortable)
 
 
 @dataclass(frozen=True)

@@ -3,6 +3,7 @@ from __future__ import annotations
 import math
 import random
 from collections import Counter
+from datetime import datetime, timezone
 from decimal import Decimal
 
 import numpy as np
@@ -328,3 +329,52 @@ def test_rule_records(spark):
     assert values(rules.duplicated(df, "v")) == [("a", 2)]
     assert values(rules.not_accepted(df, "v", ["a"])) == [("b", 1)]
     assert values(rules.null_rows(df, ["v"])) == [("v", 2)]
+
+
+def test_doubles_keep_their_order_as_integers(spark):
+    rng = random.Random(8)
+    numbers = [0.0, -0.0, 5e-324, -5e-324, 2.0**-1022, 2.0**-1022 - 5e-324, 1.7976931348623157e308, float("inf"), -float("inf"), 1.0, 2.0]
+    numbers += [math.ldexp(1.0, e) for e in range(-1074, 1024, 13)]
+    numbers += [math.nextafter(math.ldexp(1.0, e), t) for e in range(-1060, 1023, 17) for t in (0, math.inf)]
+    numbers += [rng.choice([-1, 1]) * math.ldexp(rng.random(), rng.randint(-1070, 1023)) for _ in range(2000)]
+    df = spark.createDataFrame([(x,) for x in numbers] + [(float("nan"),), (None,)], "x double")
+    keyed = quantiles.with_sortable(df.withColumn("k", F.col("x")), ["k"])
+    places = df.withColumn("row", F.monotonically_increasing_id()), keyed.withColumn("row", F.monotonically_increasing_id())
+    rows = places[0].join(places[1], "row").withColumn("back", F.expr(quantiles.from_sortable("k"))).collect()
+    known = [r for r in rows if r.x is not None and not math.isnan(r.x)]
+    assert all(r.back == r.x for r in known)
+    assert [r.k for r in sorted(known, key=lambda r: r.x)] == sorted(r.k for r in known)
+    assert max(rows, key=lambda r: r.k or 0).x != max(r.x for r in known)  # NaN is last
+    assert [r for r in rows if r.x is None][0].k is None
+
+
+def linear(ordered, p):
+    position = p * (len(ordered) - 1)
+    low, high = ordered[math.floor(position)], ordered[math.ceil(position)]
+    return low + (position % 1) * (high - low)
+
+
+def test_quantiles_are_one_lazy_plan_with_bounded_histograms(spark, monkeypatch):
+    rng = random.Random(5)
+    numbers = [rng.choice([rng.gauss(0, 1), rng.gauss(1e6, 1e-3), -rng.expovariate(1e-9), 7.25]) for _ in range(4000)] + [1e300, -1e300]
+    df = spark.createDataFrame([(x, int(x) if abs(x) < 1e15 else None) for x in numbers], "x double, k bigint").repartition(5)
+    probs = (0.0, 0.1, 0.5, 0.999, 1.0)
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lazy", "lazy")
+    row = quantiles.float_quantiles(df, {"x": F.col("x"), "k": F.col("k")}, probs)
+    assert not list(jobs.getJobIdsForGroup("lazy"))
+    found = row.first()
+    spark.sparkContext.setJobGroup("", "")
+    for i, p in enumerate(probs):
+        assert found[f"x_p{i}"] == pytest.approx(linear(sorted(numbers), p), rel=1e-12)
+        assert found[f"k_p{i}"] == pytest.approx(linear(sorted(int(x) for x in numbers if abs(x) < 1e15), p), rel=1e-12)
+    monkeypatch.setattr(quantiles, "MAX_BITS", 5)
+    again = quantiles.float_quantiles(df, {"x": F.col("x"), "k": F.col("k")}, probs).first()
+    assert again == found
+
+
+def test_quantiles_of_instants(spark):
+    times = [datetime(2025, 1, 1, 0, 0, s, 250_000) for s in (0, 10, 20, 59)]
+    df = spark.createDataFrame([(t,) for t in times], "t timestamp_ntz")
+    row = quantiles.fixed_quantiles(df, {"t": quantiles.instant_measure("t")}, (0.5,)).first()
+    assert row["t_p0"] / 1e6 == datetime(2025, 1, 1, 0, 0, 15, 250_000, tzinfo=timezone.utc).timestamp()
