@@ -25,8 +25,8 @@ RAW_SCHEMAS = {
 def scan_json(spark: SparkSession, path: str, schema: str, outer_array: bool = False) -> DataFrame:
     """Typed JSON scan. Bad records are NULL in all columns but ``_corrupt_record``, which holds their text.
 
-    JSON lines split into many tasks; a file with an outer array is split into its records by a single task, so large
-    data should arrive as lines or as many array files. Compression follows the file suffix.
+    Lines and arrays split into many tasks; a compressed array file is split into its records by a single task. Compression
+    follows the file suffix.
     """
     return records.typed(records.read_records(spark.read, path, outer_array).drop("_source_file"), schema, CORRUPT)
 

@@ -2,9 +2,11 @@ from __future__ import annotations
 
 import gzip
 import json
+import random
 from datetime import datetime
 from decimal import Decimal
 
+import pyarrow as pa
 import pytest
 from conftest import plan_of, values
 from pyspark.sql import functions as F
@@ -324,3 +326,89 @@ def test_refresh_with_dated_facts(spark, refreshed):
     assert {n: values(dated[n], *sorted(dated[n].columns)) for n in expected} == expected
     plan = plan_of(dated["fact_transactions"].where("transaction_date = DATE '1995-01-03'").select("session_id"))
     assert "PartitionFilters: [isnotnull(transaction_date" in plan
+
+
+def array_texts():
+    rng = random.Random(3)
+    strings = ['"a,b"', '"\\\\"', '"\\",["', '"]}"', '"é🙂"', '""', '"x\\\\\\"y,"', '"' + "long, " * 60 + '"']
+
+    def value(deep):
+        kind = rng.random()
+        if deep and kind < 0.3:
+            return "[" + ", ".join(value(deep - 1) for _ in range(rng.randint(0, 4))) + "]"
+        if deep and kind < 0.6:
+            return "{" + ",".join(f"{rng.choice(strings)}: {value(deep - 1)}" for _ in range(rng.randint(0, 4))) + "}"
+        return rng.choice([*strings, "1", "null", "-2.5e3"])
+
+    def array(n):
+        return "[" + rng.choice([",", ", ", ",\n", " ,"]).join(value(3) for _ in range(n)) + "]"
+
+    texts = [array(rng.randint(0, 60)) for _ in range(40)]
+    texts += [t[: rng.randint(1, len(t))] for t in texts[:25]]  # cut off anywhere
+    texts += ["﻿" + texts[0], " \n" + texts[1], texts[2] + "\n", "[1,2,]", "[,]", "[1,,2]", "[1,2,", "[", "", "   ", "[ ]"]
+    return texts + ["﻿[1, 2,", '["' + "no end, " * 90, "[" + "[1," * 50 + "2" + "]" * 51, '{"x": [1, 2]}', "not, an, array", "[1], [2, 3], 4"]
+
+
+def test_blocks_of_an_array_file_give_the_elements_of_the_whole(spark, tmp_path):
+    """The reader is mocked by cuts after commas; each block is worked on alone."""
+    rng = random.Random(1)
+    for text in array_texts():
+        content = text.encode()
+        pieces = content.removeprefix(records._BOM).split(b",")
+        if len(pieces) > 1 and not pieces[-1]:
+            pieces.pop()  # the reader drops a separator at the end
+        want = list(records.elements(content))
+        for _ in range(4):
+            cuts = sorted(rng.sample(range(1, len(pieces)), min(len(pieces) - 1, rng.randint(0, 6))))
+            groups = [pieces[a:b] for a, b in zip([0, *cuts], [*cuts, len(pieces)], strict=True)]
+            starts = [0, *[7 * (i + 1) for i in range(len(groups) - 1)]]
+            rows = [
+                {records.VALUE: p, "path": "p", records.FILE: "f", "block": s, "size": len(content)}
+                for s, g in zip(starts, groups, strict=True) for p in g
+            ]
+            batches = [pa.RecordBatch.from_pylist(rows[i : i + 3]) for i in range(0, len(rows), 3)]
+            entry = {}
+            if len(groups) > 1:
+                sums = pa.Table.from_batches(records._summaries(iter(batches)))
+                entry = {r["block"]: r for r in records._entries(sums).to_pylist()}
+            nothing = dict.fromkeys(("ended", "open", "depth", "last", "trailing"))
+            rows = [r | {k: entry.get(r["block"], nothing)[k] for k in nothing} for r in rows]
+            schema = pa.RecordBatch.from_pylist(rows).schema
+            batches = [pa.RecordBatch.from_pylist(rows[i : i + 3], schema=schema) for i in range(0, len(rows), 3)]
+            parts = [r for b in records._split_blocks(iter(batches)) for r in b.to_pylist()]
+            got = [(r[records.VALUE], r[records.PLACED]) for r in parts if r["kind"] == records.WHOLE]
+            left = sorted((r for r in parts if r["kind"] != records.WHOLE), key=lambda r: (r["block"], r["kind"]))
+            if left:
+                for b in records._put_together(iter([pa.RecordBatch.from_pylist([r]) for r in left])):
+                    got += [(r[records.VALUE], True) for r in b.to_pylist()]
+            inside = sorted(v for v, placed in got if placed)
+            assert inside == sorted(v for v, placed in want if placed), (text, cuts)
+            outside = [b"".join(v.split()) for v, placed in got if not placed]
+            assert b"".join(outside).replace(b",", b"") == b"".join(b"".join(v.split()) for v, p in want if not p).replace(b",", b""), text
+
+
+def test_one_array_file_is_read_by_many_tasks(spark, run, tmp_path):
+    names = {"spark.sql.files.maxPartitionBytes": "4096", "spark.sql.files.openCostInBytes": "1"}
+    rows = [{"charger_id": f"c{i}", "city": 'A "b", [c]' if i % 7 else "x" * 9000, "location": {"lat": i, "lon": 1}} for i in range(900)]
+    (tmp_path / "big").mkdir()
+    content = json.dumps(rows, ensure_ascii=False)
+    (tmp_path / "big" / "one.json").write_text(content)
+    (tmp_path / "big" / "cut.json").write_text("﻿" + content[:50_001])
+    (tmp_path / "big" / "small.json").write_text('[{"charger_id": "s"}, 5,]')
+    (tmp_path / "big" / "packed.json.gz").write_bytes(gzip.compress(content.encode()))
+    try:
+        for name, value in names.items():
+            spark.conf.set(name, value)
+        landed = raw.land_variant_array(spark, str(tmp_path / "big"), run.stamp())
+        good, bad = raw.good_and_bad(landed)
+        found = good.groupBy("_source_file").count().collect()
+        records_of = {f: [r for r in records.elements((tmp_path / "big" / f).read_bytes())] for f in ("one.json", "cut.json")}
+        assert dict(found) == {"one.json": 900, "cut.json": len(records_of["cut.json"]) - 1, "small.json": 1, "packed.json.gz": 900}
+        assert sorted(r._bad_line[:9] for r in bad.collect()) == sorted(["5", "", records_of["cut.json"][-1][0].decode()[:9]])
+        ids = good.where("_source_file = 'one.json'").selectExpr("variant_get(raw_data, '$.charger_id', 'string') AS c", "variant_get(raw_data, '$.city', 'string') AS city")
+        assert {tuple(r) for r in ids.collect()} == {(r["charger_id"], r["city"]) for r in rows}
+        blocks = spark.read.option("lineSep", ",").text(str(tmp_path / "big" / "one.json")).rdd.getNumPartitions()
+        assert blocks > 50
+    finally:
+        for name in names:
+            spark.conf.unset(name)
