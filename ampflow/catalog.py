@@ -9,7 +9,7 @@ import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ampflow.config import AGE_BAND, MARKET_BAND, TENURE_BAND
@@ -105,19 +105,23 @@ def raw_variant_land(w):
 
 @query
 def raw_variant_land_array(w):
-    """Array files, all but one with a fault: cut off, a repeated key, no object, bad bytes; and two that are no array."""
+    """Array files of at most 2,000 records, four of five with a fault: cut off, a repeated key, no object, bad bytes.
+
+    Two more are no array.
+    """
     path = _work_folder(w, "raw_arrays")
+    number = _number("charger_id")
     rows = w.table("stg_chargers").select(
-        (_number("charger_id") % 5).alias("file"), F.struct("charger_id", stage.as_json("chargers").alias("json")).alias("r")
+        (F.floor(number / 10_000) * 5 + number % 5).alias("file"), F.struct("charger_id", stage.as_json("chargers").alias("json")).alias("r")
     )
     joined = F.array_join(F.transform(F.array_sort(F.collect_list("r")), lambda r: r["json"]), ",\n")
     files = rows.groupBy("file").agg(joined.alias("records"))
     ends = {0: "]", 1: ', {"charger_id": "cut', 2: ', {"x": 2, "x": 3}]', 3: ", 17 ]"}
     ending = F.concat(F.lit(', {"x": "'), F.unhex(F.lit("FF")).cast("string"), F.lit('"}]'))
     for file, end in ends.items():
-        ending = F.when(F.col("file") == file, end).otherwise(ending)
+        ending = F.when(F.col("file") % 5 == file, end).otherwise(ending)
     lone = F.when(F.col("id") == 0, '{"charger_id": "alone"}').otherwise("no record").alias("value")
-    others = w.spark.range(2).select((F.col("id") + 5).alias("file"), lone)
+    others = w.spark.range(2).select((-1 - F.col("id")).alias("file"), lone)
     arrays = files.select("file", F.concat(F.lit("["), "records", ending).alias("value"))
     arrays.unionByName(others).write.partitionBy("file").text(path)  # a folder, and so a file, for each
     landed = raw.land_variant_array(w.spark, path, TEST_RUN.stamp())
@@ -129,6 +133,29 @@ def raw_variant_land_array(w):
     )
 
 
+@query
+def raw_variant_land_large_array(w):
+    """Sessions in array files of up to 200,000 records, each read by as many tasks as it has blocks."""
+    path = _work_folder(w, "raw_large_arrays")
+    number = _number("session_id")
+    rows = w.table("stg_transactions").select(
+        F.floor(number / 200_000).alias("file"), "session_id", stage.as_json("transactions").alias("json")
+    )
+    # A file has a record a line; the window is no larger than a file.
+    order = Window.partitionBy("file").orderBy("session_id")
+    ends = rows.withColumns({"first": F.row_number().over(order) == 1, "last": F.lead("session_id").over(order).isNull()})
+    lines = ends.select(
+        "file", "session_id", F.concat(F.when(F.col("first"), "[").otherwise(""), "json", F.when(F.col("last"), "]").otherwise(",")).alias("value")
+    )
+    lines.repartition("file").sortWithinPartitions("file", "session_id").select("file", "value").write.partitionBy("file").text(path)
+    landed = raw.land_variant_array(w.spark, path, TEST_RUN.stamp())
+    good, bad = raw.good_and_bad(landed)
+    sessions = stage.stg_transactions(good, TEST_RUN).drop("_source_file", "_loaded_at", "_dbt_updated_at")
+    return sessions.withColumn("bad_line", F.lit(None).cast("string")).unionByName(
+        bad.select(F.col("_bad_line").alias("bad_line")), allowMissingColumns=True
+    )
+
+
 @query
 def load_with_quarantine(w):
     """Sessions arrive as lines and are loaded twice; some are cut short, repeat a key, or have text as their energy."""

@@ -308,9 +308,14 @@ SELECT charger_id, city, latitude, longitude, installed_at, CAST(NULL AS VARCHAR
 SELECT * EXCLUDE (_source_file) REPLACE ({STAMP} AS _loaded_at), {STAMP} AS _dbt_updated_at FROM stg_chargers""",
     "raw_variant_land_array": """
 SELECT charger_id, city, latitude, longitude, CAST(NULL AS VARCHAR) AS bad_line FROM stg_chargers
-UNION ALL SELECT NULL, NULL, NULL, NULL, bad_line FROM (VALUES ('{"charger_id": "cut'), ('{"x": 2, "x": 3}'), ('17'),
-  ('{"x": "' || chr(65533) || '"}'), ('no record')) b(bad_line)
-UNION ALL SELECT NULL, NULL, NULL, NULL, '{"charger_id": "alone"}'""",
+UNION ALL SELECT NULL, NULL, NULL, NULL, bad_line
+FROM (SELECT DISTINCT CAST(substr(charger_id, 2) AS BIGINT) // 10000 AS block, CAST(substr(charger_id, 2) AS BIGINT) % 5 AS fault FROM stg_chargers) f
+  JOIN (VALUES (1, '{"charger_id": "cut'), (2, '{"x": 2, "x": 3}'), (3, '17'), (4, '{"x": "' || chr(65533) || '"}')) b(fault, bad_line)
+  USING (fault)
+UNION ALL SELECT NULL, NULL, NULL, NULL, bad_line FROM (VALUES ('no record'), ('{"charger_id": "alone"}')) b(bad_line)""",
+    "raw_variant_land_large_array": """
+SELECT session_id, user_id, charger_id, start_time, end_time, kwh_consumed, payment_method, status,
+  CAST(NULL AS VARCHAR) AS bad_line FROM stg_transactions""",
     "load_with_quarantine": f"""
 SELECT CASE WHEN NOT bad THEN session_id END AS session_id, CASE WHEN NOT bad THEN user_id END AS user_id,
   CASE WHEN NOT bad THEN charger_id END AS charger_id, CASE WHEN NOT bad THEN status END AS status,
