@@ -13,6 +13,7 @@ encoded whole. Repeated rows stay. Lone surrogates cannot occur in Spark strings
 from __future__ import annotations
 
 import hashlib
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +31,8 @@ TOKENIZER = "word_bpe_49k.json"
 FRAGMENTS = 30_000
 #: Rank of a pair that no merge has.
 NEVER = 1 << 60
+#: Units from which on the pairs of a fragment wait in a heap.
+HEAPED = 40
 
 
 class ForcedBoundaryBpe:
@@ -59,6 +62,8 @@ class ForcedBoundaryBpe:
 
     def _merged(self, fragment: tuple[str, ...]) -> tuple[int, ...]:
         """Ids of a fragment: the best ranked pair, leftmost first, is merged until none is left."""
+        if len(fragment) >= HEAPED:
+            return self._merged_by_heap(fragment)
         units, rank = list(fragment), self.ranks.get
         ranks = [rank(pair, NEVER) for pair in zip(units, units[1:], strict=False)]
         while ranks:
@@ -74,6 +79,33 @@ class ForcedBoundaryBpe:
                 ranks[at - 1] = rank((units[at - 1], units[at]), NEVER)
         return tuple([self.file.vocabulary[u] for u in units])
 
+    def _merged_by_heap(self, fragment: tuple[str, ...]) -> tuple[int, ...]:
+        """The same in n log n: units are linked, and pairs that a merge has ended are passed over when popped."""
+        units: list[str | None] = list(fragment)
+        after, before = list(range(1, len(units) + 1)), list(range(-1, len(units) - 1))
+        waiting: list[tuple[int, int, str, str]] = []
+
+        def offer(left: int) -> None:
+            rank = self.ranks.get((units[left], units[after[left]]))
+            if rank is not None:
+                heapq.heappush(waiting, (rank, left, units[left], units[after[left]]))
+
+        for i in range(len(units) - 1):
+            offer(i)
+        while waiting:
+            _, left, a, b = heapq.heappop(waiting)
+            right = after[left]
+            if units[left] != a or right == len(units) or units[right] != b:
+                continue
+            units[left], units[right] = a + b, None
+            after[left] = after[right]
+            if after[left] < len(units):
+                before[after[left]] = left
+                offer(left)
+            if before[left] >= 0:
+                offer(before[left])
+        return tuple([self.file.vocabulary[u] for u in units if u is not None])
+
     def cut(self, word: str) -> list[tuple[str, ...]]:
         """Fragments of a word between certain cuts."""
         symbols = self.file.symbols

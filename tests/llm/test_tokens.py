@@ -41,6 +41,20 @@ def test_random_strings_match_the_library(codec):
         assert np.frombuffer(own.encode(text), np.uint32).tolist() == want
 
 
+@pytest.mark.parametrize("word", ["a" * 300_000, "=" * 200_000, "é" * 50_000, "internationalisation" * 20_000, "ab" * 30_000 + "!?" * 30_000])
+def test_long_words_take_n_log_n(codec, word):
+    assert codec.encode(word).tolist() == library_ids(word)
+    assert all(len(w) <= 64 for w in codec.words)
+
+
+def test_heap_and_sweep_merge_alike(codec):
+    rng = random.Random(6)
+    for _ in range(400):
+        units = [codec.file.symbols[b] for b in "".join(rng.choices("etaoinshrdlu=.-", k=rng.randint(1, 39))).encode()]
+        units[-1] += codec.file.suffix
+        assert codec._merged(tuple(units)) == codec._merged_by_heap(tuple(units))
+
+
 def test_cuts_are_certain(codec):
     assert len(codec.cut("ab")) >= 1
     for word in ("internationalisation", "thndreereath", "q\x00z", "éèà"):
