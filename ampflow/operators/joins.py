@@ -22,19 +22,23 @@ def frequent_keys(df: DataFrame, key: str, rows_per_task: int) -> DataFrame:
 def left_join_many(left: DataFrame, right: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """``left`` LEFT JOIN ``right`` USING (key), also when one key owns a large share of ``right``.
 
-    Adaptive execution splits a skewed left side of a left outer join but not a skewed right side. Keys with more than
-    ``rows_per_task`` right rows, however many they are, are joined apart: their right rows are dealt to several slices
-    and their left rows are repeated once per slice. A hot key has right rows by definition, so that branch is an inner
-    join; all other left rows, including unmatched and NULL keys, take the plain join, which may use buckets.
-    ``right`` should be a table scan (or narrow over one), which re-reads its rows in the same order on a retry.
+    Adaptive execution splits a skewed left side of a left outer join but not a skewed right side. So keys with more than
+    ``rows_per_task`` right rows, however many they are, are dealt to slices: their right rows get one slice each, their
+    left rows a copy for every slice, all other rows slice 0, and one join by key and slice serves all. A copy that meets
+    nothing in its slice is no row without a match, as a hot key has right rows by definition, and is dropped.
+    Each side is read once; the keys of ``right`` are counted before. ``right`` should be a table scan (or narrow over
+    one), which re-reads its rows in the same order on a retry.
     """
     # One hot key takes rows_per_task rows at least: a trillion rows have 200,000 of them, a few megabytes.
     hot = F.broadcast(frequent_keys(right, key, rows_per_task))
-    cold = left.join(hot, key, "left_anti").join(right.join(hot, key, "left_anti"), key, "left")
-    dealt = right.join(hot, key).withColumn("_slice", F.pmod(F.monotonically_increasing_id(), F.col("_slices")))
-    repeated = left.join(hot, key).withColumn("_slice", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_slices") - 1)))
-    apart = repeated.drop("_slices").join(dealt.drop("_slices"), [key, "_slice"]).drop("_slice")
-    return cold.unionByName(apart)
+    zero = F.lit(0).cast("long")
+    dealt = right.join(hot, key, "left").withColumns(
+        {"_slice": F.coalesce(F.pmod(F.monotonically_increasing_id(), F.col("_slices")), zero), "_met": F.lit(True)}
+    )
+    copies = F.explode(F.sequence(zero, F.coalesce(F.col("_slices"), F.lit(1)) - 1))
+    asked = left.join(hot, key, "left").withColumn("_slice", copies)
+    joined = asked.join(dealt.drop("_slices"), [key, "_slice"], "left")
+    return joined.where(F.col("_slices").isNull() | F.col("_met")).drop("_slices", "_slice", "_met")
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:

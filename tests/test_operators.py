@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import math
 import random
+import re
 from collections import Counter
 from datetime import datetime, timezone
 from decimal import Decimal
@@ -145,6 +146,16 @@ def test_hot_left_join_equals_plain_join(spark):
     assert values(joins.frequent_keys(right, "k", 20)) == [("hot", 15), ("warm", 2)]
 
 
+def test_each_side_of_a_hot_join_is_read_once(spark, tmp_path):
+    left, right = hot_inputs(spark)
+    left.write.parquet(f"{tmp_path}/left")
+    right.write.parquet(f"{tmp_path}/right")
+    joined = joins.left_join_many(spark.read.parquet(f"{tmp_path}/left"), spark.read.parquet(f"{tmp_path}/right"), "k", 20)
+    scans = [set(re.sub(r"#\d+L?", "", s).split(",")) for s in re.findall(r"FileScan parquet \[([^\]]*)\]", plan_of(joined))]
+    assert sum("l" in s for s in scans) == 1 and sum("r" in s for s in scans) == 1
+    assert joined.where("k = 'hot'").count() == 1500
+
+
 def test_every_hot_key_is_split_however_many(spark):
     right = spark.range(9000).select((F.col("id") % 900).alias("k"), F.col("id").alias("r"))
     left = spark.range(0, 1000, 7).select(F.col("id").alias("k"), F.lit(1).alias("l"))
