@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ampflow.operators.joins import orphans, union_all
+from ampflow.operators.joins import union_all
 from ampflow.session import local_table
 
 UNIQUE, NOT_NULL, ACCEPTED, RELATED = "unique", "not_null", "accepted_values", "relationships"
@@ -62,59 +62,49 @@ def _quoted(text: str) -> str:
     return f"'{escaped}'"
 
 
-Numbered = Sequence[tuple[int, Rule]]
+def _cells(table: str, numbered: Sequence[tuple[int, Rule]]) -> list[str]:
+    """What the rows of a table say about the rules: ``(rule, value, parent)`` as SQL, NULL if nothing.
 
-
-def _null_failures(df: DataFrame, rules: Numbered) -> DataFrame:
-    counts = [f"named_struct('rule', {i}, 'failures', count_if(({r.column}) IS NULL))" for i, r in rules]
-    return df.selectExpr(f"array({', '.join(counts)}) AS counts").selectExpr("inline(counts)")
-
-
-def _value_failures(df: DataFrame, rules: Numbered) -> DataFrame:
-    """Failures of the unique and accepted-values rules of one table from a single (rule, value) count.
-
-    Accepted values are left out before anything is shuffled; only the values that a unique rule has to count are.
+    Only failing rows speak for not-null and accepted-values rules. The keys of a relationship come from both tables.
     """
+    out = []
 
-    def cell(number: int, rule: Rule) -> str:
-        held = f"named_struct('rule', {number}, 'value', CAST({rule.column} AS STRING))"
-        listed = ", ".join(_quoted(_text_of(v)) for v in rule.values)
-        failing = f"CAST({rule.column} AS STRING) NOT IN ({listed})" if rule.kind == ACCEPTED else f"({rule.column}) IS NOT NULL"
-        return f"CASE WHEN {failing} THEN {held} END"
+    def cell(number: int, column: str, parent: bool, speaks: str) -> None:
+        value = f"CAST({column} AS STRING)"
+        out.append(f"CASE WHEN {speaks} THEN named_struct('rule', {number}, 'value', {value}, 'parent', {str(parent).lower()}) END")
 
-    unique = ", ".join(str(i) for i, r in rules if r.kind == UNIQUE) or "-1"
-    cells = ", ".join(cell(i, r) for i, r in rules)
-    return (
-        df.selectExpr(f"inline(array_compact(array({cells})))")
-        .groupBy("rule", "value")
-        .count()
-        .groupBy("rule")
-        .agg(F.expr(f"count_if(rule NOT IN ({unique}) OR count > 1) AS failures"))
-    )
+    for number, rule in numbered:
+        column = rule.column
+        if rule.table == table:
+            listed = ", ".join(_quoted(_text_of(v)) for v in rule.values)
+            speaks = {NOT_NULL: f"({column}) IS NULL", ACCEPTED: f"CAST({column} AS STRING) NOT IN ({listed})"}
+            cell(number, column, False, speaks.get(rule.kind, f"({column}) IS NOT NULL"))
+        if rule.kind == RELATED and rule.parent == table:
+            cell(number, rule.parent_column, True, f"({rule.parent_column}) IS NOT NULL")
+    return out
 
 
-def _lost_parents(tables: Mapping[str, DataFrame], number: int, rule: Rule) -> DataFrame:
-    lost = orphans(tables[rule.table], rule.column, tables[rule.parent], rule.parent_column)
-    return lost.agg(F.lit(number).alias("rule"), F.coalesce(F.sum("rows"), F.lit(0)).alias("failures"))
+def _failures(kind: str) -> str:
+    """What a value with ``n`` rows, and ``held`` by a parent or not, adds to the failures of a rule."""
+    return {NOT_NULL: "n", RELATED: "IF(held, 0, n)", UNIQUE: "IF(n > 1, 1, 0)", ACCEPTED: "1"}[kind]
 
 
 def evaluate(rules: Sequence[Rule], tables: Mapping[str, DataFrame]) -> DataFrame:
     """One row per rule: table, rule, column, argument, severity, failures, status.
 
-    Per table there is one aggregate for all not-null rules and one for all unique and accepted-values rules; each
-    relationship is an anti-join of pre-counted child keys.
+    Every table is read once, whatever the number of its rules, and the values of all rules are counted in one shuffle;
+    copies of a value combine before it. The two columns of a relationship have one type.
     """
     numbered = list(enumerate(rules))
-    counts = []
-    for name in dict.fromkeys(r.table for r in rules):
-        group = [(i, r) for i, r in numbered if r.table == name]
-        nulls = [(i, r) for i, r in group if r.kind == NOT_NULL]
-        valued = [(i, r) for i, r in group if r.kind in (UNIQUE, ACCEPTED)]
-        if nulls:
-            counts.append(_null_failures(tables[name], nulls))
-        if valued:
-            counts.append(_value_failures(tables[name], valued))
-        counts += [_lost_parents(tables, i, r) for i, r in group if r.kind == RELATED]
+    parts = []
+    for name in dict.fromkeys([r.table for r in rules] + [r.parent for r in rules if r.parent]):
+        parts.append(tables[name].selectExpr(f"inline(array_compact(array({', '.join(_cells(name, numbered))})))"))
+    counted = union_all(parts).groupBy("rule", "value").agg(
+        F.expr("count_if(NOT parent)").alias("n"), F.expr("bool_or(parent)").alias("held")
+    )
+    kinds = {k: ", ".join(str(i) for i, r in numbered if r.kind == k) for k in (NOT_NULL, RELATED, UNIQUE, ACCEPTED)}
+    added = " ".join(f"WHEN rule IN ({own}) THEN {_failures(k)}" for k, own in kinds.items() if own)
+    counts = counted.groupBy("rule").agg(F.expr(f"sum(CASE {added} END)").alias("failures"))
 
     labels = local_table(
         next(iter(tables.values())).sparkSession,
@@ -130,7 +120,7 @@ def evaluate(rules: Sequence[Rule], tables: Mapping[str, DataFrame]) -> DataFram
     failures = F.coalesce("failures", F.lit(0))
     status = F.when(failures == 0, "pass").when(F.col("severity") == "warn", "warn").otherwise("fail")
     # A table without any value yields no count for its value rules; such a rule has no failures.
-    return labels.join(union_all(counts), "rule", "left").select(
+    return labels.join(counts, "rule", "left").select(
         "table_name",
         "rule_name",
         "column_name",
