@@ -15,7 +15,8 @@ from pyspark.sql import types as T
 
 from ampflow.functions.measures import is_true, rows_where
 from ampflow.operators.joins import union_all, with_row
-from ampflow.operators.quantiles import float_quantiles
+from ampflow.operators.quantiles import float_quantiles, long_quantiles
+from ampflow.session import local_table
 
 _QUARTERS = (0.25, 0.5, 0.75)
 
@@ -339,3 +340,89 @@ def profile_time_series(df: DataFrame, ts: str, lags: Sequence[int] = (1, 7)) ->
         F.coalesce(F.max("_gap"), F.lit(0)).alias("longest_step_days"),
         *[F.corr("n", f"_lag{k}").alias(f"autocorrelation_{k}") for k in lags],
     )
+
+
+def _kind(kind: T.DataType) -> str:
+    if isinstance(kind, T.NumericType):
+        return "number"
+    if isinstance(kind, (T.TimestampNTZType, T.DateType)):
+        return "time"
+    return "flag" if isinstance(kind, T.BooleanType) else "text"
+
+
+def _reading(column: str, kind: str) -> str:
+    """The numeric reading of a column as SQL: numbers as doubles, times as seconds since 1970, none for others."""
+    if kind == "time":
+        instant = f"CAST({column} AS TIMESTAMP_NTZ)"
+        return (
+            f"CAST(UNIX_DATE(CAST({instant} AS DATE)) * 86400L + HOUR({instant}) * 3600 + MINUTE({instant}) * 60"
+            f" + SECOND({instant}) AS DOUBLE)"
+        )
+    return f"CAST({column} AS DOUBLE)" if kind == "number" else "CAST(NULL AS DOUBLE)"
+
+
+def profile_frames(frames: Mapping[str, DataFrame]) -> DataFrame:
+    """One row for every column of every frame: missing, distinct, once-only and most frequent values, moments, quartiles,
+    lengths.
+
+    Each frame is summed up by one aggregate of mergeable states. The values of all columns of all frames are counted in
+    one shuffle, where copies combine first; distinct, once-only and top values are read off these counts, so they are
+    exact. The quartiles of all numbers and times share three passes.
+    """
+    fields = [(name, i, f.name, f.dataType) for name, df in frames.items() for i, f in enumerate(df.schema.fields, 1)]
+    own = {name: [(n, f"`{c}`", _kind(t)) for n, (frame, _, c, t) in enumerate(fields) if frame == name] for name in frames}
+    states, values, numbers = [], [], []
+    for name, df in frames.items():
+        structs, cells, readings = [], [], []
+        for number, column, kind in own[name]:
+            x = _reading(column, kind)
+            text = f"LENGTH({column})" if kind == "text" else "CAST(NULL AS INT)"
+            structs.append(
+                f"named_struct('number', {number}, 'n_rows', COUNT(1), 'n_missing', COUNT_IF({column} IS NULL),"
+                f" 'n_zeros', COUNT_IF({x} = 0), 'n_negative', COUNT_IF({x} < 0), 'mean', AVG({x}), 'std', STDDEV_SAMP({x}),"
+                f" 'min', MIN({x}), 'max', MAX({x}), 'g1', SKEWNESS({x}), 'g2', KURTOSIS({x}),"
+                f" 'min_length', MIN({text}), 'max_length', MAX({text}), 'mean_length', AVG({text}))"
+            )
+            shown = f"{column} + 0D" if "double" in df.schema[column.strip("`")].dataType.simpleString() else column
+            cells.append(f"CASE WHEN {column} IS NOT NULL THEN named_struct('number', {number}, 'value', CAST({shown} AS STRING)) END")
+            if kind in ("number", "time"):
+                readings.append(f"named_struct('measure', {number}, 'value', {x})")
+        states.append(df.selectExpr(f"ARRAY({', '.join(structs)}) AS states").selectExpr("INLINE(states)"))
+        values.append(df.selectExpr(f"INLINE(ARRAY_COMPACT(ARRAY({', '.join(cells)})))"))
+        if readings:
+            numbers.append(df.selectExpr(f"INLINE(ARRAY({', '.join(readings)}))"))
+    counted = union_all(values).groupBy("number", "value").agg(F.count(F.lit(1)).alias("n"))
+    spread = counted.groupBy("number").agg(
+        F.count(F.lit(1)).alias("n_distinct"), F.expr("COUNT_IF(n = 1)").alias("n_unique"), F.max("n").alias("freq")
+    )
+    # One row per column of the frames.
+    most = F.broadcast(spread.select("number", F.col("freq").alias("n")))
+    first = counted.join(most, ["number", "n"]).groupBy("number").agg(F.min("value").alias("first"))
+    found = union_all(states).join(spread, "number", "left").join(first, "number", "left")
+    if numbers:
+        found = found.join(long_quantiles(union_all(numbers), _QUARTERS).withColumnRenamed("measure", "number"), "number", "left")
+    else:
+        found = found.selectExpr("*", *[f"CAST(NULL AS DOUBLE) AS p{i}" for i in range(3)])
+    labels = local_table(
+        next(iter(frames.values())).sparkSession,
+        {
+            "number": range(len(fields)),
+            "frame_name": [f[0] for f in fields],
+            "position": [f[1] for f in fields],
+            "column_name": [f[2] for f in fields],
+            "data_type": [f[3].simpleString() for f in fields],
+            "kind": [_kind(f[3]) for f in fields],
+        },
+    )
+    n = "CAST(n_rows - n_missing AS DOUBLE)"
+    return labels.join(found, "number").selectExpr(
+        "frame_name", "CAST(position AS INT) AS position", "column_name", "data_type", "kind", "n_rows", "n_missing",
+        "TRY_DIVIDE(CAST(n_missing AS DOUBLE), CAST(n_rows AS DOUBLE)) AS p_missing",
+        "COALESCE(n_distinct, 0L) AS n_distinct", "COALESCE(n_unique, 0L) AS n_unique",
+        "IF(kind IN ('text', 'flag'), first, NULL) AS top", "freq",
+        "IF(kind = 'number', n_zeros, NULL) AS n_zeros", "IF(kind = 'number', n_negative, NULL) AS n_negative",
+        "mean", "std", "min", "p0 AS p25", "p1 AS p50", "p2 AS p75", "max",
+        f"IF(kind = 'number' AND {n} > 2, g1 * SQRT({n} * ({n} - 1)) / NULLIF({n} - 2, 0D), NULL) AS skewness",
+        f"IF(kind = 'number' AND {n} > 3, ({n} - 1) * (({n} + 1) * g2 + 6) / NULLIF(({n} - 2) * ({n} - 3), 0D), NULL) AS kurtosis",
+        "min_length", "max_length", "mean_length",
+    )

@@ -51,7 +51,7 @@ def instant_measure(column: str) -> Fixed:
     return Fixed(f"UNIX_MICROS(CAST({column} AS TIMESTAMP))", 1_000_000, 17)
 
 
-def with_sortable(df: DataFrame, names: Sequence[str]) -> DataFrame:
+def with_sortable(df: DataFrame, names: Sequence[str], *others: str) -> DataFrame:
     """Doubles as integers of the same order: biased exponent, then mantissa; infinities and NaN follow all others.
 
     Worked out in steps, each a projection, so that no expression is written out several times. The logarithm is rounded,
@@ -69,7 +69,7 @@ def with_sortable(df: DataFrame, names: Sequence[str]) -> DataFrame:
     }
     for step, text in steps.items():
         df = df.selectExpr("*", *[f"{text.format(x=n)} AS {n}_{step}" for n in names])
-    return df.selectExpr(*[f"CASE WHEN {n} < 0 THEN -{n}_key WHEN {n} IS NOT NULL THEN {n}_key END AS {n}" for n in names])
+    return df.selectExpr(*others, *[f"CASE WHEN {n} < 0 THEN -{n}_key WHEN {n} IS NOT NULL THEN {n}_key END AS {n}" for n in names])
 
 
 def from_sortable(key: str) -> str:
@@ -93,11 +93,15 @@ def _ranges(df: DataFrame, keys: Sequence[str], probs: Sequence[float], passes:
     wide = df.agg(
         *[F.expr(f"named_struct('measure', {i}, 'rows', COUNT({k}), 'low', MIN({k}), 'high', MAX({k}))").alias(k) for i, k in enumerate(keys)]
     )
+    return _fitted(wide.selectExpr(f"INLINE(ARRAY({', '.join(keys)}))"), probs, passes)
+
+
+def _fitted(ranges: DataFrame, probs: Sequence[float], passes: int) -> DataFrame:
+    """Ranges (measure, rows, low, high) with the bits of a range and of a pass, and the wanted ranks."""
     ranks = [f"{end}({p!r}D * (rows - 1)) AS {side}{i}" for i, p in enumerate(map(float, probs)) for side, end in (("lo", "FLOOR"), ("hi", "CEIL"))]
     bits = "LENGTH(BIN(SHIFTRIGHT(high, 1) - SHIFTRIGHT(low, 1))) + 1"
     width = f"CAST(CEIL(({bits}) / {passes}) AS INT) AS width"
-    rows = wide.selectExpr(f"INLINE(ARRAY({', '.join(keys)}))").where("rows > 0")
-    return rows.selectExpr("measure", "rows", f"{bits} AS bits", width, *ranks)
+    return ranges.where("rows > 0").selectExpr("measure", "rows", f"{bits} AS bits", width, *ranks)
 
 
 def _inside(rows: DataFrame, cells: DataFrame, step: int, probs: Sequence[float]) -> DataFrame:
@@ -171,6 +175,23 @@ def float_quantiles(df: DataFrame, values: Mapping[str, Column], probs: Sequence
     return _one_row(_selected(with_sortable(numbers, names), names, probs, 64), list(values), probs, from_sortable)
 
 
+def long_quantiles(rows: DataFrame, probs: Sequence[float] = QUARTILES) -> DataFrame:
+    """Exact quantiles ``(measure, p0, p1, ..)`` of doubles in long form ``(measure, value)``, for any number of measures."""
+    passes = -(-64 // MAX_BITS)
+    keyed = with_sortable(rows.where("value IS NOT NULL"), ["value"], "measure").withColumnRenamed("value", "key")
+    cells = _fitted(keyed.groupBy("measure").agg(F.expr("COUNT(1)").alias("rows"), F.min("key").alias("low"), F.max("key").alias("high")), probs, passes)
+    for step in range(passes):
+        cells = _inside(keyed, cells, step, probs)
+    ends = [F.expr(f"MAX(IF({r} IS NOT NULL, cell, NULL))").alias(r) for r in _rank_names(probs)]
+    found = cells.groupBy("measure").agg(F.max("rows").alias("rows"), *ends)
+    found = found.selectExpr("measure", "rows", *[f"{from_sortable(r)} AS {r}" for r in _rank_names(probs)])
+    out = []
+    for i, p in enumerate(map(float, probs)):
+        part = f"({p!r}D * (rows - 1) - FLOOR({p!r}D * (rows - 1)))"
+        out.append(f"lo{i} + IF({part} = 0, 0D, {part} * (hi{i} - lo{i})) AS p{i}")
+    return found.selectExpr("measure", *out)
+
+
 @dataclass(frozen=True)
 class IqrRule:
     """Outlier rule on one measure: outside ``[q1 - k * iqr, q3 + k * iqr]``.

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from oracle.models import STAMP, hits, statement
 
 _MODEL_KEYS = (
@@ -124,10 +126,11 @@ SELECT charger_id, city, place, place_city, km FROM (
 QUALIFY row_number() OVER (PARTITION BY charger_id ORDER BY km, place) = 1"""
 
 
-def _described(column: str, units: str) -> str:
+def _described(column: str, units: str, kind: str) -> str:
+    digits = 0 if kind == "time" else 4
     return f"""
 SELECT '{column}' AS column_name, count(x) AS "count", NULL::BIGINT AS "unique", NULL::VARCHAR AS top,
-  NULL::BIGINT AS freq, ROUND(avg(x), 4) AS mean, ROUND(stddev_samp(x), 4) AS std, min(x) AS "min",
+  NULL::BIGINT AS freq, ROUND(avg(x), {digits}) AS mean, ROUND(stddev_samp(x), {digits}) AS std, min(x) AS "min",
   ROUND(quantile_cont(x, 0.25), 4) AS p25, ROUND(quantile_cont(x, 0.5), 4) AS p50,
   ROUND(quantile_cont(x, 0.75), 4) AS p75, max(x) AS "max"
 FROM (SELECT CAST({units} AS DOUBLE) AS x FROM eda_master) v"""
@@ -136,7 +139,7 @@ FROM (SELECT CAST({units} AS DOUBLE) AS x FROM eda_master) v"""
 def _categories(column: str) -> str:
     return f"""
 SELECT '{column}' AS column_name, CAST(sum(n) AS BIGINT) AS "count", count(*) AS "unique",
-  (SELECT min(v) FROM (SELECT {column} AS v, count(*) AS n FROM eda_master WHERE {column} IS NOT NULL GROUP BY 1) a
+  (SELECT CAST(min(v) AS VARCHAR) FROM (SELECT {column} AS v, count(*) AS n FROM eda_master WHERE {column} IS NOT NULL GROUP BY 1) a
    WHERE n = max(f.n)) AS top, max(n) AS freq, NULL::DOUBLE AS mean, NULL::DOUBLE AS std, NULL::DOUBLE AS "min",
   NULL::DOUBLE AS p25, NULL::DOUBLE AS p50, NULL::DOUBLE AS p75, NULL::DOUBLE AS "max"
 FROM (SELECT {column} AS v, count(*) AS n FROM eda_master WHERE {column} IS NOT NULL GROUP BY 1) f"""
@@ -151,15 +154,67 @@ SELECT '{column}' AS column_name, count(x) AS n, count(*) - count(x) AS n_missin
 FROM (SELECT CAST({column} AS DOUBLE) AS x FROM eda_master) v"""
 
 
-def _column_profile(position: int, column: str) -> str:
+def _column_profile(position: int, column: str, kind: str) -> str:
     return f"""
-SELECT {position} AS position, '{column}' AS column_name, r.n AS n_rows, r.missing AS n_missing,
+SELECT {position} AS position, '{column}' AS column_name, '{kind}' AS data_type, r.n AS n_rows, r.missing AS n_missing,
   r.missing::DOUBLE / r.n::DOUBLE AS p_missing, d.n_distinct, d.n_unique
 FROM (SELECT count(*) AS n, count(*) - count({column}) AS missing FROM stg_payments) r CROSS JOIN
   (SELECT count(*) AS n_distinct, {hits('n = 1')} AS n_unique
    FROM (SELECT {column}, count(*) AS n FROM stg_payments WHERE {column} IS NOT NULL GROUP BY 1) g) d"""
 
 
+#: Columns of the profiled frames: name, type, kind.
+_STAMPS = (("_loaded_at", "timestamp_ntz", "time"), ("_source_file", "string", "text"))
+FRAMES = {
+    "chargers": ("stg_chargers", (
+        ("charger_id", "string", "text"), ("city", "string", "text"), ("latitude", "double", "number"),
+        ("longitude", "double", "number"), ("installed_at", "timestamp_ntz", "time"), *_STAMPS)),
+    "payments": ("stg_payments", (
+        ("payment_id", "string", "text"), ("session_id", "string", "text"), ("user_id", "string", "text"),
+        ("amount", "decimal(10,2)", "number"), ("currency", "string", "text"), *_STAMPS)),
+    "users": ("stg_users", (
+        ("user_id", "string", "text"), ("name", "string", "text"), ("email", "string", "text"), ("tier", "string", "text"),
+        ("created_at", "timestamp_ntz", "time"), *_STAMPS)),
+    "transactions": ("stg_transactions", (
+        ("session_id", "string", "text"), ("user_id", "string", "text"), ("charger_id", "string", "text"),
+        ("start_time", "timestamp_ntz", "time"), ("end_time", "timestamp_ntz", "time"),
+        ("kwh_consumed", "decimal(10,4)", "number"), ("payment_method", "string", "text"), ("status", "string", "text"),
+        *_STAMPS)),
+    "master": ("eda_master", (
+        ("session_id", "string", "text"), ("user_id", "string", "text"), ("charger_id", "string", "text"),
+        ("payment_id", "string", "text"), ("tier", "string", "text"), ("installed_at", "timestamp_ntz", "time"),
+        ("city", "string", "text"), ("start_time", "timestamp_ntz", "time"), ("end_time", "timestamp_ntz", "time"),
+        ("charging_time", "double", "number"), ("kwh_consumed", "decimal(10,4)", "number"),
+        ("cost_per_kwh", "double", "number"), ("payment_method", "string", "text"), ("amount", "decimal(10,2)", "number"),
+        ("status", "string", "text"), ("is_invalid_location", "boolean", "flag"), ("is_invalid_amount", "boolean", "flag"),
+        ("is_outlier_amount", "boolean", "flag"), ("is_end_time_earlier", "boolean", "flag"),
+        ("is_negative_kwh", "boolean", "flag"), ("is_outlier_kwh_consumed", "boolean", "flag"),
+        ("is_outlier_charging_time", "boolean", "flag"), ("has_issues", "boolean", "flag"), ("total_issues", "int", "number"))),
+}
+
+
+def _profiled(frame: str, source: str, position: int, column: str, kind_of: str, kind: str) -> str:
+    x = {"number": f"CAST({column} AS DOUBLE)", "time": f"CAST(epoch({column}) AS DOUBLE)"}.get(kind, "NULL::DOUBLE")
+    digits = 0 if kind == "time" else 4
+    text = f"length({column})" if kind == "text" else "NULL::INTEGER"
+    number = kind == "number"
+    return f"""
+SELECT '{frame}' AS frame_name, {position} AS position, '{column}' AS column_name, '{kind_of}' AS data_type, '{kind}' AS kind,
+  n_rows, n_missing, ROUND(n_missing::DOUBLE / n_rows::DOUBLE, 4) AS p_missing, n_distinct, n_unique,
+  {"top" if kind in ("text", "flag") else "NULL::VARCHAR"} AS top, freq, {"n_zeros" if number else "NULL::BIGINT"} AS n_zeros,
+  {"n_negative" if number else "NULL::BIGINT"} AS n_negative, ROUND(mean, {digits}) AS mean, ROUND(std, {digits}) AS std,
+  low AS "min", ROUND(p25, 4) AS p25, ROUND(p50, 4) AS p50, ROUND(p75, 4) AS p75, high AS "max",
+  {"ROUND(skew, 4)" if number else "NULL::DOUBLE"} AS skewness, {"ROUND(kurt, 4)" if number else "NULL::DOUBLE"} AS kurtosis,
+  min_length, max_length, ROUND(mean_length, 4) AS mean_length
+FROM (SELECT count(*) AS n_rows, count(*) - count({column}) AS n_missing, {hits(f"{x} = 0")} AS n_zeros,
+    {hits(f"{x} < 0")} AS n_negative, avg({x}) AS mean, stddev_samp({x}) AS std, min({x}) AS low, max({x}) AS high,
+    quantile_cont({x}, 0.25) AS p25, quantile_cont({x}, 0.5) AS p50, quantile_cont({x}, 0.75) AS p75,
+    {f"skewness({x})" if number else "NULL"} AS skew, {f"kurtosis({x})" if number else "NULL"} AS kurt,
+    min({text}) AS min_length, max({text}) AS max_length, avg({text}) AS mean_length FROM {source}) r
+CROSS JOIN (SELECT count(*) AS n_distinct, {hits("n = 1")} AS n_unique, max(n) AS freq, min(CAST(v AS VARCHAR)) FILTER (n = most) AS top
+  FROM (SELECT {column} AS v, count(*) AS n, max(count(*)) OVER () AS most FROM {source} WHERE {column} IS NOT NULL GROUP BY 1) g) d"""
+
+
 def _union(parts) -> str:
     return "\nUNION ALL\n".join(parts)
 
@@ -171,10 +226,10 @@ def _counted(source: str, checks: dict[str, str]) -> str:
     )
 
 
-def _null_counts(source: str, columns: tuple[str, ...]) -> str:
+def _null_counts(source: str, columns) -> str:
     return _union(
-        f"SELECT {i} AS position, '{c}' AS column_name, {hits(f'{c} IS NULL')} AS null_count FROM {source}"
-        for i, c in enumerate(columns, 1)
+        f"SELECT {i} AS position, '{c}' AS column_name, '{kind}' AS data_type, {hits(f'{c} IS NULL')} AS null_count FROM {source}"
+        for i, (c, kind, _) in enumerate(columns, 1)
     )
 
 
@@ -453,45 +508,32 @@ SELECT cost_per_kwh, count(*) AS row_count FROM eda_master WHERE cost_per_kwh IS
     ),
     "issue_distribution": "SELECT total_issues, count(*) AS row_count FROM eda_master GROUP BY 1",
     "describe": _union(
-        [
-            _described("kwh_consumed", "kwh_consumed"),
-            _described("amount", "amount"),
-            _described("start_time", "epoch(start_time)"),
-            _categories("payment_method"),
-            _categories("status"),
-            _categories("city"),
-        ]
-    ),
-    "null_counts": _null_counts(
-        "stg_transactions",
-        (
-            "session_id", "user_id", "charger_id", "start_time", "end_time", "kwh_consumed", "payment_method", "status",
-        ),
+        _categories(c) if kind in ("text", "flag") else _described(c, f"epoch({c})" if kind == "time" else c, kind)
+        for c, _, kind in FRAMES["master"][1]
     ),
+    "null_counts": _null_counts("stg_transactions", FRAMES["transactions"][1]),
     "distinct_values": "SELECT DISTINCT city FROM stg_chargers",
     "histogram": """
-SELECT g.bin, count(e.bin) AS row_count FROM (SELECT CAST(unnest(range(30)) AS INTEGER) AS bin) g LEFT JOIN (
+SELECT g.bin, ROUND(any_value(low + g.bin * ((high - low) / 30)), 6) AS bin_start,
+  ROUND(any_value(low + (g.bin + 1) * ((high - low) / 30)), 6) AS bin_end, count(e.bin) AS row_count
+FROM (SELECT CAST(unnest(range(30)) AS INTEGER) AS bin) g CROSS JOIN (SELECT min(value) AS low, max(value) AS high FROM events) z LEFT JOIN (
   SELECT CAST(least(floor((value - low) / ((high - low) / 30)), 29) AS INTEGER) AS bin FROM events
   CROSS JOIN (SELECT min(value) AS low, max(value) AS high FROM events) r) e ON g.bin = e.bin GROUP BY 1""",
-    "profile_table": _union(_moments(c) for c in ("kwh_consumed", "amount", "charging_time")),
+    "profile_table": _union(_moments(c) for c, _, kind in FRAMES["master"][1] if kind == "number"),
+    "profile_frames": _union(
+        _profiled(frame, source, i, *column) for frame, (source, columns) in FRAMES.items() for i, column in enumerate(columns, 1)
+    ),
     "profile_columns": _union(
-        _column_profile(i, c) for i, c in enumerate(("payment_id", "session_id", "amount", "currency"), 1)
+        _column_profile(i, c, kind) for i, (c, kind, _) in enumerate(FRAMES["payments"][1], 1)
     ),
     "profile_correlations": _union(
         f"SELECT '{a}' AS column_a, '{b}' AS column_b, ROUND(corr({a}::DOUBLE, {b}::DOUBLE), 6) AS correlation "
         "FROM eda_master"
-        for a, b in (
-            ("kwh_consumed", "amount"),
-            ("kwh_consumed", "charging_time"),
-            ("kwh_consumed", "cost_per_kwh"),
-            ("amount", "charging_time"),
-            ("amount", "cost_per_kwh"),
-            ("charging_time", "cost_per_kwh"),
-        )
+        for a, b in combinations([c for c, _, kind in FRAMES["master"][1] if kind == "number"], 2)
     ),
     "profile_duplicates": """
-SELECT CAST(sum(n) AS BIGINT) AS n_rows, CAST(sum(n - 1) AS BIGINT) AS n_duplicates
-FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber) g""",
+SELECT count(*) AS n_rows, count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM lineitem) d) AS n_duplicates
+FROM (SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_orderkey % 5 = 0) a""",
     "profile_time_series": """
 SELECT min(day) AS first_day, max(day) AS last_day, count(*) AS days_with_rows,
   CAST(COALESCE(sum(step - 1), 0) AS BIGINT) AS days_without_rows, COALESCE(max(step), 0) AS longest_step_days,

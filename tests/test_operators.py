@@ -389,3 +389,26 @@ def test_quantiles_of_instants(spark):
     df = spark.createDataFrame([(t,) for t in times], "t timestamp_ntz")
     row = quantiles.fixed_quantiles(df, {"t": quantiles.instant_measure("t")}, (0.5,)).first()
     assert row["t_p0"] / 1e6 == datetime(2025, 1, 1, 0, 0, 15, 250_000, tzinfo=timezone.utc).timestamp()
+
+
+def test_profile_of_frames(spark):
+    odd = spark.createDataFrame([(1, "a", None, True), (2, "bb", -0.0, None), (2, None, 0.0, True), (None, "bb", 2.5, False)], "n int, `s t` string, x double, f boolean")
+    empty = spark.createDataFrame([], "d date, y decimal(5,1)")
+    rows = {(r.frame_name, r.column_name): r for r in profile.profile_frames({"odd": odd, "empty": empty}).collect()}
+    assert [k for k, _ in sorted(rows.items(), key=lambda i: (i[1].frame_name, i[1].position))] == [
+        ("empty", "d"), ("empty", "y"), ("odd", "n"), ("odd", "s t"), ("odd", "x"), ("odd", "f")
+    ]
+    n, s, x, f = (rows["odd", c] for c in ("n", "s t", "x", "f"))
+    assert (n.n_missing, n.n_distinct, n.n_unique, n.freq, n.top, n.p50, n.max, n.kind) == (1, 2, 1, 2, None, 2.0, 2.0, "number")
+    assert (s.top, s.freq, s.min_length, s.max_length, s.mean, s.p_missing) == ("bb", 2, 1, 2, None, 0.25)
+    assert (x.n_distinct, x.n_zeros, x.n_negative, x.p25, x.p75) == (2, 2, 0, 0.0, 1.25)
+    assert (f.kind, f.top, f.freq, f.n_distinct) == ("flag", "true", 2, 2)
+    assert (rows["empty", "y"].n_rows, rows["empty", "y"].p_missing, rows["empty", "d"].p50, rows["empty", "d"].n_distinct) == (0, None, None, 0)
+
+
+def test_long_quantiles_of_many_measures(spark):
+    rng = random.Random(2)
+    numbers = {m: [rng.gauss(m, 10.0**m) for _ in range(rng.randint(1, 90))] for m in range(7)}
+    rows = spark.createDataFrame([(m, x) for m, xs in numbers.items() for x in xs] + [(9, None)], "measure int, value double")
+    got = {r.measure: (r.p0, r.p1) for r in quantiles.long_quantiles(rows, (0.25, 0.9)).collect()}
+    assert got == {m: tuple(pytest.approx(linear(sorted(xs), p), rel=1e-12) for p in (0.25, 0.9)) for m, xs in numbers.items()}
