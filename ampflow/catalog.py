@@ -14,14 +14,15 @@ from pyspark.sql import functions as F
 
 from ampflow.config import AGE_BAND, MARKET_BAND, TENURE_BAND
 from ampflow.functions import measures, parsing
-from ampflow.operators import joins, profile, quantiles, ranking, rules
+from ampflow.operators import bitmaps, joins, profile, quantiles, ranking, rules
 from ampflow.operators.distinct import distinct_counts
 from ampflow.operators.nearest import nearest_place
 from ampflow.plans import curated, dimensions, eda, facts, marts, monitor, stage
 from ampflow.plans.quality_rules import METHODS, RULES, TIERS
-from ampflow.plans.warehouse import TEST_REPORTING, TEST_RUN, Warehouse
+from ampflow.plans.warehouse import STAGE, TEST_REPORTING, TEST_RUN, Warehouse, refresh
 from ampflow.sources import domain, raw, seeds
 from ampflow.streaming import monitoring
+from ampflow.streaming.alerts import alert_on_new_sessions, open_alerts
 from ampflow.streaming.landing import Landing, load_new_files, loaded, quarantined
 from ampflow.streaming.merge import MergeTarget, merge_new_files
 
@@ -889,3 +890,53 @@ def source_freshness(w):
 @query
 def valid_pct_alerts(w):
     return monitoring.valid_pct_alerts(w.table("fact_daily_metrics"), PCT_THRESHOLD)
+
+
+@query
+def valid_pct_alerts_stream(w):
+    """The same alerts from the sessions as they arrive, in three loads; the last is looked at twice."""
+    source, log, progress = (_work_folder(w, f"alert_{part}") for part in ("feed", "log", "progress"))
+    sessions = w.table("fact_transactions").select("transaction_date", "is_valid_transaction")
+    dealt = sessions.withColumn("load", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(3)))
+    for load in (0, 1, 2, None):
+        if load is not None:
+            dealt.where(F.col("load") == load).drop("load").write.mode("append").parquet(source)
+        alert_on_new_sessions(
+            w.spark, source, sessions.schema.simpleString()[7:-1].replace(":", " "), "transaction_date",
+            "is_valid_transaction", PCT_THRESHOLD, log, progress,
+        )
+    return open_alerts(w.spark, log).withColumn("threshold_pct", F.lit(PCT_THRESHOLD))
+
+
+@query
+def distinct_by_grain(w):
+    """Users and chargers met per week, per month and city, and in all, from one stored frame of sets per day and city."""
+    fact = w.table("fact_transactions")
+    counted = {"active_users": "user_key", "active_chargers": "charger_key"}
+
+    def build() -> DataFrame:
+        numbers = {kind: bitmaps.numbered_ids(fact, column) for kind, column in counted.items()}
+        return bitmaps.id_sets(fact, ["transaction_date", "city_name"], counted, numbers)
+
+    sets = w.store.table("day_city_sets", build)
+    day, nothing = F.col("transaction_date"), F.lit(None)
+    grains = {
+        "week": (F.trunc(day, "week"), nothing.cast("string")),
+        "month": (F.trunc(day, "month"), F.col("city_name")),
+        "all": (nothing.cast("date"), nothing.cast("string")),
+    }
+    parts = []
+    for grain, (period, city) in grains.items():
+        placed = sets.select(F.lit(grain).alias("grain"), period.alias("period"), city.alias("city"), "kind", "bucket", "ids")
+        parts.append(bitmaps.distinct_at(placed, ["grain", "period", "city"], list(counted)))
+    return joins.union_all(parts)
+
+
+@query
+def refreshed_daily_metrics(w):
+    """The daily fact as the catalog has it after a full refresh of all layers, the sides of the session join bucketed."""
+    name = w.store.root.rsplit("/", 1)[-1]
+    sources = {t: w.table(t) for t in STAGE} | {"date_spine": w.source("date_spine")}
+    prefix = f"ampflow_{name}_"
+    refresh(w.spark, sources, w.run, buckets=4, prefix=prefix, location=f"{w.store.root}/catalog")
+    return w.spark.table(f"{prefix}semantic.fact_daily_metrics")

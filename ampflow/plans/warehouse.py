@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ampflow.config import Reporting, Run
 from ampflow.plans import curated, dimensions, facts
 from ampflow.sources import domain, seeds
-from ampflow.sources.tables import TableStore, input_state, save_table
+from ampflow.sources.tables import TableStore, ensure_database, input_state, save_table
 
 # The derived sessions run from 1995-01-01 to 2001-08-01; "today" is the day after the last full month.
 TEST_RUN = Run(as_of=date(2001, 8, 1), run_ts=datetime(2001, 8, 1))
@@ -85,10 +85,18 @@ def model(name: str, table: Source, run: Run, bounds: DataFrame | None = None) -
 
 
 def refresh(
-    spark: SparkSession, stage: dict[str, DataFrame], run: Run, buckets: int = 0, partition_facts: bool = False
+    spark: SparkSession,
+    stage: dict[str, DataFrame],
+    run: Run,
+    buckets: int = 0,
+    partition_facts: bool = False,
+    prefix: str = "",
+    location: str | None = None,
 ) -> dict[str, DataFrame]:
     """Full refresh of every layer as catalog tables (databases stg, curated, semantic).
 
+    The databases' names may have a ``prefix``, and they may lie under a ``location`` of their own.
+
     ``stage`` holds the four stage tables and optionally ``city_name_mapping`` and ``date_spine``. With ``buckets``
     the two sides of the session join are bucketed by ``session_id``; with ``partition_facts`` the facts with a date
     are partitioned by it. The outlier bounds of the run are kept as ``curated.*_bounds``.
@@ -101,17 +109,17 @@ def refresh(
 
     def build(name: str) -> None:
         if name in STAGE:
-            tables[name] = save_table(tables[name], "stg", name)
+            tables[name] = save_table(tables[name], f"{prefix}stg", name)
             return
         bounds = None
         if name in measured:
             kept, of, source = measured[name]
-            bounds = save_table(of(tables[source]).withColumn("_run_ts", run.stamp()), "curated", kept)
+            bounds = save_table(of(tables[source]).withColumn("_run_ts", run.stamp()), f"{prefix}curated", kept)
         bucketed = buckets if name in ("cur_transactions", "cur_payments") else 0
         dated = partition_facts and name in ("fact_transactions", "fact_daily_metrics")
         tables[name] = save_table(
             model(name, tables.__getitem__, run, bounds),
-            LAYERS[name],
+            f"{prefix}{LAYERS[name]}",
             name,
             partition_by=["transaction_date"] if dated else (),
             bucket_by="session_id" if bucketed else None,
@@ -119,7 +127,7 @@ def refresh(
         )
 
     for database in ("stg", "curated", "semantic"):
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+        ensure_database(spark, f"{prefix}{database}", location)
     build_groups(build)
     return tables
 

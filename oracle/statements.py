@@ -673,6 +673,19 @@ FROM (SELECT max({c}) AS newest, date_diff('minute', max({c}), TIMESTAMP '2001-0
     "valid_pct_alerts": """
 SELECT transaction_date, total_transactions, valid_transactions, valid_transaction_pct, 60.0::DOUBLE AS threshold_pct
 FROM fact_daily_metrics WHERE city_name = '_ALL_CITIES_' AND valid_transaction_pct < 60""",
+    "valid_pct_alerts_stream": """
+SELECT transaction_date, total_transactions, valid_transactions, valid_transaction_pct, 60.0::DOUBLE AS threshold_pct
+FROM fact_daily_metrics WHERE city_name = '_ALL_CITIES_' AND valid_transaction_pct < 60""",
+    "distinct_by_grain": _union(
+        f"SELECT '{grain}' AS grain, {period} AS period, {city} AS city, count(DISTINCT user_key) AS active_users, "
+        "count(DISTINCT charger_key) AS active_chargers FROM fact_transactions GROUP BY 1, 2, 3"
+        for grain, period, city in (
+            ("week", "CAST(date_trunc('week', transaction_date) AS DATE)", "NULL::VARCHAR"),
+            ("month", "CAST(date_trunc('month', transaction_date) AS DATE)", "city_name"),
+            ("all", "NULL::DATE", "NULL::VARCHAR"),
+        )
+    ),
+    "refreshed_daily_metrics": "SELECT * FROM fact_daily_metrics",
 }
 
 

@@ -12,7 +12,7 @@ import pytest
 from conftest import plan_of, values
 from pyspark.sql import functions as F
 
-from ampflow.operators import joins, nearest, profile, quantiles, ranking, rules
+from ampflow.operators import bitmaps, joins, nearest, profile, quantiles, ranking, rules
 from ampflow.operators.distinct import distinct_counts, distinct_counts_with_total
 from ampflow.operators.quantiles import Fixed, IqrRule, decimal_measure
 from ampflow.session import local_table
@@ -412,3 +412,17 @@ def test_long_quantiles_of_many_measures(spark):
     rows = spark.createDataFrame([(m, x) for m, xs in numbers.items() for x in xs] + [(9, None)], "measure int, value double")
     got = {r.measure: (r.p0, r.p1) for r in quantiles.long_quantiles(rows, (0.25, 0.9)).collect()}
     assert got == {m: tuple(pytest.approx(linear(sorted(xs), p), rel=1e-12) for p in (0.25, 0.9)) for m, xs in numbers.items()}
+
+
+def test_sets_of_days_give_distinct_counts_of_any_grain(spark):
+    rng = random.Random(3)
+    rows = [(rng.randrange(20), rng.choice(["x", "y", None]), rng.choice([None, *(f"u{i}" for i in range(70))]), f"c{rng.randrange(9)}") for _ in range(3000)]
+    rows += [(99, "z", f"many{i}", "c") for i in range(40_000)]  # more than one bitmap
+    df = spark.createDataFrame(rows, "day int, city string, user string, charger string")
+    counted = {"users": "user", "chargers": "charger"}
+    sets = bitmaps.id_sets(df, ["day", "city"], counted, {k: bitmaps.numbered_ids(df, c) for k, c in counted.items()})
+    sets = sets.withColumn("week", F.expr("day DIV 7"))
+    for keys in (["day", "city"], ["week"], ["city"], []):
+        got = values(bitmaps.distinct_at(sets, keys, list(counted)))
+        grouped = df.withColumn("week", F.expr("day DIV 7")).groupBy(*keys)
+        assert got == values(grouped.agg(F.count_distinct("user").alias("users"), F.count_distinct("charger").alias("chargers")))

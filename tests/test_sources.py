@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from ampflow.plans import stage, warehouse
 from ampflow.sources import domain, raw, records, seeds
-from ampflow.sources.tables import save_table
-from ampflow.streaming import monitoring
+from ampflow.sources.tables import save_table, versions_of
+from ampflow.functions.measures import percent
+from ampflow.streaming import alerts, monitoring
 from ampflow.streaming.landing import Landing, load_new_files, loaded, quarantined
 from ampflow.streaming.merge import MergeTarget, merge_new_files, newest_per_key
 
@@ -412,3 +413,47 @@ def test_one_array_file_is_read_by_many_tasks(spark, run, tmp_path):
     finally:
         for name in names:
             spark.conf.unset(name)
+
+
+def test_a_refresh_shows_the_old_rows_or_the_new_ones(spark):
+    first = save_table(spark.range(3).toDF("n"), "versions", "t")
+    reader = spark.table("versions.t")
+    lost = spark.range(5).select(F.raise_error(F.lit("lost")).cast("bigint").alias("n"))
+    with pytest.raises(Exception, match="lost"):
+        save_table(lost, "versions", "t")
+    assert spark.table("versions.t").count() == 3
+    second = save_table(spark.range(7).toDF("n"), "versions", "t")
+    assert (second.count(), spark.table("versions.t").count()) == (7, 7)
+    assert reader.count() == first.count() == 3  # begun before the switch
+    save_table(spark.range(9).selectExpr("id AS n", "id % 2 AS p"), "versions", "t", partition_by=["p"])
+    assert spark.table("versions.t").count() == 9 and len(versions_of(spark, "versions", "t")) <= 2
+    spark.sql("CREATE TABLE versions.plain USING parquet AS SELECT 1 AS n")
+    assert save_table(spark.range(2).toDF("n"), "versions", "plain").count() == 2
+
+
+DAYS = "day date, ok boolean"
+
+
+def test_alerts_while_sessions_arrive(spark, tmp_path):
+    may, june = datetime(2025, 5, 1).date(), datetime(2025, 6, 1).date()
+    loads = [
+        [(may, True)] * 3 + [(june, False), (None, False)],  # June is below
+        [(may, False)] * 3 + [(june, True)],  # May goes below, June reaches 50 %
+        [(may, None)] + [(june, True)] * 3,  # May falls on, June is above
+    ]
+    source, log, progress = (str(tmp_path / n) for n in ("in", "log", "progress"))
+    for load in loads:
+        spark.createDataFrame(load, DAYS).repartition(2).write.mode("append").parquet(source)
+        alerts.alert_on_new_sessions(spark, source, DAYS, "day", "ok", 60.0, log, progress)
+    alerts.alert_on_new_sessions(spark, source, DAYS, "day", "ok", 60.0, log, progress)
+    events = spark.read.parquet(log)
+    want = [(june, 1, 0, 0.0, "raised"), (june, 2, 1, 50.0, "held"), (june, 5, 4, 80.0, "cleared")]
+    want += [(may, 6, 3, 50.0, "raised"), (may, 7, 3, 42.86, "held")]
+    assert values(events) == sorted(want, key=repr)
+    assert values(alerts.open_alerts(spark, log)) == [(may, 7, 3, 42.86)]
+
+
+def test_shares_are_rounded_as_in_the_daily_fact(spark):
+    pairs = [(v, t) for t in range(1, 130) for v in range(t + 1)]
+    df = spark.createDataFrame(pairs, "v bigint, t bigint")
+    assert all(alerts.percent_of(r.v, r.t) == r.p for r in df.select("v", "t", percent(F.col("v"), F.col("t")).alias("p")).collect())
