@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import html as entities
 import re
+from bisect import bisect_left
+from collections.abc import Container
 from dataclasses import dataclass, field
 
 TAG = re.compile(
@@ -47,76 +49,119 @@ WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 SECTIONS = {"article", "aside", "body", "div", "footer", "form", "header", "main", "nav", "section", "table"}
 
 
-@dataclass
+_HOLD_PARAGRAPHS = SECTIONS | {"li", "td", "blockquote", "object", "template", "foreignobject"}
+
+
 class Element:
-    tag: str
-    names: tuple[str, ...]
-    part: str | None
+    """An open element with what its ancestors and itself make known, each worked out once when it opens."""
+
+    def __init__(self, tag: str, attributes: str, parent: Element | None, place: int, known: Container[str] | None):
+        self.tag, self.parent = tag, parent
+        names, self.own_part = _names_of(attributes) if "=" in attributes else ((), None)
+        self.names = names
+        up = parent or _OUTSIDE
+        self.part = self.own_part or up.part
+        self.linked = up.linked or tag == "a"
+        self.template = up.template or tag == "template"
+        self.shown = tag not in HIDDEN and (not self.template if tag == "foreignobject" else up.shown)
+        #: Place of the outermost element of another language that is open and not left for HTML again.
+        self.foreign = up.foreign
+        if tag in FOREIGN:
+            self.foreign = place if up.foreign is None else up.foreign
+        elif tag in EMBEDS:
+            self.foreign = None
+        self.block = place if tag in BLOCK else up.block
+        self.leaf = tag if tag in BLOCK else up.leaf
+        self.section = self if tag in SECTIONS else up.section
+        own = {f"t:{tag}", *(f"c:{n}" for n in names), *(f"c4:{n[:4]}" for n in names)}
+        if known is not None:
+            own = {f for f in own if f in known}
+        # Shared with the parent unless there is something new, so deep pages stay small.
+        self.context = up.context if own <= up.context else up.context | own
+
+
+class _Outside:
+    part, linked, template, shown, foreign, block, leaf, section, context = None, False, False, True, None, -1, "none", None, frozenset()
+
+
+_OUTSIDE = _Outside()
 
 
 @dataclass
 class Block:
     text: str
-    open: tuple[Element, ...]
+    element: Element | None
     link_chars: int
     features: list[str] = field(default_factory=list)
 
     @property
     def part(self) -> str | None:
         """The label that a training page gives the innermost element that has one."""
-        return next((e.part for e in reversed(self.open) if e.part), None)
+        return self.element.part if self.element else None
 
 
-def _element(tag: str, attributes: str) -> Element:
+def _names_of(attributes: str) -> tuple[tuple[str, ...], str | None]:
+    """Words of the naming attributes, and the label of a training page."""
     names, part = [], None
-    if "=" in attributes:
-        for name, *values in ATTRIBUTE.findall(attributes):
-            value = next((v for v in values if v), "")
-            if name.lower() == "data-part":
-                part = value
-            else:
-                names += [w.lower() for w in WORD.findall(value)]
-    return Element(tag, tuple(names), part)
-
-
-def _close(stack: list[Element], kinds: set[str], within: set[str]) -> None:
-    """Ends the outermost open element of ``kinds`` that lies inside the innermost of ``within``."""
-    for i in range(len(stack) - 1, -1, -1):
-        if stack[i].tag in within:
-            return
-        if stack[i].tag in kinds and not any(e.tag in kinds for e in stack[_floor(stack, within) : i]):
-            del stack[i:]
-            return
-
-
-def _floor(stack: list[Element], within: set[str]) -> int:
-    return max((i + 1 for i, e in enumerate(stack) if e.tag in within), default=0)
-
-
-def _foreign(stack: list[Element]) -> int | None:
-    """Place of the outermost element of another language that is open and not left for HTML again."""
-    at = None
-    for i, element in enumerate(stack):
-        if element.tag in FOREIGN:
-            at = i if at is None else at
-        elif element.tag in EMBEDS:
-            at = None
-    return at
-
-
-def _shown(stack: list[Element]) -> bool:
-    for element in reversed(stack):
-        if element.tag in HIDDEN:
-            return False
-        if element.tag == "foreignobject":
-            return not any(e.tag == "template" for e in stack)
-    return True
-
-
-def blocks(page: str) -> list[Block]:
-    """Blocks with text, in page order, white space turned into single spaces."""
+    for name, *values in ATTRIBUTE.findall(attributes):
+        value = next((v for v in values if v), "")
+        if name.lower() == "data-part":
+            part = value
+        else:
+            names += [w.lower() for w in WORD.findall(value)]
+    return tuple(names), part
+
+
+class _Open:
+    """The open elements, and where those of each tag are."""
+
+    def __init__(self, known: Container[str] | None):
+        self.stack: list[Element] = []
+        self.places: dict[str, list[int]] = {}
+        self.known = known
+
+    @property
+    def top(self) -> Element | None:
+        return self.stack[-1] if self.stack else None
+
+    def push(self, tag: str, attributes: str) -> None:
+        place = len(self.stack)
+        self.stack.append(Element(tag, attributes, self.top, place, self.known))
+        self.places.setdefault(tag, []).append(place)
+
+    def cut(self, place: int) -> None:
+        """Closes the elements from a place on."""
+        while len(self.stack) > place:
+            self.places[self.stack.pop().tag].pop()
+
+    def innermost(self, tag: str) -> int:
+        return self.places[tag][-1] if self.places.get(tag) else -1
+
+    def close(self, kinds: set[str], within: set[str]) -> None:
+        """Ends the outermost open element of ``kinds`` that lies inside the innermost of ``within``."""
+        floor = max(map(self.innermost, within)) + 1
+        found = []
+        for kind in kinds:
+            places = self.places.get(kind, ())
+            at = bisect_left(places, floor)
+            found += places[at : at + 1]
+        if found:
+            self.cut(min(found))
+
+    def end(self, tag: str) -> None:
+        """Ends the innermost open element of a tag; an inline end tag does not end blocks."""
+        place = self.innermost(tag)
+        if place >= 0 and (tag in BLOCK or place > self.stack[-1].block):
+            self.cut(place)
+
+
+def blocks(page: str, known: Container[str] | None = None) -> list[Block]:
+    """Blocks with text, in page order, white space turned into single spaces.
+
+    The time is linear in the page, however deep it is. ``known`` names the features that matter to the caller.
+    """
     out: list[Block] = []
-    stack: list[Element] = []
+    held = _Open(known)
     runs: list[str] = []
     link_chars = 0
 
@@ -124,7 +169,7 @@ def blocks(page: str) -> list[Block]:
         nonlocal link_chars
         text = " ".join("".join(runs).split())
         if text:
-            out.append(Block(text, tuple(stack), link_chars))
+            out.append(Block(text, held.top, link_chars))
         runs.clear()
         link_chars = 0
 
@@ -132,10 +177,11 @@ def blocks(page: str) -> list[Block]:
     while True:
         found = TAG.search(page, at)
         run = page[at : found.start()] if found else page[at:]
-        if run and _shown(stack):
+        around = held.top or _OUTSIDE
+        if run and around.shown:
             shown = entities.unescape(run) if "&" in run else run
             runs.append(shown)
-            if any(e.tag == "a" for e in stack):
+            if around.linked:
                 link_chars += len(shown.strip())
         if not found:
             break
@@ -144,9 +190,9 @@ def blocks(page: str) -> list[Block]:
         if not name:
             continue
         tag = name.lower()
-        foreign = _foreign(stack)
+        foreign = around.foreign
         if foreign is not None and tag in ENDS_FOREIGN and not closing:
-            del stack[foreign:]
+            held.cut(foreign)
             foreign = None
         if tag in RAW and not closing and (foreign is None or (tag in ("script", "style") and not attributes.endswith("/"))):
             ended = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
@@ -158,19 +204,14 @@ def blocks(page: str) -> list[Block]:
         if tag in BLOCK:
             end_block()
         if closing:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i].tag == tag:
-                    del stack[i:]
-                    break
-                if tag not in BLOCK and stack[i].tag in BLOCK:
-                    break  # an inline end tag does not end blocks
+            held.end(tag)
             continue
         if tag in BLOCK:
-            _close(stack, {"p"}, SECTIONS | {"li", "td", "blockquote", "object", "template", "foreignobject"})
+            held.close({"p"}, _HOLD_PARAGRAPHS)
         if tag in ENDS:
-            _close(stack, *ENDS[tag])
+            held.close(*ENDS[tag])
         if tag not in VOID and not attributes.endswith("/"):
-            stack.append(_element(tag, attributes))
+            held.push(tag, attributes)
     end_block()
     return out
 
@@ -179,20 +220,18 @@ def _bucket(value: float, bounds: tuple[float, ...]) -> int:
     return sum(value >= b for b in bounds)
 
 
-def described(page: str) -> list[Block]:
+def described(page: str, known: Container[str] | None = None) -> list[Block]:
     """Blocks of a page with their features: open elements and their names, and properties of the text."""
-    found = blocks(page)
+    found = blocks(page, known)
     total = len(found)
     for i, block in enumerate(found):
-        text, tags = block.text, [e.tag for e in block.open]
-        names = {n for e in block.open for n in e.names}
+        text, around = block.text, block.element or _OUTSIDE
         words = text.count(" ") + 1
-        features = ["bias", *{f"t:{t}" for t in tags}, *{f"c:{n}" for n in names}, *{f"c4:{n[:4]}" for n in names}]
-        leaf = next((t for t in reversed(tags) if t in BLOCK), "none")
-        section = next((e for e in reversed(block.open) if e.tag in SECTIONS), None)
-        features += [f"leaf:{leaf}", f"section:{section.tag if section else 'none'}"]
+        section = around.section
+        features = ["bias", *around.context, f"leaf:{around.leaf}", f"section:{section.tag if section else 'none'}"]
         if section:
             features += [f"near:{n}" for n in section.names] + [f"near4:{n[:4]}" for n in section.names]
+            features.append(f"named:{bool(section.names)}")
         features += [f"words:{_bucket(words, (3, 8, 20, 60))}", f"links:{_bucket(block.link_chars / len(text), (0.01, 0.5, 0.9))}"]
         features += [f"place:{_bucket((i + 0.5) / total, (0.1, 0.9))}", f"end:{text[-1] in '.!?…'}"]
         if "©" in text or "copyright" in text.lower():

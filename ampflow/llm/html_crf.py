@@ -71,7 +71,7 @@ class ChainField:
         return best[::-1]
 
     def extract(self, page: str) -> str:
-        found = described(page)
+        found = described(page, self.features)
         labels = self.labels([b.features for b in found])
         return SEPARATOR.join(b.text for b, label in zip(found, labels, strict=True) if label)
 

@@ -1,6 +1,7 @@
 """Labelled training pages: made-up sites whose blocks carry their label in a ``data-part`` attribute.
 
-Every page has a layout of its own: which elements and names hold the article, which of the usual page parts surround
+Every page has a layout of its own: which elements and names hold the article, if any (it may stand in the body itself, in
+an element without a name, or in one with a name of no meaning), which of the usual page parts surround
 or interrupt it, how long texts are. Texts are random letters in all parts, so structure and not vocabulary tells
 parts apart. The number of pages is the bound of the training sample.
 """
@@ -9,7 +10,7 @@ from __future__ import annotations
 
 import random
 
-PAGES = 400
+PAGES = 600
 SEED = 11
 
 ARTICLES = (
@@ -24,6 +25,7 @@ SIDES = (("aside", ""), ("aside", "sidebar"), ("div", "sidebar"), ("div", "widge
 NOTICES = (("div", "cookie-notice"), ("div", "cookie-banner"), ("div", "notice"), ("div", "alert"), ("div", "consent"), ("div", "gdpr"), ("div", "newsletter"), ("div", "subscribe"), ("div", "popup"), ("dialog", ""), ("div", "modal"), ("div", "paywall"), ("div", "message"), ("p", "notice"))
 ADVERTS = (("div", "ad"), ("div", "ads"), ("div", "advert"), ("div", "advertisement"), ("div", "sponsored"), ("div", "promo"), ("aside", "ad-slot"), ("div", "banner-ad"), ("section", "sponsor"), ("p", "ad"), ("div", "adsbygoogle"))
 FORMS = (("form", ""), ("form", "search"), ("form", "login"), ("form", "contact-form"), ("div", "search-box"))
+CONTROLS = (("button", ""), ("select", ""), ("button", "share"), ("label", ""))
 COMMENTS = (("section", "comments"), ("div", "comments"), ("div", "comment-list"), ("ol", "commentlist"), ("div", "discussion"), ("div", "disqus-thread"), ("section", "responses"), ("div", "reviews"))
 
 
@@ -35,6 +37,9 @@ class _Writer:
         letters = "abcdefghijklmnopqrstuvwxyzéäñ"
         return "".join(self.random.choices(letters, k=self.random.randint(1, 10)))
 
+    def plain_word(self) -> str:
+        return "".join(self.random.choices("abcdefghijklmnopqrstuvwxyz", k=self.random.randint(2, 9)))
+
     def text(self, low: int, high: int) -> str:
         words = [self.word() for _ in range(self.random.randint(low, high))]
         words = [f"<b>{w}</b>" if self.random.random() < 0.02 else w + self.random.choice(["", "", "", ",", "."]) for w in words]
@@ -114,6 +119,11 @@ class _Writer:
                 out.append(f"<p>{self.text(1, 20)} <a href='/x'>{self.text(1, 4)}</a> {self.text(1, 20)}</p>")
             if self.random.random() < 0.12:
                 out.append(self.other("inside"))
+            if self.random.random() < 0.05:
+                kind = self.pick(CONTROLS)
+                shown = self.text(1, 3)
+                inner = f"<option>{shown}</option><option>{self.word()}</option>" if kind[0] == "select" else shown
+                out.append(self.wrapped(kind, "other", inner))
         return "".join(out)
 
     def page(self) -> str:
@@ -121,14 +131,24 @@ class _Writer:
         if self.random.random() < 0.7:
             top.append(self.wrapped(self.pick(MENUS), "other", f"<ul>{self.links()}</ul>"))
         self.random.shuffle(top)
-        article = self.wrapped(self.pick(ARTICLES), "main", self.body())
-        if self.random.random() < 0.3:
+        layout, body = self.random.random(), ' data-part="main"'
+        if layout < 0.12:
+            article = self.body()  # in the body itself
+        elif layout < 0.24:
+            article, body = self.wrapped((self.random.choice(("div", "div", "section", "td")), ""), "main", self.body()), ""
+        elif layout < 0.36:
+            names = " ".join(self.plain_word() for _ in range(self.random.randint(1, 2)))
+            article, body = self.wrapped((self.random.choice(("div", "div", "section")), names), "main", self.body()), ""
+        else:
+            article, body = self.wrapped(self.pick(ARTICLES), "main", self.body()), ""
+        if not body and self.random.random() < 0.3:
             article = self.random.choice(("<div class='container'>{}</div>", "<div id='wrapper'>{}</div>", "<main>{}</main>", "<section>{}</section>")).format(article)
-        bottom = [self.other("bottom") for _ in range(self.random.randint(0, 3))]
-        if self.random.random() < 0.9:
+        plain = layout < 0.36 and self.random.random() < 0.5
+        bottom = [] if plain else [self.other("bottom") for _ in range(self.random.randint(0, 3))]
+        if self.random.random() < (0.3 if plain else 0.9):
             mark = self.random.choice(["&copy; ", "© 2020 ", "Copyright ", ""])
             bottom.append(self.wrapped(self.pick(FOOTERS), "other", mark + self.passages()))
-        return f"<html><body>{''.join(top)}{article}{''.join(bottom)}</body></html>"
+        return f"<html><body{body}>{''.join(top)}{article}{''.join(bottom)}</body></html>"
 
 
 def labelled_pages(count: int = PAGES, seed: int = SEED) -> list[str]:

@@ -98,3 +98,50 @@ def test_article_after_a_closed_drawing_is_kept(model):
     assert model.extract("<svg/><article><p>t</p></article>") == model.extract("<article><p>t</p></article>") == "t"
     page = f'<body><nav><a href="/">Home</a></nav><svg class="icon" /><article><p>{LONG}</p></article></body>'
     assert model.extract(page) == LONG.strip()
+
+
+@pytest.mark.parametrize("opened", ["", "<div>", "<div id=xyz>", "<section class='qwk zz'>", "<div><div>"])
+def test_articles_in_plain_containers(model, opened):
+    said = ["A title of some words", *(f"Paragraph {i} says a number of things, and it says them at some length." for i in range(8))]
+    article = f"<h1>{said[0]}</h1>" + "".join(f"<p>{p}</p>" for p in said[1:])
+    closed = "".join(f"</{t.split()[0]}>" for t in opened.replace("<", " <").replace(">", "").split(" <")[1:][::-1])
+    for before, after in (("", ""), ("<nav><ul><li><a href='/'>Home</a></li></ul></nav>", "<footer>&copy; Site</footer>")):
+        assert model.extract(f"<html><body>{before}{opened}{article}{closed}{after}</body></html>") == "\n\n".join(said)
+
+
+def test_controls_inside_an_article_are_left_out(model):
+    said = [f"Paragraph {i} says a number of things, and it says them at some length." for i in range(4)]
+    controls = "<button>Share</button><select><option>One</option><option>Two</option></select>"
+    page = f"<body><article><p>{said[0]}</p><p>{said[1]}</p>{controls}<p>{said[2]}</p><p>{said[3]}</p></article></body>"
+    assert model.extract(page) == "\n\n".join(said)
+
+
+@pytest.mark.parametrize("unit", ["<div>x", "<font>x ", "<div class='c%d'>x", "<x%d>x ", "<ul><li>x", "<p><b>x", "<b><p>x</b>", "<table><tr><td>x"])
+def test_deep_pages_take_linear_time(model, unit):
+    count = 40_000
+    page = "".join(unit % i if "%" in unit else unit for i in range(count))
+    assert len("".join("".join(b.text for b in blocks(page, model.features)).split())) == count
+    assert isinstance(model.extract(page), str)
+
+
+def test_gradient_of_the_training_is_that_of_all_sequences(monkeypatch):
+    """One step of training moves each weight against the slope of the likelihood, which all label sequences give."""
+    from ampflow.llm import html_crf as C
+
+    pages = ["<body><p data-part='main'>a b c d.</p><p>x</p></body>", "<div data-part='main'><h1>t</h1>u</div><a href=''>v</a><p>w.</p>"]
+    monkeypatch.setattr(C, "STEPS", 1)
+    moved = train(pages)
+    observed, expected = {}, {}
+    for page in pages:
+        found = described(page)
+        truth = [int(b.part == "main") for b in found]
+        every = list(itertools.product((0, 1), repeat=len(found)))  # all weights are zero: all sequences are as likely
+        for i, block in enumerate(found):
+            for f in block.features:
+                observed[f, truth[i]] = observed.get((f, truth[i]), 0) + 1
+                for y in (0, 1):
+                    expected[f, y] = expected.get((f, y), 0) + sum(s[i] == y for s in every) / len(every)
+    for (feature, label), value in expected.items():
+        slope = value - observed.get((feature, label), 0)
+        step = moved.features[feature][label]
+        assert abs(step) < 1e-9 if abs(slope) < 1e-12 else step * slope < 0
