@@ -128,6 +128,7 @@ def refresh(
 
     for database in ("stg", "curated", "semantic"):
         ensure_database(spark, f"{prefix}{database}", location)
+    tables["city_name_mapping"] = save_table(tables["city_name_mapping"], f"{prefix}stg", "city_name_mapping")
     build_groups(build)
     return tables
 

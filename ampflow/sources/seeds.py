@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-import csv
+from collections.abc import Sequence
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ampflow.session import local_table
 
+CITY_MAP = "city_name_raw string, city_name_standardized string"
 DATA = Path(__file__).resolve().parent.parent / "data"
 
 # Own table of places: name, the city that a place counts towards, and approximate public coordinates.
@@ -43,11 +45,22 @@ def read_seed(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("header", True).option("comment", "#").csv(path)
 
 
+def typed_lines(spark: SparkSession, lines: Sequence[str], schema: str) -> DataFrame:
+    """As :func:`read_seed` for the lines of a file that only the driver has: parsed by Spark, as a local relation.
+
+    A header that does not name the declared columns, or a line that does not fit them, is an error.
+    """
+    told = [line for line in lines if line.strip() and not line.startswith("#")]
+    names = [part.split()[0] for part in schema.split(",")]
+    if not told or told[0].strip().split(",") != names:
+        raise ValueError(f"the header is {told[:1]}, the declared columns are {names}")
+    rows = local_table(spark, {"line": [line.rstrip("\r\n") for line in told[1:]]})
+    return rows.select(F.from_csv("line", schema, {"mode": "FAILFAST"}).alias("row")).select("row.*")
+
+
 def city_map(spark: SparkSession) -> DataFrame:
-    """The packaged spelling table as a local relation, so that executors need no copy of the file."""
-    with open(DATA / "city_name_mapping.csv", encoding="utf-8") as file:
-        rows = csv.DictReader(line for line in file if not line.startswith("#"))
-        return _by_column(spark, ("city_name_raw", "city_name_standardized"), [tuple(r.values()) for r in rows])
+    """The packaged spelling table; executors need no copy of the file."""
+    return typed_lines(spark, (DATA / "city_name_mapping.csv").read_text(encoding="utf-8").splitlines(), CITY_MAP)
 
 
 def places(spark: SparkSession) -> DataFrame:

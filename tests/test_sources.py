@@ -415,6 +415,16 @@ def test_one_array_file_is_read_by_many_tasks(spark, run, tmp_path):
             spark.conf.unset(name)
 
 
+def test_seed_lines_are_typed_and_checked(spark):
+    lines = ["# a comment", "name,size,since", '"a, b",3,2024-01-02', ",,", ""]
+    typed = seeds.typed_lines(spark, lines, "name string, size int, since date")
+    assert values(typed) == [("a, b", 3, datetime(2024, 1, 2).date()), (None, None, None)]
+    with pytest.raises(ValueError, match="header"):
+        seeds.typed_lines(spark, lines, "name string, other int, since date")
+    with pytest.raises(Exception, match="x"):
+        seeds.typed_lines(spark, ["n", "x"], "n int").collect()
+
+
 def test_a_refresh_shows_the_old_rows_or_the_new_ones(spark):
     first = save_table(spark.range(3).toDF("n"), "versions", "t")
     reader = spark.table("versions.t")
