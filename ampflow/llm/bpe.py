@@ -27,7 +27,8 @@ from ampflow.llm.common import chunks, free_name, map_arrow, read_table, worker_
 from ampflow.llm.tokens import Remembered, TokenizerFile
 
 TOKENIZER = "word_bpe_49k.json"
-#: Fragments that a worker remembers besides words.
+#: Words that a worker remembers, some 60 MB, and fragments besides.
+WORDS = 250_000
 FRAGMENTS = 30_000
 #: Rank of a pair that no merge has.
 NEVER = 1 << 60
@@ -43,7 +44,7 @@ class ForcedBoundaryBpe:
         self.ranks = {pair: rank for rank, pair in enumerate(self.file.merges)}
         self.inside = self._pairs_inside_tokens()
         self.fragments = Remembered(self._merged, FRAGMENTS)
-        self.words = Remembered(self._encoded_word)
+        self.words = Remembered(self._encoded_word, WORDS)
 
     def _units(self, token: str) -> list[str]:
         """Base symbols of a token or word; the last of a word carries the word-end suffix."""
