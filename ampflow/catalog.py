@@ -938,5 +938,6 @@ def refreshed_daily_metrics(w):
     name = w.store.root.rsplit("/", 1)[-1]
     sources = {t: w.table(t) for t in STAGE} | {"date_spine": w.source("date_spine")}
     prefix = f"ampflow_{name}_"
-    refresh(w.spark, sources, w.run, buckets=4, prefix=prefix, location=f"{w.store.root}/catalog")
+    if not w.spark.catalog.tableExists(f"{prefix}semantic.fact_daily_metrics"):  # once per application and input state, as the layers are
+        refresh(w.spark, sources, w.run, buckets=4, prefix=prefix, location=f"{w.store.root}/catalog")
     return w.spark.table(f"{prefix}semantic.fact_daily_metrics")
