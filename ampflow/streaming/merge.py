@@ -191,7 +191,9 @@ class MergeTarget:
         news, known = self.news(batch, state)
         batches = state.batches if number is None else state.batches | {stream: number}
         after = replace(state, number=state.number + 1, batches=batches)
-        touched = self._values(news.where(F.col(_PLACE).isNotNull()), _PLACE) | self._values(news.select(self._place().alias(_PLACE)), _PLACE)
+        # Partitions and buckets: at most some thousands each.
+        met = news.agg(F.collect_set(_PLACE), F.collect_set(self._place()), F.collect_set(_BUCKET)).first()
+        touched, buckets = {*met[0], *met[1]}, sorted(met[2])
         if touched:
             load = f"{after.number:012d}-{uuid.uuid4().hex[:8]}"
             old = self.rows(spark, state, sorted(touched))
@@ -205,12 +207,11 @@ class MergeTarget:
             entries = winners.select(
                 self.key, F.col(self.version).alias(_SEEN), self._place().alias(_PLACE), self._bucket().alias(_BUCKET)
             )
-            buckets = self._values(entries, _BUCKET)
-            stay = self._of_keys(known.where(F.col(_BUCKET).isin([int(b) for b in buckets])), news, "left_anti")
+            stay = self._of_keys(known.where(F.col(_BUCKET).isin(buckets)), news, "left_anti")
             stay.unionByName(entries).hint("rebalance", _BUCKET).write.partitionBy(_BUCKET).parquet(f"{self.path}/index/load={load}")
             written = {unquote(n.split("=", 1)[1]) for n in self._names(spark, "data", f"load={load}") if "=" in n}
             data = {p: at for p, at in state.data.items() if p not in touched} | dict.fromkeys(written, load)
-            after = replace(after, data=data, index=state.index | dict.fromkeys(buckets, load))
+            after = replace(after, data=data, index=state.index | dict.fromkeys(map(str, buckets), load))
         if touched or after.batches != state.batches:
             self._publish(spark, after)
 
