@@ -176,7 +176,11 @@ def fit(texts: list[str], labels: list[int]) -> Model:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``(text, toxic)`` of the bounded sample: the first labelled ids by hash, up to so many rows and characters."""
+    """``(text, toxic)`` of the bounded sample: the first labelled ids by hash, up to so many rows and characters.
+
+    Of several texts with one id the one with the least hash is taken. Lengths decide first, without the texts; the texts
+    that are taken are fetched by a second scan.
+    """
     marked = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy(F.col("doc_id").alias("_id"))
     marked = marked.agg(F.max(F.col("toxic").cast("int")).alias("_toxic"))
     order = F.xxhash64("_id", F.lit(0))
@@ -184,14 +188,17 @@ def labelled_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     for value, rows in SAMPLE_ROWS.items():
         some = marked.where(F.col("_toxic") == value).orderBy(order).limit(rows)
         chosen = some if chosen is None else chosen.union(some)
-    # At most the rows of SAMPLE_ROWS: a few hundred kilobytes whatever the size of the tables.
-    texts = docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text")).where(
+    texts = docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"), F.xxhash64("text").alias("_hash")).where(
         F.length("_text").between(1, LONGEST_SAMPLED)
     )
-    found = texts.join(F.broadcast(chosen), "_id").dropDuplicates(["_id"]).withColumn("_order", order)
-    running = F.sum(F.length("_text")).over(Window.orderBy("_order").rowsBetween(Window.unboundedPreceding, 0))
-    kept = found.withColumn("_sum", running).where(F.col("_sum") <= SAMPLE_CHARS)
-    return kept.select(F.col("_text").alias("text"), F.col("_toxic").alias("toxic"))
+    # At most the rows of SAMPLE_ROWS: a few hundred kilobytes whatever the size of the tables.
+    sizes = texts.join(F.broadcast(chosen), "_id").groupBy("_id", "_toxic")
+    sizes = sizes.agg(F.min(F.struct("_hash", F.length("_text").alias("_size"))).alias("_one"))
+    ranked = sizes.select("_id", "_toxic", "_one.*", order.alias("_order"))
+    running = F.sum("_size").over(Window.orderBy("_order").rowsBetween(Window.unboundedPreceding, 0))
+    kept = ranked.withColumn("_sum", running).where(F.col("_sum") <= SAMPLE_CHARS).drop("_sum", "_size")
+    found = texts.join(F.broadcast(kept), ["_id", "_hash"]).dropDuplicates(["_id"])
+    return found.orderBy("_order").select(F.col("_text").alias("text"), F.col("_toxic").alias("toxic"))
 
 
 def trained(docs: DataFrame, labels: DataFrame) -> Model:

@@ -97,3 +97,17 @@ def test_without_labels_or_documents(spark, tmp_path):
     assert {r.score for r in rows} == {0.0}
     assert S.op8_toxicity(spark, saved(spark, tmp_path / "b", documents=empty_docs(spark), labels=none)).collect() == []
     assert S.Model({}, None).score("scum", Remembered(lambda t: 1.0)) == 0
+
+
+def test_sample_of_repeated_ids_is_always_the_same(spark, monkeypatch):
+    rows = [(i % 40, f"text {i} of {'many ' * (i % 7)}words") for i in range(200)]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(40)], "doc_id long, toxic int")
+    samples = []
+    for parts in (1, 7):
+        docs = spark.createDataFrame(rows[:: 1 if parts == 1 else -1], "doc_id long, text string").repartition(parts)
+        samples.append([tuple(r) for r in S.labelled_sample(docs, labels).collect()])
+    assert samples[0] == samples[1] and len(samples[0]) == 40
+    monkeypatch.setattr(S, "SAMPLE_CHARS", 300)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    few = [tuple(r) for r in S.labelled_sample(docs, labels).collect()]
+    assert few == samples[0][: len(few)] and sum(len(t) for t, _ in few) <= 300 < sum(len(t) for t, _ in samples[0][: len(few) + 1])
