@@ -367,7 +367,7 @@ def profile_frames(frames: Mapping[str, DataFrame]) -> DataFrame:
 
     Each frame is summed up by one aggregate of mergeable states. The values of all columns of all frames are counted in
     one shuffle, where copies combine first; distinct, once-only and top values are read off these counts, so they are
-    exact. The quartiles of all numbers and times share three passes.
+    exact. The quartiles of all numbers and times share three passes over their distinct values.
     """
     fields = [(name, i, f.name, f.dataType) for name, df in frames.items() for i, f in enumerate(df.schema.fields, 1)]
     own = {name: [(n, f"`{c}`", _kind(t)) for n, (frame, _, c, t) in enumerate(fields) if frame == name] for name in frames}
@@ -376,13 +376,14 @@ def profile_frames(frames: Mapping[str, DataFrame]) -> DataFrame:
         structs, cells, readings = [], [], []
         for number, column, kind in own[name]:
             x = _reading(column, kind)
-            text = f"LENGTH({column})" if kind == "text" else "CAST(NULL AS INT)"
-            structs.append(
-                f"named_struct('number', {number}, 'n_rows', COUNT(1), 'n_missing', COUNT_IF({column} IS NULL),"
-                f" 'n_zeros', COUNT_IF({x} = 0), 'n_negative', COUNT_IF({x} < 0), 'mean', AVG({x}), 'std', STDDEV_SAMP({x}),"
-                f" 'min', MIN({x}), 'max', MAX({x}), 'g1', SKEWNESS({x}), 'g2', KURTOSIS({x}),"
-                f" 'min_length', MIN({text}), 'max_length', MAX({text}), 'mean_length', AVG({text}))"
-            )
+            # Only what the kind of a column has is summed up; the rest is a literal, not an aggregate of nothing.
+            moments = {"mean": "AVG", "std": "STDDEV_SAMP", "min": "MIN", "max": "MAX", "g1": "SKEWNESS", "g2": "KURTOSIS"}
+            moments = {m: f"{a}({x})" if kind in ("number", "time") else "CAST(NULL AS DOUBLE)" for m, a in moments.items()}
+            signs = {m: f"COUNT_IF({x} {test} 0)" if kind == "number" else "0L" for m, test in (("n_zeros", "="), ("n_negative", "<"))}
+            lengths = {"min_length": ("MIN", "INT"), "max_length": ("MAX", "INT"), "mean_length": ("AVG", "DOUBLE")}
+            lengths = {m: f"{a}(LENGTH({column}))" if kind == "text" else f"CAST(NULL AS {t})" for m, (a, t) in lengths.items()}
+            stats = {"number": number, "n_rows": "COUNT(1)", "n_missing": f"COUNT_IF({column} IS NULL)"} | signs | moments | lengths
+            structs.append(f"named_struct({', '.join(f'{k!r}, {v}' for k, v in stats.items())})")
             shown = f"{column} + 0D" if "double" in df.schema[column.strip("`")].dataType.simpleString() else column
             cells.append(f"CASE WHEN {column} IS NOT NULL THEN named_struct('number', {number}, 'value', CAST({shown} AS STRING)) END")
             if kind in ("number", "time"):

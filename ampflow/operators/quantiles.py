@@ -5,7 +5,8 @@ of instants, and for floating-point numbers exponent and mantissa side by side.
 measures. The range is halved into cells by bits: a histogram over the leading bits says which cell holds a wanted rank,
 the next pass looks only inside that cell, down to single keys. Widths follow the range of the data, so the histograms of
 a measure are as small as its values allow, and never larger than ``1 << MAX_BITS`` rows. They combine on the map side,
-whatever the number of rows or the skew of the values. All measures share the passes, and everything is one lazy plan.
+whatever the number of rows or the skew of the values. All measures share the passes, and everything is one lazy plan; only
+:func:`long_quantiles` writes the distinct values of its measures once, so that no pass reads the frames again.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ampflow.operators.joins import with_row
+from ampflow.session import cut_lineage
 
 #: Bits that one pass resolves at most.
 MAX_BITS = 22
@@ -104,11 +106,11 @@ def _fitted(ranges: DataFrame, probs: Sequence[float], passes: int) -> DataFrame
     return ranges.where("rows > 0").selectExpr("measure", "rows", f"{bits} AS bits", width, *ranks)
 
 
-def _inside(rows: DataFrame, cells: DataFrame, step: int, probs: Sequence[float]) -> DataFrame:
+def _inside(rows: DataFrame, cells: DataFrame, step: int, probs: Sequence[float], weight: str = "1") -> DataFrame:
     """One pass: rows (measure, key) inside ``cells``, counted by the next bits; cells that hold a wanted rank.
 
     A rank is counted from the start of its cell and NULL in all others. ``cells`` has at most two rows per measure and
-    probability, so it is safe to broadcast.
+    probability, so it is safe to broadcast. A row stands for ``weight`` values.
     """
     names = _rank_names(probs)
     leading = "SHIFTRIGHT(key, GREATEST(0, bits - {} * width))"
@@ -118,9 +120,9 @@ def _inside(rows: DataFrame, cells: DataFrame, step: int, probs: Sequence[float]
     here = ["measure", *(["cell"] if step else [])]
     carried = ["rows", "bits", "width", *names]
     counted = (
-        met.selectExpr(*here, *carried, f"{leading.format(step + 1)} AS next")
+        met.selectExpr(*here, *carried, f"{leading.format(step + 1)} AS next", f"{weight} AS weight")
         .groupBy(*here, "next")
-        .agg(F.expr("COUNT(1)").alias("n"), *[F.expr(f"MAX({c})").alias(c) for c in carried])
+        .agg(F.expr("SUM(weight)").alias("n"), *[F.expr(f"MAX({c})").alias(c) for c in carried])
         .selectExpr("*", f"SUM(n) OVER (PARTITION BY {', '.join(here)} ORDER BY next) AS upto")
     )
     held = [f"CASE WHEN {r} >= upto - n AND {r} < upto THEN {r} - upto + n END AS {r}" for r in names]
@@ -176,12 +178,18 @@ def float_quantiles(df: DataFrame, values: Mapping[str, Column], probs: Sequence
 
 
 def long_quantiles(rows: DataFrame, probs: Sequence[float] = QUARTILES) -> DataFrame:
-    """Exact quantiles ``(measure, p0, p1, ..)`` of doubles in long form ``(measure, value)``, for any number of measures."""
+    """Exact quantiles ``(measure, p0, p1, ..)`` of doubles in long form ``(measure, value)``, for any number of measures.
+
+    ``rows`` is read once: equal values are counted in one shuffle, where copies combine first. A value is made a key once
+    and written; the passes read the keys and their counts only.
+    """
     passes = -(-64 // MAX_BITS)
-    keyed = with_sortable(rows.where("value IS NOT NULL"), ["value"], "measure").withColumnRenamed("value", "key")
-    cells = _fitted(keyed.groupBy("measure").agg(F.expr("COUNT(1)").alias("rows"), F.min("key").alias("low"), F.max("key").alias("high")), probs, passes)
+    counted = rows.where("value IS NOT NULL").groupBy("measure", "value").agg(F.expr("COUNT(1)").alias("copies"))
+    keyed = cut_lineage(with_sortable(counted, ["value"], "measure", "copies").withColumnRenamed("value", "key"))
+    ranges = keyed.groupBy("measure").agg(F.sum("copies").alias("rows"), F.min("key").alias("low"), F.max("key").alias("high"))
+    cells = _fitted(ranges, probs, passes)
     for step in range(passes):
-        cells = _inside(keyed, cells, step, probs)
+        cells = _inside(keyed, cells, step, probs, "copies")
     ends = [F.expr(f"MAX(IF({r} IS NOT NULL, cell, NULL))").alias(r) for r in _rank_names(probs)]
     found = cells.groupBy("measure").agg(F.max("rows").alias("rows"), *ends)
     found = found.selectExpr("measure", "rows", *[f"{from_sortable(r)} AS {r}" for r in _rank_names(probs)])

@@ -414,6 +414,26 @@ def test_long_quantiles_of_many_measures(spark):
     assert got == {m: tuple(pytest.approx(linear(sorted(xs), p), rel=1e-12) for p in (0.25, 0.9)) for m, xs in numbers.items()}
 
 
+def test_long_quantiles_read_the_rows_once(spark):
+    rows = spark.createDataFrame([(m, float(x % 7)) for m in range(2) for x in range(100)], "measure int, value double")
+    met = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            met.add(batch.num_rows)
+            yield batch
+
+    got = {r.measure: (r.p0, r.p1) for r in quantiles.long_quantiles(rows.mapInArrow(seen, rows.schema), (0.25, 0.9)).collect()}
+    expected = linear(sorted(float(x % 7) for x in range(100)), 0.25), linear(sorted(float(x % 7) for x in range(100)), 0.9)
+    assert got == {m: tuple(map(pytest.approx, expected)) for m in range(2)}
+    assert met.value == 200
+
+
+def test_profile_sums_up_only_what_a_kind_has(spark):
+    df = spark.createDataFrame([("a", True, 1.0)], "s string, f boolean, x double")
+    assert plan_of(profile.profile_frames({"one": df})).lower().count("partial_skewness") == 1
+
+
 def test_sets_of_days_give_distinct_counts_of_any_grain(spark):
     rng = random.Random(3)
     rows = [(rng.randrange(20), rng.choice(["x", "y", None]), rng.choice([None, *(f"u{i}" for i in range(70))]), f"c{rng.randrange(9)}") for _ in range(3000)]
