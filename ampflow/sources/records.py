@@ -10,14 +10,18 @@ from __future__ import annotations
 
 import re
 import sys
+import uuid
 from collections.abc import Iterator
 from itertools import groupby
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, DataFrameReader
 from pyspark.sql import functions as F
 
+from ampflow.session import shared_dir
+
 # The splitting helper travels with its tasks, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -172,12 +176,11 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, Iterator[
     def runs() -> Iterator[tuple[tuple, pa.RecordBatch]]:
         for batch in batches:
             if batch.num_rows:
-                keys = list(zip(batch.column("path").to_pylist(), batch.column("block").to_pylist(), strict=True))
-                at = 0
-                for key, group in groupby(keys):
-                    size = len(list(group))
-                    yield key, batch.slice(at, size)
-                    at += size
+                # Rows of a block follow each other; only where a run ends are its path and number looked at.
+                columns = batch.column("path"), batch.column("block")
+                ends = sorted({end for c in columns for end in pc.run_end_encode(c).run_ends.to_pylist()})
+                for at, end in zip([0, *ends], ends):
+                    yield tuple(c[at].as_py() for c in columns), batch.slice(at, end - at)
 
     for _, parts in groupby(runs(), key=lambda run: run[0]):
         first = next(parts)[1]
@@ -358,6 +361,7 @@ def _put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def split_array_records(reader: DataFrameReader, path: str) -> DataFrame:
     """As :func:`array_records` for files at ``path``, each read by as many tasks as it has blocks.
 
+    The files are read twice, here: once to sum up their blocks and once to split them into a table in the shared folder.
     What stands outside the array is one piece for each block.
     """
     meta = F.col("_metadata")
@@ -374,7 +378,12 @@ def split_array_records(reader: DataFrameReader, path: str) -> DataFrame:
     entries = several.mapInArrow(_summaries, SUMMARY).groupBy("path").applyInArrow(_entries, ENTRY)
     # One row for each block of a large file: some fifty bytes for, as a rule, 128 MB of input.
     met = raw.drop("length").join(F.broadcast(entries), ["path", "block"], "left")
-    parts = met.mapInArrow(_split_blocks, _PARTS)
+    # Whole elements and fragments go on apart, and readers part good from bad: the split is done once and kept for them.
+    spark = raw.sparkSession
+    kept = f"{shared_dir(spark)}/ampflow/{spark.sparkContext.applicationId}/work/elements-{uuid.uuid4().hex}"
+    split = met.mapInArrow(_split_blocks, _PARTS)
+    split.write.parquet(kept)
+    parts = spark.read.schema(split.schema).parquet(kept)
     fragments = parts.where(F.col("kind") != WHOLE).repartition("path").sortWithinPartitions("path", "block", "kind")
     joined = fragments.mapInArrow(_put_together, f"{VALUE} binary, {PLACED} boolean, {FILE} string")
     return parts.where(F.col("kind") == WHOLE).select(VALUE, PLACED, FILE).unionByName(joined)

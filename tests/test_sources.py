@@ -388,6 +388,14 @@ def test_blocks_of_an_array_file_give_the_elements_of_the_whole(spark, tmp_path)
             assert b"".join(outside).replace(b",", b"") == b"".join(b"".join(v.split()) for v, p in want if not p).replace(b",", b""), text
 
 
+def test_array_files_are_split_once_for_all_readers(spark, run, tmp_path):
+    (tmp_path / "one.json").write_text('[{"charger_id": "a"}, 5, {"charger_id": "b"}]')
+    landed = raw.land_variant_array(spark, str(tmp_path), run.stamp())
+    good, bad = raw.good_and_bad(landed)
+    assert "_split_blocks" not in plan_of(good) + plan_of(bad)
+    assert (good.count(), [r[0] for r in bad.select("_bad_line").collect()]) == (2, ["5"])
+
+
 def test_one_array_file_is_read_by_many_tasks(spark, run, tmp_path):
     names = {"spark.sql.files.maxPartitionBytes": "4096", "spark.sql.files.openCostInBytes": "1"}
     rows = [{"charger_id": f"c{i}", "city": 'A "b", [c]' if i % 7 else "x" * 9000, "location": {"lat": i, "lon": 1}} for i in range(900)]
