@@ -62,49 +62,47 @@ def _quoted(text: str) -> str:
     return f"'{escaped}'"
 
 
-def _cells(table: str, numbered: Sequence[tuple[int, Rule]]) -> list[str]:
-    """What the rows of a table say about the rules: ``(rule, value, parent)`` as SQL, NULL if nothing.
+def _cells(table: str, numbered: Sequence[tuple[int, Rule]]) -> dict[int, str]:
+    """What the rows of a table say about the rules: text as SQL, NULL if nothing, by the number of the cell.
 
-    Only failing rows speak for not-null and accepted-values rules. The keys of a relationship come from both tables.
+    A cell has the number of its rule, and that of a parent's key as much more as there are rules. Only failing rows speak
+    for not-null and accepted-values rules. The keys of a relationship come from both tables.
     """
-    out = []
-
-    def cell(number: int, column: str, parent: bool, speaks: str) -> None:
-        value = f"CAST({column} AS STRING)"
-        out.append(f"CASE WHEN {speaks} THEN named_struct('rule', {number}, 'value', {value}, 'parent', {str(parent).lower()}) END")
-
+    out = {}
     for number, rule in numbered:
         column = rule.column
         if rule.table == table:
             listed = ", ".join(_quoted(_text_of(v)) for v in rule.values)
-            speaks = {NOT_NULL: f"({column}) IS NULL", ACCEPTED: f"CAST({column} AS STRING) NOT IN ({listed})"}
-            cell(number, column, False, speaks.get(rule.kind, f"({column}) IS NOT NULL"))
+            text = f"CAST({column} AS STRING)"
+            speaks = {NOT_NULL: f"IF(({column}) IS NULL, '', NULL)", ACCEPTED: f"IF({text} NOT IN ({listed}), {text}, NULL)"}
+            out[number] = speaks.get(rule.kind, text)
         if rule.kind == RELATED and rule.parent == table:
-            cell(number, rule.parent_column, True, f"({rule.parent_column}) IS NOT NULL")
+            out[number + len(numbered)] = f"CAST({rule.parent_column} AS STRING)"
     return out
 
 
-def _failures(kind: str) -> str:
-    """What a value with ``n`` rows, and ``held`` by a parent or not, adds to the failures of a rule."""
-    return {NOT_NULL: "n", RELATED: "IF(held, 0, n)", UNIQUE: "IF(n > 1, 1, 0)", ACCEPTED: "1"}[kind]
+# What the values of a rule, with ``n`` rows each and ``held`` by a parent or not, come to as failures.
+_FAILURES = {NOT_NULL: "sum(n)", RELATED: "sum(IF(held, 0, n))", UNIQUE: "count_if(n > 1)", ACCEPTED: "count(1)"}
 
 
 def evaluate(rules: Sequence[Rule], tables: Mapping[str, DataFrame]) -> DataFrame:
     """One row per rule: table, rule, column, argument, severity, failures, status.
 
     Every table is read once, whatever the number of its rules, and the values of all rules are counted in one shuffle;
-    copies of a value combine before it. The two columns of a relationship have one type.
+    copies of a value combine before it. The two columns of a relationship have one type. Cells are columns that are
+    unpivoted, not an array to be exploded: Spark compiles the one and interprets the other for every row.
     """
     numbered = list(enumerate(rules))
     parts = []
     for name in dict.fromkeys([r.table for r in rules] + [r.parent for r in rules if r.parent]):
-        parts.append(tables[name].selectExpr(f"inline(array_compact(array({', '.join(_cells(name, numbered))})))"))
-    counted = union_all(parts).groupBy("rule", "value").agg(
-        F.expr("count_if(NOT parent)").alias("n"), F.expr("bool_or(parent)").alias("held")
+        cells = tables[name].selectExpr(*[f"{text} AS `{number}`" for number, text in _cells(name, numbered).items()])
+        said = cells.unpivot([], cells.columns, "cell", "value").where("value IS NOT NULL")
+        parts.append(said.selectExpr("CAST(cell AS INT) AS cell", "value"))
+    number = f"cell % {len(rules)}"
+    counted = union_all(parts).groupBy(F.expr(number).alias("rule"), "value").agg(
+        F.expr(f"count_if(cell < {len(rules)})").alias("n"), F.expr(f"bool_or(cell >= {len(rules)})").alias("held")
     )
-    kinds = {k: ", ".join(str(i) for i, r in numbered if r.kind == k) for k in (NOT_NULL, RELATED, UNIQUE, ACCEPTED)}
-    added = " ".join(f"WHEN rule IN ({own}) THEN {_failures(k)}" for k, own in kinds.items() if own)
-    counts = counted.groupBy("rule").agg(F.expr(f"sum(CASE {added} END)").alias("failures"))
+    counts = counted.groupBy("rule").agg(*[F.expr(text).alias(kind) for kind, text in _FAILURES.items()])
 
     labels = local_table(
         next(iter(tables.values())).sparkSession,
@@ -117,7 +115,7 @@ def evaluate(rules: Sequence[Rule], tables: Mapping[str, DataFrame]) -> DataFram
             "severity": [r.severity for r in rules],
         },
     )
-    failures = F.coalesce("failures", F.lit(0))
+    failures = F.coalesce(*[F.when(F.col("rule_name") == kind, F.col(kind)) for kind in _FAILURES], F.lit(0))
     status = F.when(failures == 0, "pass").when(F.col("severity") == "warn", "warn").otherwise("fail")
     # A table without any value yields no count for its value rules; such a rule has no failures.
     return labels.join(counts, "rule", "left").select(

@@ -330,6 +330,18 @@ def test_accepted_values_with_quotes(spark):
     assert [r["failures"] for r in rules.evaluate([rule], {"t": df}).collect()] == [1]
 
 
+def test_rules_are_compiled_and_a_table_may_be_its_own_parent(spark):
+    df = spark.createDataFrame([(1, None), (2, 1), (2, 7), (None, 7), (None, None)], "id int, boss int")
+    suite = [
+        rules.Rule("t", rules.UNIQUE, "id"),
+        rules.Rule("t", rules.NOT_NULL, "boss"),
+        rules.Rule("t", rules.RELATED, "boss", parent="t", parent_column="id"),
+    ]
+    checked = rules.evaluate(suite, {"t": df})
+    assert "Generate" not in plan_of(checked)
+    assert {r["rule_name"]: r["failures"] for r in checked.collect()} == {"unique": 1, "not_null": 2, "relationships": 2}
+
+
 def test_union_all(spark):
     frames = [spark.createDataFrame([(i,)], "x int") for i in range(5)]
     assert values(joins.union_all(frames)) == [(i,) for i in range(5)]
