@@ -1,6 +1,7 @@
 """Every registered query: name -> (session, folder of test tables) -> DataFrame.
 
-A query states one operator or model over the layer tables below it; those are written once per application.
+A query states one operator or model over the layer tables below it; those are written once per application, except where
+one reader needs a part of them (:meth:`Warehouse.model`).
 """
 
 from __future__ import annotations

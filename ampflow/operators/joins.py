@@ -10,11 +10,20 @@ from pyspark.sql import functions as F
 from ampflow.functions.measures import lookup_key
 
 ROWS_PER_TASK = 5_000_000
+KEY_BUCKETS = 1 << 14
 
 
-def frequent_keys(df: DataFrame, key: str, rows_per_task: int) -> DataFrame:
-    """``(key, _slices)`` of every key with more than ``rows_per_task`` rows, counted exactly."""
-    counted = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+def frequent_keys(df: DataFrame, key: str, rows_per_task: int, buckets: int = KEY_BUCKETS) -> DataFrame:
+    """``(key, _slices)`` of every key with more than ``rows_per_task`` rows, counted exactly.
+
+    Rows are first counted by a bucket of their key's hash, which combines on the map side. Only the keys of buckets with
+    that many rows are counted one by one; most tables have no such bucket, and then no key is shuffled.
+    """
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+    keyed = df.where(F.col(key).isNotNull()).select(key, bucket.alias("_bucket"))
+    full = keyed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > rows_per_task)
+    within = keyed.join(F.broadcast(full.select("_bucket")), "_bucket", "left_semi")
+    counted = within.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
     slices = F.ceil(F.col("_rows") / rows_per_task).cast("long")
     return counted.where(F.col("_rows") > rows_per_task).select(key, slices.alias("_slices"))
 

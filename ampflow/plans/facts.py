@@ -198,6 +198,23 @@ def fact_daily_metrics(fact: DataFrame, run: Run) -> DataFrame:
     )
 
 
+# What of the session fact the lifetime measures read.
+LIFETIME_COLUMNS = (
+    "charger_key",
+    "user_key",
+    "transaction_date",
+    "completed_transaction_count",
+    "failed_transaction_count",
+    "is_valid_transaction",
+    "payment_amount_coalesced",
+    "energy_kwh",
+    "energy_kwh_coalesced",
+    "duration_minutes",
+    "duration_minutes_coalesced",
+    "has_any_quality_issue",
+)
+
+
 def charger_lifetime(fact: DataFrame, run: Run) -> DataFrame:
     """Lifetime measures per charger; sessions without charger form the NULL group."""
     valid = F.col("is_valid_transaction")

@@ -92,6 +92,9 @@ class TableStore:
         self.spark = spark
         self.root = f"{shared_dir(spark)}/ampflow/{spark.sparkContext.applicationId}/{state}"
 
+    def has(self, name: str) -> bool:
+        return f"{self.root}/{name}" in self._written
+
     def table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         path = f"{self.root}/{name}"
         with self._guard:

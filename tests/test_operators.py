@@ -164,6 +164,17 @@ def test_every_hot_key_is_split_however_many(spark):
     assert values(split, "k", "l", "r") == values(left.join(right, "k", "left"), "k", "l", "r")
 
 
+def test_keys_outside_full_buckets_are_not_shuffled(spark, tmp_path):
+    spark.range(50_000).select(F.when(F.col("id") % 5 > 0, F.col("id")).alias("k")).write.parquet(f"{tmp_path}/cold")
+    found = joins.frequent_keys(spark.read.parquet(f"{tmp_path}/cold"), "k", 1000)
+    assert found.collect() == []
+    final = plan_of(found).split("Initial Plan")[0]
+    assert "isFinalPlan=true" in final and "hashpartitioning(k" not in final
+    right = hot_inputs(spark)[1]
+    for buckets in (1, 2, 1 << 14):  # keys that share a bucket are told apart
+        assert values(joins.frequent_keys(right, "k", 20, buckets)) == [("hot", 15), ("warm", 2)]
+
+
 def test_local_right_side(spark):
     left, right = hot_inputs(spark)
     small = local_table(spark, {"k": ["hot", "cold"], "r": [1, 2]})

@@ -7,7 +7,7 @@ import sys
 from pathlib import Path
 
 import pytest
-from conftest import SMALL, plan_of
+from conftest import SMALL, plan_of, values
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent / "tools"))
 
@@ -91,3 +91,18 @@ def test_filters_reach_the_scan(spark):
 def test_ranking_needs_no_single_partition(spark):
     plan = plan_of(queries()["charger_quartiles"](spark, SMALL))
     assert "ntile" not in plan
+
+
+def test_charger_performance_writes_no_wide_table(spark):
+    """Of the session fact only what the charger measures read is worked out and written, unless the fact is there."""
+    apart, whole = Warehouse(spark, SMALL), Warehouse(spark, SMALL)
+    apart.store.root += "-charger-sessions"
+    whole.store.root += "-whole-fact"
+    narrow = apart.model("fact_charger_performance")
+    assert not any(apart.store.has(t) for t in ("cur_transactions", "cur_payments", "fact_transactions"))
+    assert apart.store.has("charger_sessions") and len(apart.table("charger_sessions").columns) == 12
+    for table in ("cur_transactions", "cur_payments", "fact_transactions"):
+        whole.table(table)
+    from_fact = whole.model("fact_charger_performance")
+    assert not whole.store.has("charger_sessions")
+    assert values(narrow) == values(from_fact, *narrow.columns)
